@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import chunks, golden, mix, nearjoin, pairs, places, tokens
+from vacantia.llm import chunks, golden, mix, nearjoin, pairs, personal, places, tokens
 from vacantia.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,23 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("item_a").alias("technology_a"), F.col("item_b").alias("technology_b"))
 
 
+def _personal(spark: SparkSession, d: str) -> DataFrame:
+    jobs = table(spark, d, "jobs").select(F.lit("jobs").alias("src_table"), F.col("job_key").alias("record_key"), F.col("description_text").alias("text"))
+    lever = table(spark, d, "lever_jobs").select(F.lit("lever_jobs").alias("src_table"), F.col("id").alias("record_key"), F.col("additionalPlain").alias("text"))
+    rows = jobs.unionByName(lever)
+    given = [r.given_name for r in table(spark, d, "given_names").select("given_name").distinct().orderBy("given_name").limit(100_000).collect()]
+    return personal.find_in(rows, ["src_table", "record_key"], "text", personal.fit(rows.select("text"), given))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = _personal(spark, d).select("src_table", "record_key", F.explode("found").alias("f"))
+    return rows.select("src_table", "record_key", F.col("f.pii_kind").alias("pii_kind"), F.col("f.start_pos").alias("start_pos"))
+
+
+def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return _personal(spark, d).select("src_table", "record_key", "redacted", F.coalesce(F.size("found"), F.lit(0)).alias("n_found"))
+
+
 def _golden(spark: SparkSession, d: str) -> DataFrame:
     fields = ["title", "company", "employer_id", "department", "location_raw", "role_level", "application_url", "source_token", "source_job_id"]
     return golden.representatives(table(spark, d, "job_observations"), "job_key", "obs_id", "last_seen_at", "observation_count", "description_text", fields, learned="role_level")
@@ -90,7 +107,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (p1_found, p1_links, p2_found, p3_found, p3_pairs, p5_found, p5_golden, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_pieces)
+    f.__name__: f for f in (p1_found, p1_links, p2_found, p3_found, p3_pairs, p4_found, p4_redacted, p5_found, p5_golden, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_pieces)
 }
 
 _ITEMS = r"""
