@@ -37,7 +37,8 @@ def enriched_jobs(jobs: DataFrame) -> DataFrame:
 
 def job_skills(enriched: DataFrame) -> DataFrame:
     """One row per job and technology, with evidence and dimensions."""
-    rows = enriched.select(*_CARRIED, "application_url", F.explode("skills").alias("s"))
+    # explode would infer a filter on the size of the array and push the whole extraction into it, once more per row.
+    rows = enriched.select(*_CARRIED, "application_url", F.explode_outer("skills").alias("s")).where("s is not null")
     kind, capability = dimensions(F.col("s.skill"), F.col("s.category"))
     return rows.select(*_CARRIED, F.col("s.skill").alias("skill"), F.col("s.category").alias("category"), F.col("s.skill").alias("technology"), kind.alias("technology_category"), capability.alias("capability"), F.col("s.evidence").alias("evidence"), "application_url")
 

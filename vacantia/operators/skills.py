@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
-from vacantia.functions.rules import has, java_any, matches
+from vacantia.functions.rules import has, sql_matches
 from vacantia.functions.text import strip, unique_ci
 from vacantia.operators.classify import years_of_experience
 
@@ -15,10 +15,13 @@ def job_text(title: str, description: str) -> Column:
     return strip(F.concat(F.coalesce(F.col(title), F.lit("")), F.lit("\n"), F.coalesce(F.col(description), F.lit(""))))
 
 
-def skill_array(text: Column) -> Column:
-    """ARRAY<STRUCT<skill, category, evidence>> of the technologies in a text, in the order of the rules."""
-    items = [F.struct(F.lit(s).alias("skill"), F.lit(c).alias("category"), unique_ci(F.when(text.rlike(java_any(terms)), matches(text, terms))).alias("evidence")) for s, c, terms in R.SKILLS]
-    return F.filter(F.array(*items), lambda x: F.size(x["evidence"]) > 0)
+def with_skills(df: DataFrame, text: Column, name: str = "skills") -> DataFrame:
+    """Adds ARRAY<STRUCT<skill, category, evidence>> of the technologies in a text, in the order of the rules."""
+    items = ", ".join(f"named_struct('skill', '{s}', 'category', '{c}', 'evidence', {sql_matches('_text', '_low', terms)})" for s, c, terms in R.SKILLS)
+    found = F.expr(f"filter(array({items}), x -> size(x.evidence) > 0)")
+    out = df.withColumn("_text", text).withColumn("_low", F.lower("_text")).withColumn("_found", found)
+    unique = F.transform("_found", lambda x: F.struct(x["skill"].alias("skill"), x["category"].alias("category"), unique_ci(x["evidence"]).alias("evidence")))
+    return out.withColumn(name, unique).drop("_text", "_low", "_found")
 
 
 def dimensions(skill: Column, category: Column) -> tuple[Column, Column]:
@@ -38,6 +41,6 @@ def enrich(df: DataFrame, title: str, description: str) -> DataFrame:
     """Adds skills, degree_required, degree_fields, minimum_experience_years, maximum_experience_years, soft_skills, extraction_warnings."""
     text, desc = job_text(title, description), F.coalesce(F.col(description), F.lit(""))
     out = years_of_experience(df, description).drop("years_evidence").withColumnsRenamed({"minimum_years": "minimum_experience_years", "maximum_years": "maximum_experience_years"})
-    out = out.withColumns({"skills": skill_array(text), "degree_required": has(desc, R.DEGREE_REQUIRED), "degree_fields": labels_of(desc, R.DEGREE_FIELDS), "soft_skills": labels_of(desc, R.SOFT_SKILLS)})
+    out = with_skills(out, text).withColumns({"degree_required": has(desc, R.DEGREE_REQUIRED), "degree_fields": labels_of(desc, R.DEGREE_FIELDS), "soft_skills": labels_of(desc, R.SOFT_SKILLS)})
     warnings = F.array_compact(F.array(F.when(strip(desc) == "", "missing_description"), F.when(F.size("skills") == 0, "no_skills_detected")))
     return out.withColumn("extraction_warnings", warnings)
