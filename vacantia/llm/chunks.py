@@ -68,11 +68,11 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
         return []
     if not 0 <= overlap < limit / 2 or limit < 8:
         raise ValueError("limit of at least 8 and overlap under half of it expected")
+    if (whole := enc.count(text)) <= limit:
+        return [(0, 0, len(text), whole)]
     starts, counts, inside = _atoms(enc, text)
     n = len(starts)
     cum = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    if cum[n] <= limit:
-        return [(0, 0, len(text), cum[n])]
     level = [_INSIDE if k in inside else _WORD for k in range(n)]
     for rank, pattern, at_start in _BOUNDARIES:
         for m in pattern.finditer(text):
@@ -108,7 +108,12 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
     for i, j in pack(0, n, 1):
         before = max(bisect.bisect_left(cum, cum[i] - overlap), 0) if i else 0
         end = starts[j] if j < n else len(text)
-        out.append((starts[before], starts[i], end, cum[j] - cum[before]))
+        size, k = cum[j] - cum[before], j
+        while k > before and text[starts[k - 1] : end].isspace():
+            k -= 1
+        if k < j:  # white space at a cut is tokenized together when nothing follows it
+            size = cum[k] - cum[before] + enc.count(text[starts[k] : end])
+        out.append((starts[before], starts[i], end, size))
     return out
 
 
@@ -117,7 +122,7 @@ def split_table(df: DataFrame, id_col: str, text_col: str, limit: int = 512, ove
 
     Columns: id_col, piece_no from 1, n_pieces, char_start and char_end (characters, start from 1, end inclusive),
     core_start (where the part that is not overlap begins), n_tokens, piece. The cores of a document, put together,
-    are its text. Each piece is tokenized again, so n_tokens is what the tokenizer says of it.
+    are its text. n_tokens is what the tokenizer says of the piece on its own.
 
     Null and empty texts have no pieces, blank ones count by their tokens; repeated rows are each cut on their own;
     other columns are ignored; an empty table gives no rows.
@@ -138,12 +143,11 @@ def split_table(df: DataFrame, id_col: str, text_col: str, limit: int = 512, ove
                     pieces = split_text(enc, text, limit, overlap)
                     if len(pieces) < 2 and oversized_only:
                         continue
-                    counts, slack = [enc.count(text[s:e]) for s, _, e, _ in pieces], 0
-                    while max(counts, default=0) > limit:  # white space at a cut may be tokenized otherwise
+                    slack = 0
+                    while max((p[3] for p in pieces), default=0) > limit:  # white space at a cut took more tokens
                         slack += 1
                         pieces = split_text(enc, text, limit - slack, overlap)
-                        counts = [enc.count(text[s:e]) for s, _, e, _ in pieces]
-                    for no, ((start, core, end, _), count) in enumerate(zip(pieces, counts), 1):
+                    for no, (start, core, end, count) in enumerate(pieces, 1):
                         ids.append(k)
                         rows.append((no, len(pieces), start + 1, end, core + 1, count, text[start:end]))
                 cols = list(zip(*rows)) or [()] * 7
