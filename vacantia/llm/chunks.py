@@ -7,9 +7,9 @@ words. Packing goes down only into nodes above the limit and merges neighbouring
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -18,13 +18,14 @@ from pyspark.sql import types as T
 from vacantia.llm.tokens import DEFAULT_RANKS, Encoder, _slices, encoder_factory
 from vacantia.session import spread
 
-#: Level of the tree, pattern, and whether the boundary is the match's start (else its end). A smaller level is higher up.
+#: A heading's rank, 1 to 6, is its level of the tree; its start is the boundary.
+_HEADING = regex.compile(r"(?m)^(#{1,6})\s|<h([1-6])[\s>]", regex.I)
+#: Levels below with their patterns, whose ends are boundaries.
 _BOUNDARIES = [
-    *[(r, regex.compile(rf"(?m)^#{{{r}}}\s|<h{r}[\s>]", regex.I), True) for r in range(1, 7)],
-    (7, regex.compile(r"\n[^\S\n]*\n\s*|</(?:p|div|section|table|ul|ol|h[1-6])>\s*", regex.I), False),
-    (8, regex.compile(r"\n\s*|</(?:li|tr)>\s*|<br\s*/?>\s*", regex.I), False),
-    (9, regex.compile(r"[.!?…。！？]+[\"'”’)\]]*(?=\s|<|$)|[。！？]+"), False),
-    (10, regex.compile(r"[;:,|、，；](?=\s)|[、，；]"), False),
+    (7, regex.compile(r"\n[^\S\n]*\n\s*|</(?:p|div|section|table|ul|ol|h[1-6])>\s*", regex.I)),
+    (8, regex.compile(r"\n\s*|</(?:li|tr)>\s*|<br\s*/?>\s*", regex.I)),
+    (9, regex.compile(r"[.!?…。！？]+[\"'”’)\]]*(?=\s|<|$)|[。！？]+")),
+    (10, regex.compile(r"[;:,|、，；](?=\s)|[、，；]")),
 ]
 _WORD, _INSIDE = 11, 12
 _LONG_PIECE = 16
@@ -37,20 +38,25 @@ def _atoms(enc: Encoder, text: str) -> tuple[list[int], list[int], set[int]]:
     character. Counts add up, but for white space at a cut, which is
     tokenized together when nothing follows it.
     """
-    starts, counts, inside = [], [], set()
-    for m in enc.pieces.finditer(text):
-        ids = enc.ids_of(m.group())
+    pieces = enc.cut(text)
+    all_ids = list(map(enc.ids_of, pieces))
+    counts = list(map(len, all_ids))
+    starts = [0, *itertools.accumulate(map(len, pieces))][:-1]
+    if max(counts, default=0) <= _LONG_PIECE:
+        return starts, counts, set()
+    whole, starts, counts, inside = starts, [], [], set()
+    for begin, ids in zip(whole, all_ids):
         if len(ids) <= _LONG_PIECE:
-            starts.append(m.start())
+            starts.append(begin)
             counts.append(len(ids))
             continue
-        at, pending, raw = m.start(), 0, b""
+        at, pending, raw = begin, 0, b""
         for k, i in enumerate(ids):
             raw += enc.entries[i]
             pending += 1
             nxt = enc.entries[ids[k + 1]][0] if k + 1 < len(ids) else 0
             if nxt & 0xC0 != 0x80:  # the next token starts a character
-                if at != m.start():
+                if at != begin:
                     inside.add(len(starts))
                 starts.append(at)
                 counts.append(pending)
@@ -72,13 +78,16 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
         return [(0, 0, len(text), whole)]
     starts, counts, inside = _atoms(enc, text)
     n = len(starts)
-    cum = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    level = [_INSIDE if k in inside else _WORD for k in range(n)]
-    for rank, pattern, at_start in _BOUNDARIES:
-        for m in pattern.finditer(text):
-            k = bisect.bisect_left(starts, m.start() if at_start else m.end())
-            if 0 < k < n and level[k] > rank:
-                level[k] = rank
+    cum = [0, *itertools.accumulate(counts)]
+    level = [_WORD] * n
+    for k in inside:
+        level[k] = _INSIDE
+    edges = [(len(m[1]) if m[1] else int(m[2]), m.start()) for m in _HEADING.finditer(text)]
+    edges += [(rank, m.end()) for rank, pattern in _BOUNDARIES for m in pattern.finditer(text)]
+    for rank, at in edges:
+        k = bisect.bisect_left(starts, at)
+        if 0 < k < n and level[k] > rank:
+            level[k] = rank
     cuts = [[] for _ in range(_INSIDE + 1)]
     for k in range(1, n):
         cuts[level[k]].append(k)
