@@ -155,12 +155,13 @@ def read_instants(df: DataFrame, value: str, zone: str, source: list[str], thres
     """
     own = [c for c in df.columns if c not in ("epoch_us", "time_status")]
     keys = [f"_s{i}" for i in range(len(source))]
-    base = df.select(*own, *[F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(k) for k, c in zip(keys, source)])
-    read = lambda rows: rows.withColumn("_r", _readings(F.col(value), F.col(zone)))
+    # The caller's columns travel in one struct, so that their names can't clash with those used here.
+    base = df.select(F.struct(*own).alias("_own"), F.col(value).alias("_v"), F.col(zone).alias("_z"), *[F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(k) for k, c in zip(keys, source)])
+    read = lambda rows: rows.withColumn("_r", _readings(F.col("_v"), F.col("_z")))
     valid = lambda s: (F.col(f"_r.{s}") != "unreadable").cast("int")
     mask = valid("status1") + 2 * valid("status2")
     # Equal readings (3 March) say nothing about the order.
-    numeric = read(base.where(F.col(value).rlike(NUMERIC_START)).select(*keys, value, zone)).select(*keys, F.col("_r.form").alias("_form"), mask.alias("_mask"), F.col("_r.us1").eqNullSafe(F.col("_r.us2")).alias("_same"))
+    numeric = read(base.where(F.col("_v").rlike(NUMERIC_START)).select(*keys, "_v", "_z")).select(*keys, F.col("_r.form").alias("_form"), mask.alias("_mask"), F.col("_r.us1").eqNullSafe(F.col("_r.us2")).alias("_same"))
     counts = numeric.where("_form is not null and _mask > 0 and not (_mask = 3 and _same)").groupBy(*keys, "_form", "_mask").agg(F.count("*").alias("_k"))
 
     def by_form(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -181,4 +182,4 @@ def read_instants(df: DataFrame, value: str, zone: str, source: list[str], thres
     )
     rows = rows.withColumn("_first", first)
     status = F.when(F.col("_first").isNull(), "ambiguous").when(F.col("_first"), F.col("_r.status1")).otherwise(F.col("_r.status2"))
-    return rows.select(*own, F.when(F.col("_first"), F.col("_r.us1")).when(~F.col("_first"), F.col("_r.us2")).alias("epoch_us"), status.alias("time_status"))
+    return rows.select("_own.*", F.when(F.col("_first"), F.col("_r.us1")).when(~F.col("_first"), F.col("_r.us2")).alias("epoch_us"), status.alias("time_status"))

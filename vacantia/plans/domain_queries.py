@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from vacantia.functions import text as X
 from vacantia.functions.rules import sql_first, sql_has
 from vacantia.operators import audit, canonical, classify, explore, marts, skills
 from vacantia.operators.explore import Filters
-from vacantia.session import spread, table
+from vacantia.session import shared_dir, spread, table
+from vacantia.sources import snapshots as S
+from vacantia.streaming import observations as stream
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -525,3 +529,59 @@ def audit_distribution(spark, d):
 @query("SELECT company, title, role_level, inferred_role_level, role_level_confidence, role_level_score, array_to_string(role_level_score_evidence, ' | ') AS evidence, is_talent_pool, application_url FROM jobs WHERE is_target_market")
 def audit_inference(spark, d):
     return audit.role_audit(jobs_of(spark, d))
+
+
+# --- ingestion -----------------------------------------------------------------------------------------------------------
+
+@query("SELECT meta_id, CASE WHEN row_number() OVER (PARTITION BY source, source_token, content_sha256 ORDER BY meta_id) = 1 THEN 'written' ELSE 'duplicate' END AS status FROM snapshot_metadata")
+def ingest_status(spark, d):
+    rows = table(spark, d, "snapshot_metadata").select("meta_id", "source", "source_token", "content_sha256")
+    return S.observation_status(rows, ["source", "source_token"], "content_sha256", "meta_id").select("meta_id", "status")
+
+
+_STATUS = "CASE WHEN http_status <> 200 THEN 'failed' WHEN row_number() OVER (PARTITION BY source, source_token, content_sha256 ORDER BY meta_id) = 1 THEN 'written' ELSE 'duplicate' END"
+
+
+@query(
+    f"""WITH r AS (SELECT source AS provider, source_job_count AS n, {_STATUS} AS status FROM snapshot_metadata)
+    SELECT provider, count(*) FILTER (WHERE status = 'written') AS written, count(*) FILTER (WHERE status = 'duplicate') AS duplicate, count(*) FILTER (WHERE status = 'failed') AS failed,
+    sum(CASE WHEN status = 'failed' THEN 0 ELSE coalesce(n, 0) END)::BIGINT AS jobs FROM r GROUP BY 1"""
+)
+def ingest_run_report(spark, d):
+    rows = table(spark, d, "snapshot_metadata").select("meta_id", "source", "source_token", "content_sha256", "http_status", "source_job_count")
+    rows = S.observation_status(rows, ["source", "source_token"], "content_sha256", "meta_id")
+    status = F.when(F.col("http_status") != 200, "failed").otherwise(F.col("status"))
+    return S.run_report(rows.select(F.col("source").alias("provider"), status.alias("status"), F.col("source_job_count").alias("job_count")))
+
+
+@query(
+    f"""SELECT source_token, count(*) AS total_jobs, round(coalesce(count(DISTINCT internal_job_id) / nullif(count(internal_job_id), 0)::DOUBLE, 0.0), 4) AS unique_id_ratio,
+    round(count(*) FILTER (WHERE nullif({X.sql_clean('title')}, '') IS NOT NULL AND nullif({X.sql_clean('content')}, '') IS NOT NULL AND nullif({X.sql_clean('absolute_url')}, '') IS NOT NULL) / count(*)::DOUBLE, 4) AS completion_ratio
+    FROM greenhouse_jobs_m2 GROUP BY 1"""
+)
+def ingest_source_quality(spark, d):
+    return S.source_quality(table(spark, d, "greenhouse_jobs_m2"), "source_token", "internal_job_id", ["title", "content", "absolute_url"])
+
+
+@query()
+def ingest_sidecar_violations(spark, d):
+    rows = table(spark, d, "snapshot_metadata").withColumns({"provider": F.col("source"), "sidecar_path": F.col("meta_id").cast("string"), "collected": X.iso_instant(F.col("collected_at"))})
+    return S.sidecar_violations(rows).groupBy("violation").agg(F.count("*").alias("n"))
+
+
+@query("SELECT snapshot_no, count(*) FILTER (WHERE s.job_text_sha256 = sha256(regexp_replace(coalesce(j.title, '') || chr(10) || coalesce(j.description_text, ''), '^[\\s\\x{00a0}]+|[\\s\\x{00a0}]+$', '', 'g'))) AS n_current, count(*) AS n_rows FROM job_snapshots s JOIN jobs j USING (job_key) GROUP BY 1")
+def ingest_verified_digests(spark, d):
+    now = jobs_of(spark, d).select("job_key", X.job_text_sha256(F.col("title"), F.col("description_text")).alias("_now"))
+    rows = table(spark, d, "job_snapshots").select("snapshot_no", "job_key", "job_text_sha256").join(now, "job_key")
+    return rows.groupBy("snapshot_no").agg(F.count_if(F.col("job_text_sha256") == F.col("_now")).alias("n_current"), F.count("*").alias("n_rows"))
+
+
+# --- the observation history as a stream: the same rows as the batch ------------------------------------------------------
+
+@query(ORACLES["canonical_dedup"])
+def stream_latest(spark, d):
+    place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = stream.read_observations(spark, f"{d}/job_observations.parquet")
+    out = stream.latest_observations(rows, "job_key", _ORDERED).select("job_key", "title", "obs_id", F.unix_micros("first_seen_at").alias("first_us"), F.unix_micros("last_seen_at").alias("last_us"), "observation_count")
+    stream.run_to_table(out, f"{place}/table", f"{place}/state").awaitTermination()
+    return spark.read.parquet(f"{place}/table")

@@ -38,13 +38,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, named by the cluster in spark.checkpoint.dir; in tests a temporary one."""
+    own = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return own or os.path.join(tempfile.gettempdir(), f"vacantia-{spark.sparkContext.applicationId}")
 
-    A folder of our own is set only where the session has none (local runs and tests).
-    """
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a reliable checkpoint in the shared folder; a folder is set only where the session has none."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        own = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(own or os.path.join(tempfile.gettempdir(), f"vacantia-{sc.applicationId}"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
