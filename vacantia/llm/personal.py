@@ -38,7 +38,7 @@ _PLACE = rf"(?:,\s*{_CAP}(?:[ -]{_CAP}){{0,3}})?(?:,\s*\d{{4}}\b)?"
 _CANDIDATES = regex.compile(
     "|".join([
         # a part before the at sign (in its usual or a spelled form), then names joined by dots (likewise)
-        r"(?P<email>[\p{L}\d](?:[\p{L}\d._%+-]*[\p{L}\d])?(?:\s?(?:@|\(at\)|\[at\]|\{at\})\s?[\p{L}\d-]+(?:(?:\.|\s?(?:\(dot\)|\[dot\]|\{dot\})\s?|\sdot\s)[\p{L}\d-]+)+|\sat\s[\p{L}\d-]+(?:(?:\.|\sdot\s)[\p{L}\d-]+)*(?:\sdot\s|\.)(?:example|com|org|net|co|za|io|info|biz|[a-z]{2})\b))",
+        r"(?P<email>(?<![\p{L}\d._%+-])[\p{L}\d](?:[\p{L}\d._%+-]{0,80}[\p{L}\d])?(?:\s?(?:@|\(at\)|\[at\]|\{at\})\s?[\p{L}\d-]+(?:(?:\.|\s?(?:\(dot\)|\[dot\]|\{dot\})\s?|\sdot\s)[\p{L}\d-]+)+|\sat\s[\p{L}\d-]+(?:(?:\.|\sdot\s)[\p{L}\d-]+)*(?:\sdot\s|\.)(?:example|com|org|net|co|za|io|info|biz|[a-z]{2})\b))",
         rf"(?P<address>(?:(?:{_UNIT})?\b\d{{1,5}}\s?[a-z]?(?:\s?[-–]\s?\d{{1,5}}[a-z]?)?\s+(?:{_CAP}\s+){{1,3}}?{_STREET}\b\.?(?!\s(?-i:\p{{Lu}}\p{{Ll}}))|(?:{_UNIT})?(?-i:\p{{Lu}})[\p{{L}}]+(?:weg|laan|straat|rylaan|singel|plein)\s+\d{{1,5}}[a-z]?\b(?:\s?[-–]\s?\d{{1,5}})?|p\.?\s?o\.?\s?box\s+\d+){_PLACE})",
         r"(?P<id>(?<![\p{L}\d.-])(?:\d{6}[ -]?\d{4}[ -]?\d{2} ?\d|(?-i:[A-Z]{1,2})\d{7,9})(?![\d-]|[.]\d))",
         r"(?P<phone>(?<![\p{L}\d.])(?:\+\d{1,3}|00\d{2}|\(0\d{1,3}\)|\(\d{3}\)|0\d{1,4})(?:[ .\-/]?\(0\)|[ .\-/]?\(\d{1,4}\))?(?:[ .\-/]?\d{2,9}){1,5}(?!\d|[.-]\d))",
