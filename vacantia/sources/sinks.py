@@ -21,7 +21,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; arrays are joined by " | "."""
     flat = [F.array_join(c, " | ").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
-    df.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*flat).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def report_json(counts: DataFrame, labels: DataFrame | None = None, warnings: DataFrame | None = None, limit: int = 100_000) -> dict:
