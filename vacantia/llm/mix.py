@@ -151,11 +151,12 @@ def mix_shares(mix: DataFrame, weights: DataFrame, source: str) -> DataFrame:
     A source without documents in the mix has zeros; of a repeated source one row of weights counts; null sources don't.
     """
     by = mix.groupBy(source).agg(F.count("*").alias("docs"), F.sum("copies").alias("entries"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"), F.max("copies").alias("most_copies"))
-    total = by.agg(F.sum("tokens").alias("_all"))  # a single row
+    by = cut(by)
+    total = by.agg(F.sum("tokens").alias("n")).first().n or 1  # one number
     w = weights.where("source is not null").dropDuplicates(["source"]).select(F.col("source").alias("_s"), "target_share", "max_repeats")
-    out = w.join(by, F.col("_s") == F.col(source), "left").join(F.broadcast(total), how="cross")
+    out = w.join(by, F.col("_s") == F.col(source), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return out.select(F.col("_s").alias("source"), "target_share", "max_repeats", zero("docs"), zero("entries"), zero("tokens"), zero("most_copies"), F.coalesce(F.col("tokens") / F.col("_all"), F.lit(0.0)).alias("actual_share"))
+    return out.select(F.col("_s").alias("source"), "target_share", "max_repeats", zero("docs"), zero("entries"), zero("tokens"), zero("most_copies"), F.coalesce(F.col("tokens") / F.lit(total), F.lit(0.0)).alias("actual_share"))
 
 
 def document_sizes(documents: DataFrame, path: str = DEFAULT_RANKS) -> DataFrame:

@@ -105,7 +105,7 @@ def item_pairs(df: DataFrame, basket: str, item: str) -> DataFrame:
     pairs = cut(clean_items(df, basket, item))
     items = number_items(pairs)
     sets = pairs.join(items.select("item", "item_id"), "item").groupBy("basket").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
-    total = pairs.agg(F.count_distinct("basket").alias("n_baskets"))
+    total = sets.count()  # one number
     weighted = sets.where(F.size("ids") > 1).groupBy("ids").agg(F.count("*").alias("w"))
     runs = weighted.mapInArrow(_packed_runs, "code long, n long")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -116,7 +116,7 @@ def item_pairs(df: DataFrame, basket: str, item: str) -> DataFrame:
         counted.select(F.shiftright("code", 32).alias("id_a"), F.col("code").bitwiseAND((1 << 32) - 1).alias("id_b"), F.col("n").alias("n_both"))
         .join(a, "id_a")
         .join(b, "id_b")
-        .join(F.broadcast(total), how="cross")  # a single row
+        .withColumn("n_baskets", F.lit(total).cast("long"))
     )
     both, na, nb, nn = (F.col(c).cast("double") for c in ("n_both", "n_a", "n_b", "n_baskets"))
     odds = (both + 0.5) * (nn - na - nb + both + 0.5) / ((na - both + 0.5) * (nb - both + 0.5))
