@@ -109,12 +109,12 @@ def employer_comparison(jobs: DataFrame) -> DataFrame:
 def level_by_technology(skills: DataFrame, n: int = 12) -> DataFrame:
     """(effective_role_level, technology, value) for the n most frequent technologies, zeros filled in.
 
-    The technologies and levels are few (n, and the levels there are); their grid is the only product.
+    The n names come to the driver; one pass then counts all of them per level.
     """
-    top = top_values(skills, "technology", n).select(F.col("label").alias("technology"))
-    counts = skills.join(F.broadcast(top), "technology").groupBy("effective_role_level", "technology").agg(F.count("*").alias("value"))
-    grid = counts.select("effective_role_level").distinct().join(F.broadcast(top), how="cross")
-    return grid.join(counts, ["effective_role_level", "technology"], "left").fillna(0, ["value"])
+    top = [r.label for r in top_values(skills, "technology", n).collect()]
+    counts = F.array(*[F.struct(F.lit(t).alias("technology"), F.count_if(F.col("technology") == t).alias("value")) for t in top]) if top else F.array().cast("array<struct<technology:string,value:bigint>>")
+    rows = skills.where(F.col("technology").isin(top)).groupBy("effective_role_level").agg(counts.alias("c"))
+    return rows.select("effective_role_level", F.explode("c").alias("c")).select("effective_role_level", "c.technology", "c.value")
 
 
 def crosstab(skills: DataFrame, technologies: list[str]) -> DataFrame:

@@ -49,12 +49,11 @@ def job_requirements(enriched: DataFrame) -> DataFrame:
 
 def skills_summary(skills: DataFrame, jobs: DataFrame) -> DataFrame:
     """Per technology: jobs, target-market and early-career jobs, and the share of target-market jobs (0 without any)."""
-    total = jobs.agg(F.count_if("is_target_market").alias("_all"))
+    total = jobs.agg(F.count_if("is_target_market").alias("n")).first().n
     by = skills.groupBy("skill", "category", "technology", "technology_category", "capability").agg(
         F.count("*").alias("all_job_count"), F.count_if("is_target_market").alias("target_market_job_count"), F.count_if("is_early_career_target").alias("early_career_target_job_count")
     )
-    share = F.coalesce(F.col("target_market_job_count") / F.nullif(F.col("_all"), F.lit(0)), F.lit(0.0))
-    return by.join(F.broadcast(total), how="cross").withColumn("target_market_share", share).drop("_all")  # one row
+    return by.withColumn("target_market_share", F.col("target_market_job_count") / F.lit(total) if total else F.lit(0.0))
 
 
 def company_skills(skills: DataFrame) -> DataFrame:
