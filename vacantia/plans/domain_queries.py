@@ -412,13 +412,14 @@ def mart_skills(spark, d):
 
 
 @query(
-    _M
-    + f"""SELECT metric, label, count(*) AS n FROM (SELECT 'role_level_counts' AS metric, effective_role_level AS label FROM m UNION ALL SELECT 'workplace_type_counts', workplace_type FROM m UNION ALL SELECT 'employer_counts', coalesce(nullif(employer_name, ''), 'unspecified') FROM m
+    _S.rstrip()
+    + ", "
+    + _M.removeprefix("WITH ")
+    + """SELECT metric, label, count(*) AS n FROM (SELECT 'capability_mention_counts' AS metric, capability AS label FROM k UNION ALL SELECT 'technology_mention_counts', skill FROM k UNION ALL SELECT 'role_level_counts' AS metric, effective_role_level AS label FROM m UNION ALL SELECT 'workplace_type_counts', workplace_type FROM m UNION ALL SELECT 'employer_counts', coalesce(nullif(employer_name, ''), 'unspecified') FROM m
     UNION ALL SELECT 'industry_counts', industry FROM m UNION ALL SELECT 'province_counts', coalesce(province, 'unspecified') FROM m) GROUP BY 1, 2"""
 )
 def mart_label_counts(spark, d):
-    jobs = _mart(spark, d)[0]
-    return marts.mart_labels(jobs, table(spark, d, "dashboard_skills").limit(0)).where("metric not like '%mention%'")
+    return marts.mart_labels(*_mart(spark, d))
 
 
 @query()
@@ -526,6 +527,13 @@ def audit_distribution(spark, d):
     return audit.distribution(audit.unspecified_roles(jobs_of(spark, d)), "likely_level")
 
 
+@query(_A + "SELECT job_key, likely_level FROM b WHERE job_key IN (SELECT job_key FROM jobs WHERE workplace_type IN ('hybrid', 'remote') AND NOT coalesce(is_talent_pool, false))")
+def audit_visible(spark, d):
+    """Review rows of the jobs that a filter leaves: a semi join."""
+    shown = _light_jobs(spark, d).where(Filters(workplace_types=("hybrid", "remote")).condition()).select("job_key")
+    return audit.unspecified_roles(jobs_of(spark, d)).join(shown, "job_key", "left_semi").select("job_key", "likely_level")
+
+
 @query("SELECT company, title, role_level, inferred_role_level, role_level_confidence, role_level_score, array_to_string(role_level_score_evidence, ' | ') AS evidence, is_talent_pool, application_url FROM jobs WHERE is_target_market")
 def audit_inference(spark, d):
     return audit.role_audit(jobs_of(spark, d))
@@ -576,6 +584,22 @@ def ingest_verified_digests(spark, d):
     return rows.groupBy("snapshot_no").agg(F.count_if(F.col("job_text_sha256") == F.col("_now")).alias("n_current"), F.count("*").alias("n_rows"))
 
 
+_PLACES, _TECH = ["gauteng", "cape", "south africa"], ["engineer", "developer", " data "]
+_ANY = lambda c, terms: "(" + " OR ".join(f"contains(' ' || lower(coalesce({c}, '')) || ' ', '{t}')" for t in terms) + ")"
+
+
+@query(
+    f"""WITH r AS (SELECT source_token, internal_job_id, title, content, absolute_url, {_ANY("location.name", _PLACES)} AS h FROM greenhouse_jobs_m2),
+    a AS (SELECT source_token, count(*) AS total_jobs, round(coalesce(count(DISTINCT internal_job_id) / nullif(count(internal_job_id), 0)::DOUBLE, 0.0), 4) AS unique_id_ratio,
+    round(count(*) FILTER (WHERE nullif({X.sql_clean('title')}, '') IS NOT NULL AND nullif({X.sql_clean('content')}, '') IS NOT NULL) / count(*)::DOUBLE, 4) AS completion_ratio,
+    count(*) FILTER (WHERE h) AS home_jobs, count(*) FILTER (WHERE h AND {_ANY("title", _TECH)}) AS technology_jobs FROM r GROUP BY 1)
+    SELECT *, home_jobs > 0 AND unique_id_ratio = 1.0 AND completion_ratio >= 0.8 AS passed FROM a"""
+)
+def ingest_assessment(spark, d):
+    rows = table(spark, d, "greenhouse_jobs_m2").withColumn("place", F.col("location.name"))
+    return S.assess_sources(rows, "source_token", "internal_job_id", "title", "place", ["title", "content"], _PLACES, _TECH)
+
+
 # --- the observation history as a stream: the same rows as the batch ------------------------------------------------------
 
 @query(ORACLES["canonical_dedup"])

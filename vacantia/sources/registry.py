@@ -64,7 +64,7 @@ def source_violations(s: DataFrame, e: DataFrame) -> DataFrame:
         "blank_token": F.col("token").isNull() | (strip(F.col("token")) == ""), "plain_http": F.coalesce(~F.lower("url").startswith("https://"), F.lit(False)) | F.coalesce(~F.lower("api_url").startswith("https://"), F.lit(False)),
         "bad_page_size": F.coalesce(F.col("page_size") <= 0, F.lit(False)) | F.coalesce(F.col("max_pages") <= 0, F.lit(False)), "bad_delay": F.coalesce(F.col("request_delay_seconds") < 0, F.lit(False)),
     }
-    known = F.broadcast(e.select(F.col("id").alias("employer_id"), "collection_status").limit(100_000))
+    known = e.select(F.col("id").alias("employer_id"), "collection_status")
     return (
         _rows(s, "token", rules)
         .unionByName(_repeated(s, "repeated_source", F.col("provider"), F.col("token")))

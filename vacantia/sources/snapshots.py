@@ -133,3 +133,23 @@ def source_quality(rows: DataFrame, source: str, id_col: str, required: list[str
         whole &= blank_to_null(F.col(c)).isNotNull()
     ids = F.count(id_col)
     return rows.groupBy(source).agg(F.count("*").alias("total_jobs"), F.round(F.coalesce(F.count_distinct(id_col) / F.nullif(ids, F.lit(0)), F.lit(0.0)), 4).alias("unique_id_ratio"), F.round(F.count_if(whole) / F.count("*"), 4).alias("completion_ratio"))
+
+
+def contains_any(text: Column, terms: list[str]) -> Column:
+    """Whether the text, in lower case and with a blank on either side, contains any of the terms."""
+    padded = F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
+    out = F.lit(False)
+    for t in terms:
+        out |= padded.contains(t)
+    return out
+
+
+def assess_sources(rows: DataFrame, source: str, id_col: str, title: str, location: str, required: list[str], places: list[str], technologies: list[str]) -> DataFrame:
+    """source_quality with the postings at home, the technology ones among them, and whether the source passes.
+
+    A source passes with postings at home, ids that are all distinct and at least 80 % complete postings.
+    """
+    home = contains_any(F.col(location), places)
+    more = rows.groupBy(F.col(source).alias("_s")).agg(F.count_if(home).alias("home_jobs"), F.count_if(home & contains_any(F.col(title), technologies)).alias("technology_jobs"))
+    out = source_quality(rows, source, id_col, required).join(more, F.col(source).eqNullSafe(F.col("_s"))).drop("_s")
+    return out.withColumn("passed", (F.col("home_jobs") > 0) & (F.col("unique_id_ratio") == 1.0) & (F.col("completion_ratio") >= 0.8))
