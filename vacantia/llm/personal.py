@@ -26,8 +26,12 @@ from vacantia.session import spread
 LABELS = ["O", "B", "I", "email", "phone", "id_number", "address"]
 NAME_LABELS = (1, 2)
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
-#: Texts that the weights are trained on, at most; weights of hashed features; their number is fixed.
-TRAIN_TEXTS, WIDTH = 4000, 1 << 16
+#: Texts that the weights are trained on, at most, and characters of such a text, at most; longer ones aren't trained on.
+TRAIN_TEXTS, TRAIN_CHARS = 4000, 20_000
+#: Weights of hashed features; their number is fixed.
+WIDTH = 1 << 16
+#: Largest list of given names that is taken; a longer one is refused.
+MAX_NAMES = 200_000
 
 _TITLES = {"mr", "mrs", "ms", "miss", "dr", "prof", "adv", "rev", "mnr", "mev", "mej", "sir"}
 _PARTICLES = {"van", "von", "der", "den", "de", "du", "la", "le", "da", "dos", "bin", "al", "ter", "ten"}
@@ -386,12 +390,20 @@ def train_model(texts: Sequence[str], given: Sequence[str]) -> Model:
     return model
 
 
+def listed_names(names: DataFrame, column: str) -> list[str]:
+    """The distinct names of a reference list, null and blank ones left out."""
+    rows = names.where(F.trim(column) != "").select(F.trim(column).alias("n")).distinct().orderBy("n").limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} given names")
+    return [r.n for r in rows]
+
+
 def fit(texts: DataFrame, given: Sequence[str], train_texts: int = TRAIN_TEXTS) -> Model:
     """A model from ``train_texts`` of the texts at most: those with the smallest hashes, so that it is a fair sample.
 
-    The sample goes to the driver; its size doesn't follow the data. ``texts`` has one column, text.
+    The sample, of texts up to TRAIN_CHARS, goes to the driver; its size doesn't follow the data. ``texts`` has one column, text.
     """
-    sample = texts.where("text is not null and text <> ''").select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(train_texts).collect()
+    sample = texts.where((F.col("text") != "") & (F.length("text") <= TRAIN_CHARS)).select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(train_texts).collect()
     return train_model([r.text for r in sample], given)
 
 

@@ -53,8 +53,7 @@ def _personal(spark: SparkSession, d: str) -> DataFrame:
     jobs = table(spark, d, "jobs").select(F.lit("jobs").alias("src_table"), F.col("job_key").alias("record_key"), F.col("description_text").alias("text"))
     lever = table(spark, d, "lever_jobs").select(F.lit("lever_jobs").alias("src_table"), F.col("id").alias("record_key"), F.col("additionalPlain").alias("text"))
     rows = jobs.unionByName(lever)
-    given = [r.given_name for r in table(spark, d, "given_names").select("given_name").distinct().orderBy("given_name").limit(100_000).collect()]
-    return personal.find_in(rows, ["src_table", "record_key"], "text", personal.fit(rows.select("text"), given))
+    return personal.find_in(rows, ["src_table", "record_key"], "text", personal.fit(rows.select("text"), personal.listed_names(table(spark, d, "given_names"), "given_name")))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
