@@ -28,25 +28,25 @@ _BOUNDARIES = [
     (10, regex.compile(r"[;:,|、，；](?=\s)|[、，；]")),
 ]
 _WORD, _INSIDE = 11, 12
+#: A piece of more tokens, or of more than a part has room for, is taken apart.
 _LONG_PIECE = 16
 
 
-def _atoms(enc: Encoder, text: str) -> tuple[list[int], list[int], set[int]]:
+def _atoms(enc: Encoder, text: str, longest: int) -> tuple[list[int], list[int], set[int]]:
     """Starts and token counts of the smallest units, and which of them start inside a word.
 
     Units are the tokenizer's pieces; a piece of many tokens (a word without end) is taken apart at tokens that start a
-    character. Counts add up, but for white space at a cut, which is
-    tokenized together when nothing follows it.
+    character. Counts add up, but for white space at a cut, which is tokenized together when nothing follows it.
     """
     pieces = enc.cut(text)
     all_ids = list(map(enc.ids_of, pieces))
     counts = list(map(len, all_ids))
     starts = [0, *itertools.accumulate(map(len, pieces))][:-1]
-    if max(counts, default=0) <= _LONG_PIECE:
+    if max(counts, default=0) <= longest:
         return starts, counts, set()
     whole, starts, counts, inside = starts, [], [], set()
     for begin, ids in zip(whole, all_ids):
-        if len(ids) <= _LONG_PIECE:
+        if len(ids) <= longest:
             starts.append(begin)
             counts.append(len(ids))
             continue
@@ -76,7 +76,7 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
         raise ValueError("limit of at least 8 and overlap under half of it expected")
     if (whole := enc.count(text)) <= limit:
         return [(0, 0, len(text), whole)]
-    starts, counts, inside = _atoms(enc, text)
+    starts, counts, inside = _atoms(enc, text, min(_LONG_PIECE, limit - overlap))
     n = len(starts)
     cum = [0, *itertools.accumulate(counts)]
     level = [_WORD] * n
