@@ -399,11 +399,15 @@ def listed_names(names: DataFrame, column: str) -> list[str]:
 
 
 def fit(texts: DataFrame, given: Sequence[str], train_texts: int = TRAIN_TEXTS) -> Model:
-    """A model from ``train_texts`` of the texts at most: those with the smallest hashes, so that it is a fair sample.
+    """A model from ``train_texts`` of the distinct texts at most: those with the smallest hashes, a fair sample.
 
-    The sample, of texts up to TRAIN_CHARS, goes to the driver; its size doesn't follow the data. ``texts`` has one column, text.
+    A bound on the hash, from the number of texts, keeps nearly all of the others from leaving their tasks; the sample,
+    of texts up to TRAIN_CHARS, then goes to the driver. Its size doesn't follow the data. ``texts`` has one column, text.
     """
-    sample = texts.where((F.col("text") != "") & (F.length("text") <= TRAIN_CHARS)).select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(train_texts).collect()
+    rows = texts.where((F.col("text") != "") & (F.length("text") <= TRAIN_CHARS)).select(F.xxhash64("text").alias("h"), "text")
+    share = min(1.0, 1.3 * train_texts / max(rows.count(), 1))
+    bound = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    sample = rows.where(F.col("h") <= bound).dropDuplicates(["h"]).orderBy("h").limit(train_texts).collect()
     return train_model([r.text for r in sample], given)
 
 
