@@ -74,6 +74,33 @@ def test_near_duplicates_of_nothing(spark):
     assert [tuple(r) for r in nearjoin.record_pairs(*nearjoin.near_duplicates(one, "key", ["text"], "text")).collect()] == [("a", "b")]
 
 
+def threshold_sets(seed, n_pairs, size, share):
+    """Pairs of sets right at 3 of 5 in common, the common members held by ``share`` of all sets, the other ones by few sets."""
+    rng = np.random.default_rng(seed)
+    common = size * 3 // 5
+    often, seldom = (rng.integers(-(1 << 62), 1 << 62, k) for k in (round(common / share), n_pairs * (size - common) // 2))
+    out = []
+    for _ in range(n_pairs):
+        both, rare = rng.choice(often, common, False), rng.choice(seldom, 2 * (size - common), False)
+        out += [np.concatenate([both, rare[: size - common]]), np.concatenate([both, rare[size - common :]])]
+    return [sorted(map(int, s)) for s in out]
+
+
+@pytest.mark.parametrize(("size", "share"), [(100, 0.05), (150, 0.33), (250, 0.2)])
+@pytest.mark.parametrize(("boundary", "piece"), [(None, None), (0, 20)])
+def test_near_duplicates_at_the_threshold_of_frequent_members(spark, monkeypatch, size, share, boundary, piece):
+    """No pair is lost whose common members are all frequent, in long lists cut into pieces either."""
+    if piece:
+        monkeypatch.setattr(nearjoin, "PIECE", piece)
+    if boundary is not None:
+        monkeypatch.setattr(nearjoin, "_boundary", lambda *_: boundary)
+    sets = threshold_sets(size, 300, size, share)
+    df = spark.createDataFrame([(k, -k, len(m), m) for k, m in enumerate(sets)], "h1 long, h2 long, n int, members array<long>")
+    got = {(r.a1, r.b1) for r in nearjoin.class_pairs(df, 3, 5).collect()}
+    held = [frozenset(m) for m in sets]
+    assert got == {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 5 * len(held[a] & held[b]) >= 3 * size}
+
+
 def test_item_pairs_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(pairs, "RUN", 50)
     rng = random.Random(2)

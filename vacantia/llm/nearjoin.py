@@ -1,8 +1,9 @@
 """Near-duplicate records by overlap of word sequences: a size-aware heavy-light join.
 
-Exact copies become one class first. Sets up to a size boundary enumerate fixed-size subsets of their rarest members;
-sets above it scan inverted lists and count; the boundary is where the two costs add up to the least. Every candidate
-passes an exact bound on its difference and is then verified on the whole sets, so no pair is reported in error.
+Exact copies become one class first. Sets below a size boundary enumerate all subsets of SUBSET of their rarest members;
+sets from it on scan inverted lists; the boundary is where the two costs add up to the least. Either way is certain to
+meet every pair, whatever the number of sets and the frequency of their members. Every candidate passes an exact bound
+on its difference and is then verified on the whole sets, so no pair is reported in error.
 """
 
 from __future__ import annotations
@@ -20,18 +21,16 @@ from pyspark.sql import functions as F
 
 from vacantia.session import cut, spread
 
-#: Members of an enumerated subset, at least and at most; and of how many subsets of each size one is enumerated in large sets.
-SUBSET, LARGEST = 3, 5
-KEPT = {3: 4, 4: 16, 5: 48}
-#: A subset is light, and not enlarged, if by chance no more than so many sets would hold it; in a small collection, where
-#: chance meetings cost little, no more than AFFORDED by the number of sets.
-LIGHT, AFFORDED = 0.002, 1200
-#: Counters of member frequency; their number is fixed, so that the table can go to every worker (4 MB).
+#: Members of an enumerated subset.
+SUBSET = 3
+#: Cost of an enumerated subset, which is shuffled and sorted, in pairs of an inverted list that are looked at.
+SUBSET_COST = 20
+#: Counters of member frequency; their number is fixed, so that the table can go to every worker.
 COUNTERS = 1 << 20
-#: Sets below WHOLE members are taken whole; above, the universe is cut into classes of which a set has at least CLASS_SIZE members.
-WHOLE, CLASS_SIZE = 48, 12
-#: Further members of a class beyond the prefix that an even spread over the classes would need.
-SLACK = 4
+#: Sets of an inverted list in one piece, about; a longer list is cut and its pieces are paired, so that it is no task of its own.
+PIECE = 4096
+#: Pairs that are looked at in one step.
+STEP = 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -49,57 +48,34 @@ def record_sets(df: DataFrame, id_col: str, columns: Sequence[str], count_col: s
     return rows.select("id", F.xxhash64("members").alias("h1"), F.xxhash64(F.lit(1), "members").alias("h2"), F.size("members").alias("n"), "members")
 
 
-@functools.lru_cache(maxsize=256)
-def _subsets(n: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Subsets of SUBSET of n places; then for each further size, every subset's parent (without its last place) and last place."""
-    now = list(itertools.combinations(range(n), SUBSET))
-    first, more = np.array(now, dtype=np.int64).reshape(-1, SUBSET), []
-    for size in range(SUBSET + 1, LARGEST + 1):
-        at = {c: k for k, c in enumerate(now)}
-        now = list(itertools.combinations(range(n), size))
-        more.append((np.array([at[c[:-1]] for c in now], dtype=np.int64), np.array([c[-1] for c in now], dtype=np.int64)))
-    return first, more
-
-
-def _level(n: float) -> int:
-    return 0 if n < WHOLE else int(math.log2(n / CLASS_SIZE))
+@functools.lru_cache(maxsize=32)
+def _subsets(n: int) -> np.ndarray:
+    """Subsets of SUBSET of n places."""
+    return np.array(list(itertools.combinations(range(n), SUBSET)), dtype=np.int32).reshape(-1, SUBSET)
 
 
 class Prefixes:
-    """Prefixes of one level of a batch of sets: row k is ``members[start[k] : start[k] + length[k]]`` of set ``of[k]``, of size ``size[k]``, in class ``part[k]``."""
+    """Prefixes of a batch of sets: row k is ``members[start[k] : start[k] + length[k]]`` of set ``of[k]``; ``left[k]`` members of the set stand from its start on, ``need[k]`` must be common."""
 
-    def __init__(self, level: int, of, size, part, start, length, members, counts) -> None:
-        self.level, self.of, self.size, self.part, self.start, self.length, self.members, self.counts = level, of, size, part, start, length, members, counts
+    def __init__(self, of, start, length, left, need, members, counts) -> None:
+        self.of, self.start, self.length, self.left, self.need, self.members, self.counts = of, start, length, left, need, members, counts
 
 
-def _prefixes(sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float) -> Iterator[Prefixes]:
-    """By level and class, the rarest members of each set: as many as must hold SUBSET common ones if the share ``ratio`` is common.
+def _prefixes(sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, common: int) -> Prefixes:
+    """The rarest members of each set: as many as must hold ``common`` common ones if the share ``ratio`` is common.
 
-    At level L the universe has 2**L random classes; a set takes part at its own level and at those of sets up to
-    1 / ratio as large, so two partners meet at the level of the larger one. Members that occur in no other set can't be
-    common and are left out. At level 0 the class is the whole set and the statement is certain. Above, the common
-    members are spread over the classes and some have fewer than their share: SLACK makes up for that, and partners
-    have many subsets in common over all classes. Of 3,000 made-up pairs right at the threshold, half of them with the
-    other members rarer than the common ones, all had at least 11 in a collection of 57,000 sets, 1 in one of 570,000.
+    All sets have their members in the same order, so of two partners the ``common`` first common members are in both
+    prefixes. Members that occur in no other set can't be common and are left out; sets with too few others have no row.
     """
     of = np.repeat(np.arange(len(sizes)), sizes)
-    low, high = (np.array([_level(n / q) for n in sizes], dtype=np.int64) for q in (1.0, ratio))
-    counts = counters[(flat >> 8) & (COUNTERS - 1)]
-    for level in range(int(low.min(initial=0)), int(high.max(initial=-1)) + 1):
-        mine = ((low <= level) & (level <= high))[of]
-        group, m, n = (of[mine] << level) + (flat[mine] & ((1 << level) - 1)), flat[mine], counts[mine]
-        if not len(m):
-            continue
-        order = np.lexsort((m, n, group))
-        group, m, n = group[order], m[order], n[order]
-        start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        total = np.diff(np.r_[start, len(group)])
-        single = np.add.reduceat((n <= 1).astype(np.int64), start)
-        own = total - single
-        length = own - np.ceil(ratio * total - 1e-9).astype(np.int64) + SUBSET + (SLACK if level else 0)
-        good = (own >= SUBSET) & (length >= SUBSET)
-        g = group[start[good]]
-        yield Prefixes(level, g >> level, sizes[g >> level], g & ((1 << level) - 1), (start + single)[good], np.minimum(length, own)[good], m, n)
+    n = counters[(flat >> 8) & (len(counters) - 1)]
+    order = np.lexsort((flat, n, of))
+    m, n = flat[order], n[order]
+    single = np.bincount(of, weights=n <= 1, minlength=len(sizes)).astype(np.int64)
+    own, need = sizes - single, np.ceil(ratio * sizes - 1e-9).astype(np.int64)
+    length = own - need + common
+    good = np.flatnonzero((own >= np.maximum(need, common)) & (own > 0))
+    return Prefixes(good, (np.cumsum(sizes) - sizes + single)[good], np.minimum(length, own)[good], own[good], need[good], m, n)
 
 
 def _step(h: np.ndarray, member: np.ndarray) -> np.ndarray:
@@ -107,51 +83,17 @@ def _step(h: np.ndarray, member: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _signatures(p: Prefixes, sets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row of the prefixes, hash) of the enumerated subsets, from light and heavy members.
-
-    Three members whose frequencies make a chance meeting unlikely are light and stand as they are; a heavy subset is
-    enlarged by each more frequent member until it is light or has LARGEST members. So the number of chance meetings
-    per subset stays bounded as the collection grows. Which subsets these are, and which of them are enumerated, depends
-    on their members only, hence is alike in all sets. At level 0 all subsets of three are enumerated.
-    """
-    bound = math.log(max(LIGHT, AFFORDED / max(sets, 1))) - math.log(max(sets, 1))
-
-    # The smallest of the large sets have fewer subsets, so more of theirs are enumerated, and those of larger sets among them.
-    more_of = np.where(p.level == 2, 4, np.where((p.level == 3) & (p.size < 10 * CLASS_SIZE), 2, 1))
-
-    def chosen(h: np.ndarray, size: int, rows: np.ndarray) -> np.ndarray:
-        one_in = np.maximum(1, KEPT[size] // more_of[rows]).astype(np.uint64)
-        return (h >> np.uint64(3)) % one_in == 0
-
+def _signatures(p: Prefixes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row of the prefixes, hash) of all subsets of SUBSET."""
     for n in np.unique(p.length):
-        first, more = _subsets(int(n))
-        widest = max([len(first), *(len(last) for _, last in more)]) if p.level else len(first)
+        subsets = _subsets(int(n))
         all_rows = np.flatnonzero(p.length == n)
-        for rows in np.array_split(all_rows, max(1, len(all_rows) * widest // 2_000_000)):
+        for rows in np.array_split(all_rows, max(1, len(all_rows) * len(subsets) // 2_000_000)):
             m = p.members[p.start[rows, None] + np.arange(n)]
-            h = np.repeat(((p.level << 20) + p.part[rows] + 1).astype(np.uint64)[:, None], len(first), axis=1)
+            h = np.ones((len(rows), len(subsets)), dtype=np.uint64)
             for k in range(SUBSET):
-                h = _step(h, m[:, first[:, k]])
-            if p.level == 0:
-                yield np.repeat(rows, len(first)), h.ravel()
-                continue
-            share = np.log(np.minimum(p.counts[p.start[rows, None] + np.arange(n)] / max(sets, 1), 1.0))
-            weight = share[:, first[:, 0]] + share[:, first[:, 1]] + share[:, first[:, 2]]
-            heavy = weight > bound
-            r, j = np.nonzero(~heavy & chosen(h, SUBSET, rows[:, None]))
-            yield rows[r], h[r, j]
-            for size, (parent, last) in enumerate(more, SUBSET + 1):
-                r, j = np.nonzero(heavy[:, parent])
-                if not len(r):
-                    break
-                hs, ws = _step(h[r, parent[j]], m[r, last[j]]), weight[r, parent[j]] + share[r, last[j]]
-                light = (ws <= bound) | (size == LARGEST)
-                out = light & chosen(hs, size, rows[r])
-                yield rows[r[out]], hs[out]
-                if size < LARGEST:
-                    h, weight, heavy = np.zeros((len(rows), len(last)), np.uint64), np.zeros((len(rows), len(last))), np.zeros((len(rows), len(last)), bool)
-                    h[r, j], weight[r, j], heavy[r, j] = hs, ws, ~light
+                h = _step(h, m[:, subsets[:, k]])
+            yield np.repeat(rows, len(subsets)), h.ravel()
 
 
 def _sets_of(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,16 +104,18 @@ def _sets_of(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray
 
 def _frequencies(classes: DataFrame) -> np.ndarray:
     """How often members of each counter occur over all classes: a fixed number of counters, summed in the cluster."""
+    number = COUNTERS
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
+        total = np.zeros(number, dtype=np.int64)
         for batch in batches:
             members = batch.column(0).flatten().to_numpy()
-            total += np.bincount((members >> 8) & (COUNTERS - 1), minlength=COUNTERS)
+            total += np.bincount((members >> 8) & (number - 1), minlength=number)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"at": at, "n": total[at]})
 
     counts = classes.select("members").mapInArrow(add, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(COUNTERS, dtype=np.int64)
+    out = np.zeros(number, dtype=np.int64)
     out[counts["at"].to_numpy()] = counts["n"].to_numpy()
     return out
 
@@ -184,18 +128,18 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> int:
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, flat = _sets_of(batch, 0)
-            bins, enum, scan = np.minimum(sizes, 1 << 20) // 16, np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-            for p in _prefixes(sizes, flat, counters.value, ratio):
-                each = [math.comb(int(n), 4) // KEPT[4] if p.level else math.comb(int(n), SUBSET) for n in p.length]
-                np.add.at(enum, p.of, each)
-                sums = np.concatenate([[0], np.cumsum(p.counts)])
-                np.add.at(scan, p.of, sums[p.start + p.length] - sums[p.start])
-            size, at = np.unique(bins, return_inverse=True)
-            totals = [np.bincount(at, weights=x, minlength=len(size)).astype(np.int64) for x in (enum, scan)]
+            enum, scan = np.zeros(len(sizes)), np.zeros(len(sizes))
+            p = _prefixes(sizes, flat, counters.value, ratio, SUBSET)
+            enum[p.of] = [float(SUBSET_COST * math.comb(int(n), SUBSET)) for n in p.length]
+            p = _prefixes(sizes, flat, counters.value, ratio, 1)
+            sums = np.concatenate([[0], np.cumsum(p.counts)])
+            scan[p.of] = (sums[p.start + p.length] - sums[p.start]) / 2
+            size, at = np.unique(np.minimum(sizes, 1 << 20) // 16, return_inverse=True)
+            totals = [np.bincount(at, weights=x, minlength=len(size)) for x in (enum, scan)]
             yield pa.RecordBatch.from_pydict({"size": size.astype(np.int64), "enum": totals[0], "scan": totals[1]})
 
-    rows = classes.select("members").mapInArrow(cost, "size long, enum long, scan long").groupBy("size").agg(F.sum("enum").alias("enum"), F.sum("scan").alias("scan")).orderBy("size").collect()
-    best, at, enum, scan = None, 0, 0, sum(r.scan for r in rows)
+    rows = classes.select("members").mapInArrow(cost, "size long, enum double, scan double").groupBy("size").agg(F.sum("enum").alias("enum"), F.sum("scan").alias("scan")).orderBy("size").collect()
+    best, at, enum, scan = None, 0, 0.0, sum(r.scan for r in rows)
     for r in [None, *rows]:
         if r is not None:
             enum, scan = enum + r.enum, scan - r.scan
@@ -204,53 +148,118 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> int:
     return at
 
 
+#: Columns of an inverted list: the list or pair of its pieces, the piece (0: one only), the set, its size and members from here on, how many must be common, parities.
+_LIST = {"key": "long", "side": "byte", "c": "long", "n": "int", "left": "int", "need": "int", **{f"b{k}": "long" for k in range(8)}}
+
+
+def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
+    """Each set in the lists of its prefix; in those cut into pieces, once for each pair of pieces that has its own."""
+    p = _prefixes(sizes, flat, counters, ratio, 1)
+    row = np.repeat(np.arange(len(p.length)), p.length)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
+    member = p.members[p.start[row] + place]
+    pieces = p.counts[p.start[row] + place] // piece + 1
+    at = np.repeat(np.arange(len(row)), pieces)
+    other = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    row, place, member, pieces = row[at], place[at], member[at], pieces[at]
+    # The hash of the set alone may follow the order in which rows are dealt to tasks; it is mixed once more.
+    own = (_step(np.full(len(row), 7, np.uint64), ids[p.of[row]]) % pieces.astype(np.uint64)).astype(np.int64)
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    cell = _step(_step(_step(np.ones(len(row), np.uint64), member), low), high).view(np.int64)
+    side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int8)
+    bits = _parity_longs(sizes, flat)[p.of[row]]
+    columns = [np.where(pieces > 1, cell, member), side, ids[p.of[row]], sizes[p.of[row]].astype(np.int32), (p.left[row] - place).astype(np.int32), p.need[row].astype(np.int32), *(np.ascontiguousarray(bits[:, k]) for k in range(8))]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_LIST))
+
+
+def _scan(batches: Iterator[pa.RecordBatch], boundary: int) -> Iterator[pa.RecordBatch]:
+    """(a, b) with a < b from lists sorted by key: pairs with a set from ``boundary`` on that can have enough in common.
+
+    After its first common member neither set has more members left than must be common, and the parities allow as many.
+    """
+    rest: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            now = pa.Table.from_batches([batch])
+            now = now if rest is None else pa.concat_tables([rest, now])
+        elif rest is not None:
+            now = rest
+        else:
+            return
+        key = now.column("key").to_numpy()
+        # The last list may go on in the next batch.
+        whole = len(key) if batch is None or not len(key) else int(np.searchsorted(key, key[-1]))
+        rest = now.slice(whole)
+        if not whole:
+            continue
+        key = key[:whole]
+        side, c, n, left, need, *bits = (now.column(x).to_numpy()[:whole] for x in list(_LIST)[1:])
+        bits = np.stack(bits, axis=1).view(np.uint64)
+        end = np.searchsorted(key, key, side="right")
+        partners = end - np.arange(whole) - 1
+        total = np.concatenate([[0], np.cumsum(partners)])
+        k = 0
+        while k < whole:
+            to = max(k + 1, int(np.searchsorted(total, total[k] + STEP, side="right")) - 1)
+            times = partners[k:to]
+            x = np.repeat(np.arange(k, to), times)
+            y = x + 1 + np.arange(len(x)) - np.repeat(total[k:to] - total[k], times)
+            k = to
+            able = np.flatnonzero((left[x] >= need[y]) & (left[y] >= need[x]))
+            x, y = x[able], y[able]
+            able = (c[x] != c[y]) & (np.maximum(n[x], n[y]) >= boundary) & ((side[x] ^ side[y] == 3) | (side[x] + side[y] == 0))
+            x, y = x[able], y[able]
+            differ = np.zeros(len(x), dtype=np.int32)
+            for b in range(8):
+                differ += np.bitwise_count(bits[x, b] ^ bits[y, b])
+            able = n[x] + n[y] - differ >= 2 * np.maximum(need[x], need[y])
+            x, y = x[able], y[able]
+            if len(x):
+                pairs = np.unique(np.stack([np.minimum(c[x], c[y]), np.maximum(c[x], c[y])], axis=1), axis=0)
+                yield pa.RecordBatch.from_pydict({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
+
+
 def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
-    """(a, b) with a < b: hashes of two sets that share SUBSET of their rarest members in some class of the universe.
+    """(a, b) with a < b: hashes of two sets that share SUBSET of their rarest members, or are both in an inverted list.
 
     Joins are told to sort and merge: the planner's size estimates don't know how much a set is expanded, and by them
     would broadcast a side that doesn't fit.
     """
     counters = classes.sparkSession.sparkContext.broadcast(_frequencies(classes))
-    boundary, sets = _boundary(classes, counters, ratio), classes.count()
+    boundary, piece = _boundary(classes, counters, ratio), PIECE
 
     def enumerate_subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for k in range(0, batch.num_rows, 512):
-                sizes, flat = _sets_of(batch.slice(k, 512), 1)
-                for p in _prefixes(sizes, flat, counters.value, ratio):
-                    for rows, h in _signatures(p, sets):
-                        if len(h):
-                            yield pa.RecordBatch.from_pydict({"sig": h.view(np.int64), "c": ids[k + p.of[rows]]})
+                p = _prefixes(*_sets_of(batch.slice(k, 512), 1), counters.value, ratio, SUBSET)
+                for rows, h in _signatures(p):
+                    yield pa.RecordBatch.from_pydict({"sig": h.view(np.int64), "c": ids[k + p.of[rows]]})
 
     def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            sizes, flat = _sets_of(batch, 1)
-            for p in _prefixes(sizes, flat, counters.value, ratio):
-                row = np.repeat(np.arange(len(p.length)), p.length)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
-                part = ((p.level << 32) + p.part)[row]
-                key = _step(part.astype(np.uint64), p.members[p.start[row] + place]).view(np.int64)
-                yield pa.RecordBatch.from_pydict({"key": key, "part": part, "c": ids[p.of[row]], "big": sizes[p.of[row]] >= boundary})
+            for k in range(0, batch.num_rows, 512):
+                yield _listed(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece)
 
     small = classes.where(F.col("n") < boundary).select("h1", "members").mapInArrow(enumerate_subsets, "sig long, c long")
     light = small.alias("x").join(small.alias("y").hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c"))).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
     # Inverted lists: a set at or above the boundary against all sets that can be its partner.
-    lists = classes.where(F.col("n") >= math.floor(boundary * ratio)).select("h1", "members").mapInArrow(list_members, "key long, part long, c long, big boolean")
-    scanned = lists.where("big").alias("x").join(lists.alias("y").hint("merge"), (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (~F.col("y.big") | (F.col("x.c") < F.col("y.c"))))
-    heavy = (
-        scanned.groupBy(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), "x.part")
-        .agg(F.count("*").alias("k"))
-        .where(F.col("k") >= SUBSET)
-        .select("a", "b")
-    )
+    lists = classes.where(F.col("n") >= math.floor(boundary * ratio)).select("h1", "members").mapInArrow(list_members, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
+    heavy = lists.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _scan(batches, boundary), "a long, b long")
     # Sets so small that fewer than SUBSET common members are enough: any common member makes a candidate.
     tiny = classes.where(F.col("n") * ratio <= SUBSET - 1).select("h1", F.explode("members").alias("m"))
     single = tiny.alias("x").join(tiny.alias("y").hint("merge"), (F.col("x.m") == F.col("y.m")) & (F.col("x.h1") < F.col("y.h1"))).select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b"))
     return light.unionByName(heavy).unionByName(single).distinct()
 
 
+def _parity_longs(sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """512 bits for each set as 8 longs, each bit the parity of the members that fall on it."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    bits = np.bincount(of * 512 + ((flat >> 40) & 511), minlength=len(sizes) * 512).reshape(-1, 512) & 1
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
+
+
 def _parity(classes: DataFrame) -> DataFrame:
     """(h1, n, b0..b7): 512 bits, each the parity of the members that fall on it.
 
@@ -258,10 +267,7 @@ def _parity(classes: DataFrame) -> DataFrame:
     """
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.zeros((batch.num_rows, 512), dtype=np.uint8)
-            for k, members in enumerate(batch.column(2)):
-                bits[k] = np.bincount((members.values.to_numpy() >> 40) & 511, minlength=512) & 1
-            longs = np.packbits(bits, axis=1).view(np.int64)
+            longs = _parity_longs(*_sets_of(batch, 2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(longs[:, k])) for k in range(8))], names=["h1", "n", *(f"b{k}" for k in range(8))])
 
     return classes.select("h1", "n", "members").mapInArrow(fold, "h1 long, n int, " + ", ".join(f"b{k} long" for k in range(8)))
