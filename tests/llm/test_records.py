@@ -101,6 +101,19 @@ def test_near_duplicates_at_the_threshold_of_frequent_members(spark, monkeypatch
     assert got == {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 5 * len(held[a] & held[b]) >= 3 * size}
 
 
+@pytest.mark.parametrize(("counters", "others"), [(1 << 20, 0), (1 << 6, 0), (1 << 20, 3000)])
+def test_near_duplicates_do_not_depend_on_the_number_of_sets(spark, monkeypatch, counters, others):
+    """The same pairs come out of a small and a large collection, and if there are far more members than counters."""
+    monkeypatch.setattr(nearjoin, "COUNTERS", counters)
+    sets = threshold_sets(7, 300, 150, 0.33)
+    rng = np.random.default_rng(8)
+    often = sorted({m for s in sets[:20] for m in s})
+    sets += [sorted(map(int, rng.choice(often, 60, False))) for _ in range(others)]
+    df = spark.createDataFrame([(k, -k, len(m), m) for k, m in enumerate(sets)], "h1 long, h2 long, n int, members array<long>")
+    got = {(r.a1, r.b1) for r in nearjoin.class_pairs(df, 3, 5).collect()}
+    assert {(a, b) for a, b in got if b < 600} == {(2 * k, 2 * k + 1) for k in range(300)}
+
+
 def test_item_pairs_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(pairs, "RUN", 50)
     rng = random.Random(2)
