@@ -164,6 +164,23 @@ def test_currency_of_rows_without_time(spark):
     assert out["new"].level == "senior" and out["new"].city == "late"
 
 
+def test_levels():
+    assert golden.levels([("a", "b"), ("b", "c"), ("a", "c"), ("x", "c")]) == {"a": 0, "x": 0, "b": 1, "c": 2}
+    cycle = golden.levels([("a", "b"), ("b", "c"), ("c", "a"), ("z", "a"), ("c", "d"), ("e", "f"), ("f", "e")])
+    assert cycle == {"z": 0, "a": 1, "b": 1, "c": 1, "d": 2, "e": 0, "f": 0}
+    assert golden.levels([(f"{k:05}", f"{k + 1:05}") for k in range(5000)])["05000"] == 5000 and golden.levels([]) == {}
+
+
+def test_currency_is_an_order_among_the_values_of_a_group(spark):
+    """junior went to mid ten times, mid to senior once; the field's own order counts before the learned one's."""
+    steps = [("junior", "mid", "Paarl", "Durban")] * 10 + [("mid", "senior", None, None)] + [("p", "q", None, None), ("q", "r", None, None), ("r", "p", None, None)] * 2
+    history = [row for g, (a, b, c, d) in enumerate(steps) for row in [(2 * g, f"h{g}", T(1), 1, "t", a, c), (2 * g + 1, f"h{g}", T(2), 1, "t", b, d)]]
+    rows = [(90, "new", None, 9, "t", "mid", "Durban"), (91, "new", None, 1, "t", "senior", "Paarl"), (92, "turn", None, 3, "t", "q", None), (93, "turn", None, 5, "t", "p", None), (94, "turn", None, 4, "t", "r", None), (95, "same", T(4), 9, "t", "junior", "x"), (96, "same", T(4), 1, "t", "mid", "y")]
+    out = gold(spark, history + rows)
+    assert out["new"].level == "senior" and out["new"].city == "Durban"
+    assert out["turn"].level == "p" and out["same"].level == "mid" and out["same"].city == "y"
+
+
 PLACES = [(1, "province", "North Cape", "North Cape", "Land", ["NC"]), (2, "city", "Klipdrift", "North Cape", "Land", []), (3, "city", "Klipdrift", "South Cape", "Land", None), (4, "province", "South Cape", "South Cape", "Land", ["SC"]), (5, "country", "Land", None, "Land", ["LD", " "]), (6, "city", "Môrelig Bay", "South Cape", "Land", ["MLB"]), (7, "city", None, None, "Land", None)]
 
 
