@@ -294,6 +294,17 @@ def test_ties_pull_equal_words_together():
     assert [list(x) for x in personal.infer(model, sentences)] == [[1], [1]]
 
 
+def test_ties_reach_all_occurrences_and_similar_forms():
+    """One marked name, then bare ones that nothing but the ties says anything of; the marked one first, last or amid."""
+    for forms in (["Xandra"] * 10, ["Xandra", "Xandra's", "XANDRA", "Xan-dra", "Xandrá’s"] * 2):
+        for marked in (0, 4, 9):
+            model = personal.Model([])
+            sentences = [[("word", w, 20 * k, 20 * k + len(w))] for k, w in enumerate(forms)]
+            scores = iter([np.array([[0.0, 8.0 if k == marked else 0.0, -30, -30, -30, -30, -30]]) for k in range(10)])
+            model.scores = lambda s, scores=scores: next(scores)
+            assert [list(x) for x in personal.infer(model, sentences)] == [[1]] * 10
+
+
 def test_redaction(spark):
     model = personal.train_model([t for t, _ in letters(1, 200, GIVEN)], GIVEN)
     text = letters(3, 1, GIVEN)[0][0]

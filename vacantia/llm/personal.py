@@ -9,6 +9,7 @@ trained here, on a bounded sample whose labels come from the list of given names
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
@@ -114,8 +115,8 @@ def _shape(kind: str, word: str) -> str:
 class Model:
     """Hashed feature weights (WIDTH x labels), transitions, the words known to be ordinary, and the given names."""
 
-    #: Strength of the tie between equal words of a document, and rounds of message passing along the ties.
-    TIE, ROUNDS = 1.0, 3
+    #: Strength of the tie between similar words of a document; message passing ends when no message moves by SETTLED, or after ROUNDS, as a graph with loops need not settle.
+    TIE, SETTLED, ROUNDS = 1.0, 1e-3, 100
 
     def __init__(self, given: Sequence[str]) -> None:
         self.weights = np.zeros((WIDTH, len(LABELS)), dtype=np.float32)
@@ -230,35 +231,57 @@ def train(model: Model, sentences: list[tuple[list, list[int]]], epochs: int = 6
                 model.steps -= change.astype(np.float32)
 
 
+def _tie_key(word: str) -> str:
+    """What similar words have in common: no case, diacritics, hyphens and apostrophes, no possessive ending."""
+    bare = re.sub(r"['’]s?$", "", unicodedata.normalize("NFKD", word).casefold())
+    return "".join(c for c in bare if c.isalpha())
+
+
 def infer(model: Model, sentences: list[list[tuple[str, str, int, int]]]) -> list[np.ndarray]:
-    """Labels of the sentences of one document, by loopy message passing over chains and ties between equal words."""
+    """Labels of the sentences of one document, by loopy message passing over chains and ties between similar words.
+
+    Each round sweeps forward and backward along the ties of each word, so evidence reaches all its occurrences, and then
+    scores anew the sentences whose messages moved.
+    """
     nodes = [model.scores(s) for s in sentences]
     places: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for i, s in enumerate(sentences):
         for k, (kind, word, _, _) in enumerate(s):
             if kind == "word" and len(word) > 2 and word[0].isupper() and word.lower() not in model.ordinary:
-                places[word.lower()].append((i, k))
+                places[_tie_key(word)].append((i, k))
     # Each occurrence is tied to the next one: as many ties as occurrences, and evidence travels along them.
-    ties = [(a, b) for own in places.values() for a, b in zip(own, own[1:])]
+    chains = [own for own in places.values() if len(own) > 1]
     beliefs = [marginals(n[None], model.steps)[0][0] for n in nodes]
-    if ties:
-        name = np.array([k in NAME_LABELS for k in range(len(LABELS))])
-        agree = np.where(name[:, None] == name[None, :], model.TIE, 0.0)
-        sent: dict[tuple, np.ndarray] = {}
-        touched = sorted({i for a, b in ties for i in (a[0], b[0])})
-        for _ in range(model.ROUNDS):
-            new = {}
-            for a, b in ties:
-                for u, v in ((a, b), (b, a)):
-                    rest = beliefs[u[0]][u[1]] - sent.get((v, u), 0.0)
-                    message = _logsum(rest[:, None] + agree, 0)
-                    new[u, v] = message - message.max()
-            sent = new
-            extra = {i: nodes[i].copy() for i in touched}
-            for (_, v), message in sent.items():
-                extra[v[0]][v[1]] += message
-            for i in touched:
-                beliefs[i] = marginals(extra[i][None], model.steps)[0][0]
+    name = np.array([k in NAME_LABELS for k in range(len(LABELS))])
+    agree = np.where(name[:, None] == name[None, :], model.TIE, 0.0)
+    none = np.zeros(len(LABELS))
+    sent = {place: (none, none) for own in chains for place in own}  # messages from before and from behind
+    for turn in range(model.ROUNDS if chains else 0):
+        moved = set()
+        for own in chains:
+            rest = [beliefs[i][k] - sent[i, k][0] - sent[i, k][1] for i, k in own]
+            ways = []
+            for order in (range(len(own)), range(len(own) - 1, -1, -1)):
+                now, way = none, [none] * len(own)
+                for j in order:
+                    way[j] = now
+                    message = _logsum((rest[j] + now)[:, None] + agree, 0)
+                    now = message - message.max()
+                ways.append(way)
+            for place, *new in zip(own, *ways):
+                step = max(np.abs(n - old).max() for n, old in zip(new, sent[place]))
+                if step > (model.SETTLED if turn else 0.0):  # the first sweep counts however faint it gets
+                    moved.add(place[0])
+                    # Halved steps quieten messages that go to and fro.
+                    sent[place] = tuple(new) if turn < 10 else tuple((n + old) / 2 for n, old in zip(new, sent[place]))
+        if not moved:
+            break
+        extra = {i: nodes[i].copy() for i in moved}
+        for (i, k), (before, behind) in sent.items():
+            if i in extra:
+                extra[i][k] += before + behind
+        for i in moved:
+            beliefs[i] = marginals(extra[i][None], model.steps)[0][0]
     return [b.argmax(axis=1) for b in beliefs]
 
 
