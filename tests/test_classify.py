@@ -105,3 +105,8 @@ def test_skills(spark):
     assert row.extraction_warnings == ["missing_description", "no_skills_detected"] and row.skills == []
     row = skills.enrich(frame(spark, title="x", description="Bachelor's degree in Engineering; teamwork"), "title", "description").first()
     assert row.degree_required and row.degree_fields == ["Engineering"] and row.soft_skills == ["Collaboration"]
+
+
+def test_report_table_has_all_rows_in_order(spark):
+    lines = audit.markdown_table(spark.range(0, 2500, 1, 4).orderBy("id")).splitlines()
+    assert lines[:2] == ["| id |", "|---|"] and lines[2:] == [f"| {k} |" for k in range(2500)]

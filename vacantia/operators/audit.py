@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,14 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
 
 
-def markdown_table(df: DataFrame, limit: int = 1000) -> str:
-    """A report table of at most ``limit`` rows; pipes are escaped and line ends flattened."""
+def markdown_lines(df: DataFrame) -> Iterator[str]:
+    """Lines of a report table of all rows, in their order, one partition at a time; pipes are escaped and line ends flattened."""
     cell = lambda v: str("" if v is None else v).replace("|", "\\|").replace("\n", " ")
-    head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
-    return "\n".join([head, *("| " + " | ".join(map(cell, r)) + " |" for r in df.limit(limit).collect())]) + "\n"
+    yield "| " + " | ".join(df.columns) + " |\n"
+    yield "|" + "---|" * len(df.columns) + "\n"
+    for r in df.toLocalIterator():
+        yield "| " + " | ".join(map(cell, r)) + " |\n"
+
+
+def markdown_table(df: DataFrame) -> str:
+    return "".join(markdown_lines(df))

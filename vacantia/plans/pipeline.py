@@ -87,7 +87,8 @@ def build_marts(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
 
 
 def build_audits(spark: SparkSession, out: str) -> None:
-    """<out>/jobs.parquet to the two review lists as CSV."""
+    """<out>/jobs.parquet to the two review lists as CSV, the first as a Markdown table too."""
     jobs = spark.read.parquet(f"{out}/jobs.parquet")
     sinks.write_csv(audit.unspecified_roles(jobs), f"{out}/unspecified-role-audit.csv")
+    sinks.write_lines(f"{out}/unspecified-role-audit.md", audit.markdown_lines(audit.unspecified_roles(jobs)))
     sinks.write_csv(audit.role_audit(jobs), f"{out}/role-classification-audit.csv")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def report_json(counts: DataFrame, labels: DataFrame | None = None, warnings: DataFrame | None = None, limit: int = 100_000) -> dict:
-    """A report document of tidy metrics: {metric: value} and {metric: {label: n}}; at most ``limit`` labels, else an error."""
-    out: dict = {r.metric: int(r.value) if r.value is not None and float(r.value).is_integer() else r.value for r in counts.limit(limit).collect()}
+    """A report document of tidy metrics: {metric: value} and {metric: {label: n}}; at most ``limit`` counts and labels, else an error."""
+    values = counts.limit(limit + 1).collect()
+    if len(values) > limit:
+        raise ValueError(f"more than {limit} counts")
+    out: dict = {r.metric: int(r.value) if r.value is not None and float(r.value).is_integer() else r.value for r in values}
     if labels is not None:
         rows = labels.orderBy("metric", "label").limit(limit + 1).collect()
         if len(rows) > limit:
@@ -46,6 +50,14 @@ def write_json(path: str, payload: dict) -> None:
     os.replace(f.name, path)
 
 
+def write_lines(path: str, lines: Iterable[str]) -> None:
+    """Text written line by line beside its place and moved there."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with tempfile.NamedTemporaryFile("w", dir=os.path.dirname(path) or ".", delete=False, encoding="utf-8") as f:
+        f.writelines(lines)
+    os.replace(f.name, path)
+
+
 def store_snapshots(spark: SparkSession, pages: DataFrame, root: str) -> DataFrame:
     """Append pages to a raw store; returns the observations with their status, written or duplicate.
 
