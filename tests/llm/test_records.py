@@ -285,13 +285,49 @@ def test_personal_information_on_held_out_texts():
     assert hit / want > 0.95 and hit / got > 0.95
 
 
-def test_ties_pull_equal_words_together():
+def enumerated(factors, steps, ties, agree):
+    """Label probabilities of each token by summing over all labellings: one chain, ties between places."""
+    n, k = factors.shape
+    classes = [0, 1, 1] + [2] * (k - 3)
+    out, pairs = np.zeros((n, k)), np.zeros((k, k))
+    for y in itertools.product(range(k), repeat=n):
+        p = math.prod(factors[i, v] for i, v in enumerate(y)) * math.prod(steps[v, u] for v, u in itertools.pairwise(y)) * (y[0] == 0 or y[0] % 2 == 1)
+        p *= math.prod(agree[classes[y[i]], classes[y[j]]] for i, j in ties)
+        for i, v in enumerate(y):
+            out[i, v] += p
+        for v, u in itertools.pairwise(y):
+            pairs[v, u] += p
+    z = out[0].sum()
+    return out / z, pairs / z
+
+
+def test_chains_equal_enumeration():
+    rng = np.random.default_rng(1)
+    factors = rng.uniform(0.1, 1, (9, personal.LABELS))
+    steps = personal.step_factors(rng.normal(size=(personal.LABELS, personal.LABELS)))
+    begin, length = np.array([0, 4, 5]), np.array([4, 1, 4])
+    got, pairs = personal.Chains(begin, length).beliefs(factors, steps, True)
+    want = [enumerated(factors[a : a + n], steps, [], None) for a, n in zip(begin, length)]
+    assert np.allclose(got, np.concatenate([w for w, _ in want])) and np.allclose(pairs, sum(p for _, p in want))
+
+
+def test_ties_equal_enumeration():
+    """Where chains and ties have no loop, message passing is exact: two sentences, one tie, as one chain with free steps between."""
+    rng = np.random.default_rng(2)
     model = personal.Model([])
-    model.weights[:] = 0
-    sentences = [[("word", "Xandra", 0, 6)], [("word", "Xandra", 10, 16)]]
-    scores = iter([np.array([[0.0, 2.0, -30, -30, -30, -30, -30]]), np.array([[0.3, 0.0, -30, -30, -30, -30, -30]])])
-    model.scores = lambda s: next(scores)
-    assert [list(x) for x in personal.infer(model, sentences)] == [[1], [1]]
+    model.steps = rng.normal(size=model.steps.shape)
+    model.tie = 1.3
+    t = personal.read(["ask Xandra\nXandra’s"])
+    assert t.words == ["ask", "Xandra", "Xandra’s"] and t.first.tolist() == [True, False, True]
+    factors = rng.uniform(0.1, 1, (3, personal.LABELS))
+    got = personal.propagate(model, t, factors)
+    steps, agree = personal.step_factors(model.steps), personal.tie_factors(1.3)
+    classes = np.array([0, 1, 1] + [2] * (personal.LABELS - 3))
+    start = np.arange(personal.LABELS)
+    start = (start == 0) | (start % 2 == 1)
+    joint = (factors[0] * start)[:, None, None] * steps[:, :, None] * factors[1][None, :, None] * agree[classes][:, classes][None] * (factors[2] * start)[None, None]
+    want = np.stack([joint.sum(axis=(1, 2)), joint.sum(axis=(0, 2)), joint.sum(axis=(0, 1))])
+    assert np.allclose(got, want / want.sum(axis=1, keepdims=True), atol=1e-3)
 
 
 def test_ties_reach_all_occurrences_and_similar_forms():
@@ -299,10 +335,72 @@ def test_ties_reach_all_occurrences_and_similar_forms():
     for forms in (["Xandra"] * 10, ["Xandra", "Xandra's", "XANDRA", "Xan-dra", "Xandrá’s"] * 2):
         for marked in (0, 4, 9):
             model = personal.Model([])
-            sentences = [[("word", w, 20 * k, 20 * k + len(w))] for k, w in enumerate(forms)]
-            scores = iter([np.array([[0.0, 8.0 if k == marked else 0.0, -30, -30, -30, -30, -30]]) for k in range(10)])
-            model.scores = lambda s, scores=scores: next(scores)
-            assert [list(x) for x in personal.infer(model, sentences)] == [[1]] * 10
+            t = personal.read(["\n".join(forms)])
+            assert len(t.start) == 10 and t.first.all()
+            scores = np.full((10, personal.LABELS), -30.0)
+            scores[:, :2] = 0.0
+            scores[marked, 1] = 8.0
+            model.tie = 1.0
+            assert propagated(model, t, scores) == [1] * 10
+            model.tie = 0.0
+            assert sum(propagated(model, t, scores)) == 1
+
+
+def propagated(model, t, scores):
+    return personal.propagate(model, t, personal.factors_of(scores)).argmax(axis=1).tolist()
+
+
+def bare(seed, n):
+    """Texts with a name of no list that a title marks once, and that stands bare where other capitalised words stand as well."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        who, tool = (rng.choice("BCDFGKLMNPRSTVWZ") + "".join(rng.choice("aeiou") + rng.choice("bdgklmnprstvz") for _ in range(3)) for _ in range(2))
+        parts = [("Please ask Ms ", 0), (who, 1), (f" about {tool} first.\nThe work with ", 0), (who, 1), (" starts soon.\nThe work with ", 0), (tool, 0), (" starts soon.", 0)]
+        text, found = "", []
+        for p, is_name in parts:
+            if is_name:
+                found.append(("name", len(text)))
+            text += p
+        out.append((text, found))
+    return out
+
+
+def test_without_ties_findings_are_lost():
+    model = personal.train_model([t for t, _ in bare(1, 400)] + [t for t, _ in letters(1, 100, GIVEN)], GIVEN)
+
+    def hits():
+        return sum({(k, a) for k, a, _ in f} == set(truth) for (_, truth), f in zip(tests, personal.find_all(model, [t for t, _ in tests])))
+
+    tests = bare(2, 200)
+    assert model.tie > 1
+    with_ties, model.tie = hits(), 0.0
+    assert with_ties > 150 and hits() < 0.7 * with_ties
+
+
+def test_the_field_overrules_a_shape():
+    """A number with the shape of an identity number is none where the words before it are those of other numbers."""
+    rng = random.Random(6)
+    codes = [f"Campaign code {rng.randint(10**12, 10**13 - 1)} applies to this advert." for _ in range(60)]
+    texts = [t for t, _ in letters(1, 300, GIVEN)]
+    model = personal.train_model([x for pair in zip(texts, codes * 5) for x in pair], GIVEN)
+    shaped = "Campaign code 3109235100186 applies to this advert."
+    t = personal.read([shaped])
+    assert personal.lookalikes(t) == [(14, 27, personal.KINDS.index("id_number"))]
+    assert personal.find(model, shaped) == []
+    assert [k for k, _, _ in personal.find(model, "The file of Ms Amarella Prinsburn, ID number 3109235100186, was closed.")] == ["name", "id_number"]
+
+
+def test_shapes_have_no_bounds():
+    def shapes(text):
+        return [(a, b, personal.KINDS[k]) for a, b, k in personal.lookalikes(personal.read([text]))]
+
+    long = "a" * 5000
+    assert shapes(f"x {long}@mail.example y") == [(2, 5015, "email")]
+    names = "Old " * 9
+    assert shapes(f"at 15 {names}Mill Road.") == [(3, 3 + 3 + len(names) + 10, "address")]
+    assert shapes("15 Jan van der Merwe Street") == [(0, 27, "address")]
+    assert shapes("456 Marula Road Map items") == [] and shapes("fuzzy at dot") == [] and shapes("") == []
+    assert [k for *_, k in shapes("jan at site dot co dot example, hr [at] a.example, jo @ b.example")] == ["email"] * 3
 
 
 def test_redaction(spark):

@@ -49,20 +49,20 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("item_a").alias("technology_a"), F.col("item_b").alias("technology_b"))
 
 
-def _personal(spark: SparkSession, d: str) -> DataFrame:
+def _personal(spark: SparkSession, d: str, redacted: bool) -> DataFrame:
     jobs = table(spark, d, "jobs").select(F.lit("jobs").alias("src_table"), F.col("job_key").alias("record_key"), F.col("description_text").alias("text"))
     lever = table(spark, d, "lever_jobs").select(F.lit("lever_jobs").alias("src_table"), F.col("id").alias("record_key"), F.col("additionalPlain").alias("text"))
     rows = jobs.unionByName(lever)
-    return personal.find_in(rows, ["src_table", "record_key"], "text", personal.fit(rows.select("text"), personal.listed_names(table(spark, d, "given_names"), "given_name")))
+    return personal.find_in(rows, ["src_table", "record_key"], "text", personal.fit(rows.select("text"), personal.listed_names(table(spark, d, "given_names"), "given_name")), redacted)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = _personal(spark, d).select("src_table", "record_key", F.explode("found").alias("f"))
+    rows = _personal(spark, d, False).select("src_table", "record_key", F.explode("found").alias("f"))
     return rows.select("src_table", "record_key", F.col("f.pii_kind").alias("pii_kind"), F.col("f.start_pos").alias("start_pos"))
 
 
 def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return _personal(spark, d).select("src_table", "record_key", "redacted", F.coalesce(F.size("found"), F.lit(0)).alias("n_found"))
+    return _personal(spark, d, True).select("src_table", "record_key", "redacted", F.coalesce(F.size("found"), F.lit(0)).alias("n_found"))
 
 
 def _golden(spark: SparkSession, d: str) -> DataFrame:
