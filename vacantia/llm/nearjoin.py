@@ -11,14 +11,17 @@ from __future__ import annotations
 import functools
 import itertools
 import math
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from vacantia.llm.tokens import _slices
 from vacantia.session import cut, spread
 
 #: Members of an enumerated subset.
@@ -33,19 +36,94 @@ PIECE = 4096
 STEP = 1 << 20
 
 
-def words(text: Column) -> Column:
-    """Maximal runs of letters and digits of lower-cased text."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+# Whether a character is a letter or digit, filled in as characters turn up; 2: not seen yet.
+_WORDLY = np.full(0x110000, 2, dtype=np.uint8)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x + np.uint64(seed)) * _MIX
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(27))
+
+
+def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each word of each text, in order: maximal runs of letters and digits of lower-cased text."""
+    # A line end is no part of a word, so texts can be read as one.
+    code = np.frombuffer("\n".join(texts).lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    wordly = _WORDLY[code]
+    if (wordly == 2).any():
+        for c in np.unique(code[wordly == 2]):
+            _WORDLY[c] = unicodedata.category(chr(c))[0] in "LN"
+        wordly = _WORDLY[code]
+    inside = np.flatnonzero(wordly)
+    if not len(inside):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    start = np.flatnonzero(np.diff(inside, prepend=-2) > 1)
+    length = np.diff(np.append(start, len(inside)))
+    place = np.arange(len(inside)) - np.repeat(start, length)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(length.max()), 0x100000001B3, dtype=np.uint64))
+        words = np.add.reduceat(_mixed(code[inside].astype(np.uint64)) * powers[place], start)
+    line = np.concatenate([[0], np.flatnonzero(code == 10)])  # texts may have line ends of their own
+    if len(line) > len(texts):
+        ends = np.cumsum([len(t.lower()) + 1 for t in texts])
+        return np.searchsorted(ends, inside[start], side="right"), _mixed(words)
+    return np.searchsorted(line[1:], inside[start], side="right"), _mixed(words)
+
+
+def shingle_sets(fields: Sequence[Sequence[str]], counted: int, min_words: int, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record, size, members) of records with at least ``min_words`` words in field ``counted`` and one sequence or more: hashes of
+    the sequences of ``shingle`` words over all fields, each once, in order. ``fields``: the texts of each field.
+    """
+    n = len(fields[0])
+    text, word = word_hashes([t for row in zip(*fields) for t in row])
+    record = text // len(fields)
+    enough = np.bincount(record[text % len(fields) == counted], minlength=n) >= min_words
+    runs = len(word) - shingle + 1
+    if runs <= 0:
+        return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=np.int64),)
+    own = np.flatnonzero((record[:runs] == record[shingle - 1 :]) & enough[record[:runs]])
+    h = np.full(len(own), shingle, dtype=np.uint64)
+    for k in range(shingle):
+        h = _mixed(h ^ word[own + k])
+    h, record = h.view(np.int64), record[own]
+    order = np.lexsort((h, record))
+    h, record = h[order], record[order]
+    first = np.ones(len(h), dtype=bool)
+    first[1:] = (h[1:] != h[:-1]) | (record[1:] != record[:-1])
+    h, record = h[first], record[first]
+    which, size = np.unique(record, return_counts=True)
+    return which, size, h
 
 
 def record_sets(df: DataFrame, id_col: str, columns: Sequence[str], count_col: str, min_words: int, shingle: int) -> DataFrame:
     """(id, h1, h2, n, members): the set of hashes of word sequences of each record, sorted, with two hashes of it."""
-    text = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
-    rows = spread(df.select(*dict.fromkeys([id_col, *columns, count_col]))).where(F.col(id_col).isNotNull() & (F.size(words(F.coalesce(F.col(count_col), F.lit("")))) >= min_words))
-    rows = rows.select(F.col(id_col).alias("id"), words(text).alias("w")).where(F.size("w") >= shingle)
-    run = F.transform(F.sequence(F.lit(0), F.size("w") - shingle), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(shingle)]))
-    rows = rows.select("id", F.array_sort(F.array_distinct(run)).alias("members"))
-    return rows.select("id", F.xxhash64("members").alias("h1"), F.xxhash64(F.lit(1), "members").alias("h2"), F.size("members").alias("n"), "members")
+    fields = list(dict.fromkeys([*columns, count_col]))
+    rows = spread(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"f{k}") for k, c in enumerate(fields)]))
+    schema = T.StructType([rows.schema[0], *[T.StructField(c, T.LongType()) for c in ("h1", "h2")], T.StructField("n", T.IntegerType()), T.StructField("members", T.ArrayType(T.LongType()))])
+    counted, used = fields.index(count_col), len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, counted + 1, 500_000):
+                texts = [part.column(k + 1).to_pylist() for k in range(len(fields))]
+                # A counted field that isn't compared only decides which records take part.
+                which, size, members = shingle_sets(texts[:used], counted, min_words, shingle) if counted < used else shingle_sets(texts[:used], 0, 0, shingle)
+                if counted >= used:
+                    enough = np.bincount(word_hashes(texts[counted])[0], minlength=part.num_rows)[which] >= min_words
+                    members, which, size = members[np.repeat(enough, size)], which[enough], size[enough]
+                if not len(which):
+                    continue
+                at = np.cumsum(size) - size
+                with np.errstate(over="ignore"):
+                    h1, h2 = (_mixed(np.add.reduceat(_mixed(members.view(np.uint64), k), at) ^ size.astype(np.uint64), k).view(np.int64) for k in (1, 2))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(members)).astype(np.int32)), pa.array(members))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(which)), pa.array(h1), pa.array(h2), pa.array(size.astype(np.int32)), lists], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 @functools.lru_cache(maxsize=32)
@@ -148,8 +226,9 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> int:
     return at
 
 
-#: Columns of an inverted list: the list or pair of its pieces, the piece (0: one only), the set, its size and members from here on, how many must be common, parities.
-_LIST = {"key": "long", "side": "byte", "c": "long", "n": "int", "left": "int", "need": "int", **{f"b{k}": "long" for k in range(8)}}
+#: Columns of an inverted list: the list or pair of its pieces, the piece (0: one only), the set, its size, its members from
+#: here on that others have too, how many must be common, members before this one, parities of the members from here on.
+_LIST = {"key": "long", "side": "byte", "c": "long", "n": "int", "left": "int", "need": "int", "before": "int", **{f"b{k}": "long" for k in range(8)}}
 
 
 def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
@@ -157,25 +236,39 @@ def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.n
     p = _prefixes(sizes, flat, counters, ratio, 1)
     row = np.repeat(np.arange(len(p.length)), p.length)
     place = np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
-    member = p.members[p.start[row] + place]
-    pieces = p.counts[p.start[row] + place] // piece + 1
-    at = np.repeat(np.arange(len(row)), pieces)
-    other = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    row, place, member, pieces = row[at], place[at], member[at], pieces[at]
+    at = p.start[row] + place
+    member, pieces = p.members[at], p.counts[at] // piece + 1
+    base = (np.cumsum(sizes) - sizes)[p.of]
+    before, bits = at - base[row], _suffix_parities(p.members, at, (base + sizes[p.of])[row])
+    again = np.repeat(np.arange(len(row)), pieces)
+    other = np.arange(len(again)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    row, place, member, pieces, before, bits = row[again], place[again], member[again], pieces[again], before[again], bits[again]
     # The hash of the set alone may follow the order in which rows are dealt to tasks; it is mixed once more.
     own = (_step(np.full(len(row), 7, np.uint64), ids[p.of[row]]) % pieces.astype(np.uint64)).astype(np.int64)
     low, high = np.minimum(own, other), np.maximum(own, other)
     cell = _step(_step(_step(np.ones(len(row), np.uint64), member), low), high).view(np.int64)
     side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int8)
-    bits = _parity_longs(sizes, flat)[p.of[row]]
-    columns = [np.where(pieces > 1, cell, member), side, ids[p.of[row]], sizes[p.of[row]].astype(np.int32), (p.left[row] - place).astype(np.int32), p.need[row].astype(np.int32), *(np.ascontiguousarray(bits[:, k]) for k in range(8))]
+    columns = [np.where(pieces > 1, cell, member), side, ids[p.of[row]], *(x.astype(np.int32) for x in (sizes[p.of[row]], p.left[row] - place, p.need[row], before)), *(np.ascontiguousarray(bits[:, k]) for k in range(8))]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_LIST))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], boundary: int) -> Iterator[pa.RecordBatch]:
-    """(a, b) with a < b from lists sorted by key: pairs with a set from ``boundary`` on that can have enough in common.
+def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """512 bits as 8 longs for each run members[at:end]: each bit the parity of the members that fall on it."""
+    bit = (members >> 40) & 511
+    one = np.uint64(1) << (bit & 63).astype(np.uint64)
+    out = np.empty((len(at), 8), dtype=np.uint64)
+    for k in range(8):
+        sums = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.where(bit >> 6 == k, one, np.uint64(0)))]) if len(members) else np.zeros(1, np.uint64)
+        out[:, k] = sums[end] ^ sums[at]
+    return out.view(np.int64)
 
-    After its first common member neither set has more members left than must be common, and the parities allow as many.
+
+def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Iterator[pa.RecordBatch]:
+    """(a, b) with a < b from lists sorted by key and size: pairs with a set from ``boundary`` on that can have enough in common.
+
+    A pair is looked at as if this were its first common member; it is one of its lists, so no pair is lost. Then the
+    smaller set's members from here on must be as many as must be common, which bounds the partner's size; and the
+    members before differ, as do at least those whose parities differ.
     """
     rest: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
@@ -193,10 +286,11 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int) -> Iterator[pa.Recor
         if not whole:
             continue
         key = key[:whole]
-        side, c, n, left, need, *bits = (now.column(x).to_numpy()[:whole] for x in list(_LIST)[1:])
-        bits = np.stack(bits, axis=1).view(np.uint64)
-        end = np.searchsorted(key, key, side="right")
-        partners = end - np.arange(whole) - 1
+        side, c, n, left, need, before, *bits = (now.column(x).to_numpy()[:whole] for x in list(_LIST)[1:])
+        bits = [x.view(np.uint64) for x in bits]
+        group = np.cumsum(np.diff(key, prepend=key[0]) != 0).astype(np.int64) << 32
+        end = np.searchsorted(group + n, group + np.floor(left / ratio + 1e-9).astype(np.int64), side="right")
+        partners = np.maximum(end - np.arange(whole) - 1, 0)
         total = np.concatenate([[0], np.cumsum(partners)])
         k = 0
         while k < whole:
@@ -205,14 +299,15 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int) -> Iterator[pa.Recor
             x = np.repeat(np.arange(k, to), times)
             y = x + 1 + np.arange(len(x)) - np.repeat(total[k:to] - total[k], times)
             k = to
-            able = np.flatnonzero((left[x] >= need[y]) & (left[y] >= need[x]))
-            x, y = x[able], y[able]
-            able = (c[x] != c[y]) & (np.maximum(n[x], n[y]) >= boundary) & ((side[x] ^ side[y] == 3) | (side[x] + side[y] == 0))
-            x, y = x[able], y[able]
-            differ = np.zeros(len(x), dtype=np.int32)
+            # The greater set is y: how much more may differ.
+            room = n[x] + n[y] - 2 * need[y] - before[x] - before[y]
+            able = np.flatnonzero((room >= 0) & (n[y] >= boundary))
             for b in range(8):
-                differ += np.bitwise_count(bits[x, b] ^ bits[y, b])
-            able = n[x] + n[y] - differ >= 2 * np.maximum(need[x], need[y])
+                x, y, room = x[able], y[able], room[able]
+                room -= np.bitwise_count(bits[b][x] ^ bits[b][y])
+                able = np.flatnonzero(room >= 0)
+            x, y = x[able], y[able]
+            able = (c[x] != c[y]) & ((side[x] ^ side[y] == 3) | (side[x] + side[y] == 0))
             x, y = x[able], y[able]
             if len(x):
                 pairs = np.unique(np.stack([np.minimum(c[x], c[y]), np.maximum(c[x], c[y])], axis=1), axis=0)
@@ -246,20 +341,13 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
     light = small.alias("x").join(small.alias("y").hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c"))).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
     # Inverted lists: a set at or above the boundary against all sets that can be its partner.
     lists = classes.where(F.col("n") >= math.floor(boundary * ratio)).select("h1", "members").mapInArrow(list_members, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
-    heavy = lists.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _scan(batches, boundary), "a long, b long")
+    heavy = lists.repartition("key").sortWithinPartitions("key", "n").mapInArrow(lambda batches: _scan(batches, boundary, ratio), "a long, b long")
     # Sets so small that fewer than SUBSET common members are enough: any common member makes a candidate.
     tiny = classes.where(F.col("n") * ratio <= SUBSET - 1).select("h1", F.explode("members").alias("m"))
     single = tiny.alias("x").join(tiny.alias("y").hint("merge"), (F.col("x.m") == F.col("y.m")) & (F.col("x.h1") < F.col("y.h1"))).select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b"))
     return light.unionByName(heavy).unionByName(single).distinct()
 
 
-def _parity_longs(sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """512 bits for each set as 8 longs, each bit the parity of the members that fall on it."""
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    bits = np.bincount(of * 512 + ((flat >> 40) & 511), minlength=len(sizes) * 512).reshape(-1, 512) & 1
-    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
-
-
 def _parity(classes: DataFrame) -> DataFrame:
     """(h1, n, b0..b7): 512 bits, each the parity of the members that fall on it.
 
@@ -267,7 +355,8 @@ def _parity(classes: DataFrame) -> DataFrame:
     """
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            longs = _parity_longs(*_sets_of(batch, 2))
+            sizes, flat = _sets_of(batch, 2)
+            longs = _suffix_parities(flat, np.cumsum(sizes) - sizes, np.cumsum(sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(longs[:, k])) for k in range(8))], names=["h1", "n", *(f"b{k}" for k in range(8))])
 
     return classes.select("h1", "n", "members").mapInArrow(fold, "h1 long, n int, " + ", ".join(f"b{k} long" for k in range(8)))
