@@ -124,9 +124,9 @@ def test_snapshots(spark, tmp_path):
     assert {r.violation for r in snapshots.sidecar_violations(sidecars).collect()} == {"provider_differs", "bad_time", "bad_file_name"}
     payloads = snapshots.read_payloads(spark, sidecars, root).cache()
     assert snapshots.board_jobs(payloads).count() == 2  # the second payload isn't what its digest says
-    assert {r.found for r in snapshots.job_count_violations(payloads).collect()} == {2}
+    assert {(r.payload_path.split("/")[-2], r.violation) for r in snapshots.payload_violations(payloads).collect()} == {("acme", "unverified"), ("beta", "unverified"), ("ora", "job_count"), ("ora", "reported_count")}
     pages = snapshots.bundle_pages(payloads).orderBy("pos").collect()
-    assert [(p.page_ok, p.listing_ok, p["index"]) for p in pages] == [(True, True, {"Title": "from index", "Grade": "senior"}), (True, True, {})]
+    assert [(p.page_ok, p["index"]) for p in pages] == [(True, {"Title": "from index", "Grade": "senior"}), (True, {})]
     details = snapshots.json_details(snapshots.bundle_pages(payloads), "oracle_hcm")
     rows = canonical.from_json_details(details, "oracle_hcm").collect()
     assert [(r.source_job_id, r.title, r.location_raw, r.application_url) for r in rows] == [("9", "QA Engineer", "Durban", "https://p/9")] * 2 and {r.explicit_level for r in rows} == {"senior", ""}
@@ -168,46 +168,169 @@ def test_registry(spark, tmp_path):
     assert {r.source_token: r.employer_name for r in registry.with_employers(j, s, e).collect()} == {"a": "Acme", "q": None}
 
 
+def fetch_from(pages):
+    """A fake site: pages(url, body) gives bytes or a JSON value."""
+    def fetch(url, body=None, as_form=False):
+        value = pages(url, body)
+        return career_site.Answer(value if isinstance(value, bytes) else json.dumps(value).encode(), url)
+
+    return fetch
+
+
+WORKDAY = {"provider": "workday", "token": "a", "host": "https://w", "tenant": "t", "site": "s", "page_size": 20}
+ORACLE = {"provider": "oracle_hcm", "token": "a", "host": "https://o", "site": "CX", "page_size": 25}
+HTML = {"provider": "successfactors", "token": "a", "listing_url": "https://s/go/All/1"}
+AJAX = {"provider": "wp_job_manager", "token": "a", "listing_url": "https://x/careers", "api_url": "https://x/ajax"}
+
+
+def read_site(site, pages):
+    return dict(zip([c.split()[0] for c in career_site.SCHEMA.split(", ")], career_site.read_site(site, fetch_from(pages), T0)))
+
+
+def offset_of(url):
+    return int(re.search(r"offset=(\d+)", url)[1])
+
+
 def test_career_sites():
-    def fetch_from(pages):
-        return lambda url, body=None: json.dumps(pages(url, body)).encode() if not isinstance(pages(url, body), bytes) else pages(url, body)
-
-    ok = career_site.read_site({"provider": "greenhouse", "token": "a", "url": "https://b"}, fetch_from(lambda u, b: {"jobs": [1, 2]}))
-    assert ok[0][7] == 2 and ok[0][9] is None
-    assert "list of jobs" in career_site.read_site({"provider": "greenhouse", "token": "a", "url": "https://b"}, fetch_from(lambda u, b: {}))[0][9]
-    hidden = career_site.read_site({"provider": "lever", "token": "a", "url": "https://b"}, fetch_from(lambda u, b: [1]))
-    assert "back" in hidden[0][9] and hidden[0][2] == "failed"
-    listing = lambda u, b: {"total": 3, "jobPostings": [{"externalPath": f"/j{k}"} for k in range(b["offset"], min(3, b["offset"] + 2))]} if b else {"id": u}
-    rows = career_site.read_site({"provider": "workday", "token": "a", "url": "https://w", "page_size": 2}, fetch_from(listing))
-    assert [r[2] for r in rows] == ["listing", "listing", "detail", "detail", "detail"]
-    html = lambda u, b: b"<p>Results 1 - 1 of 1</p><a href='/job/x/1?a'>X</a>"
-    assert [r[2] for r in career_site.read_site({"provider": "successfactors", "token": "a", "url": "https://s"}, fetch_from(html))] == ["listing", "detail"]
-    stuck = career_site.read_site({"provider": "workday", "token": "a", "url": "https://w", "page_size": 1}, fetch_from(lambda u, b: {"total": 5, "jobPostings": [{"externalPath": "/j"}]}))
-    assert "without new" in stuck[0][9]
-    req = career_site.read_site({"provider": "oracle_hcm", "token": "a", "url": "https://o"}, fetch_from(lambda u, b: {"items": [{"TotalJobsCount": 1, "requisitionList": [{"Id": 4}]}]} if "offset" in u else {"Id": 4}))
-    assert [r[2] for r in req] == ["listing", "detail"] and req[1][4].endswith("/4")
-    ajax = career_site.read_site({"provider": "wp_job_manager", "token": "a", "url": "https://x"}, fetch_from(lambda u, b: {"found_jobs": True, "html": "", "max_num_pages": 1}))
-    assert "no links" in ajax[0][9]
+    ok = read_site({"provider": "greenhouse", "token": "a"}, lambda u, b: {"jobs": [1, 2]})
+    assert ok["source_job_count"] == 2 and ok["error"] is None and ok["endpoint"].startswith("https://boards-api.greenhouse.io/v1/boards/a/jobs")
+    assert "list of jobs" in read_site({"provider": "greenhouse", "token": "a"}, lambda u, b: {})["error"]
+    assert "back" in read_site({"provider": "lever", "token": "a"}, lambda u, b: [{}])["error"] and read_site({"provider": "lever", "token": "a"}, lambda u, b: [])["source_job_count"] == 0
+    page = b"<p>Results 1 - 1 of 1</p><table><tr><td><a href='/job/x/1?a'>X</a></td><td>Durban</td><td> </td><td>3 Aug 2026</td></tr></table>"
+    row = read_site(HTML, lambda u, b: page)
+    payload = json.loads(row["payload"])
+    assert (row["source_job_count"], row["listing_page_count"], row["detail_page_count"]) == (1, 1, 1)
+    assert payload["job_index"] == [{"source_job_id": "1", "title": "X", "location_raw": "Durban", "published_text": "3 Aug 2026", "application_url": "https://s/job/x/1"}]
+    assert hashlib.sha256(row["payload"]).hexdigest() == row["content_sha256"] and payload["job_pages"][0]["source_job_id"] == "1"
+    assert "how many" in read_site(HTML, lambda u, b: b"<a href='/job/x/1'>X</a>")["error"]
+    assert "lacks host" in read_site({"provider": "workday", "token": "a", "tenant": "t", "site": "s"}, lambda u, b: {})["error"]
     with pytest.raises(career_site.SiteError):
         career_site.http_fetch()("http://plain")
 
 
+def test_paged_sites_are_whole_or_fail():
+    def workday(total, n=60):
+        def pages(url, body):
+            if not body:
+                return {"id": url}
+            listed = [{"externalPath": f"/job/j{k}", "title": f"t{k}"} for k in range(body["offset"], min(n, body["offset"] + body["limit"]))]
+            return {"jobPostings": listed} | ({} if total is None else {"total": total(body["offset"])})
+        return pages
+
+    row = read_site(WORKDAY, workday(lambda o: 60))
+    payload = json.loads(row["payload"])
+    assert row["source_job_count"] == 60 and row["listing_page_count"] == 3 and payload["public_base_url"] == "https://w/en-US/s" and payload["job_pages"][59]["external_path"] == "/job/j59"
+    assert "no total" in read_site(WORKDAY, workday(None))["error"] and "changed" in read_site(WORKDAY, workday(lambda o: 60 + o))["error"]
+    assert "without new" in read_site(WORKDAY, workday(lambda o: 90))["error"] and "more than 2 pages" in read_site(WORKDAY | {"max_pages": 2}, workday(lambda o: 60))["error"]
+
+    def oracle(more, total=None, n=100):
+        def pages(url, body):
+            if "Details" in url:
+                return {"Id": url}
+            o = offset_of(url)
+            return {"items": [{"Id": k} for k in range(o, min(n, o + 25))]} | ({"hasMore": o + 25 < n} if more else {}) | ({} if total is None else {"totalResults": total})
+        return pages
+
+    for pages in (oracle(True), oracle(False), oracle(True, 100), oracle(False, 100)):
+        row = read_site(ORACLE, pages)
+        assert row["error"] is None and row["source_job_count"] == 100
+    assert "99 of" in read_site(ORACLE, oracle(True, 120, 99))["error"]
+    wrapped = read_site(ORACLE, lambda u, b: {"items": [{"TotalJobsCount": 1, "requisitionList": [{"Id": 4}]}]} if "offset" in u else {"Id": 4})
+    assert wrapped["source_job_count"] == 1
+
+    def ajax(number, n=3):
+        def pages(url, body):
+            if not body:
+                return b"<p>job</p>"
+            k = body["page"]
+            links = "".join(f"<li><a href='/jobs/dev-{k}-{i}/'></a><h3>Dev {k}</h3></li>" for i in range(2)) if k <= n else ""
+            return {"success": True, "data": {"html": links, "max_num_pages": number(k), "found_jobs": True}}
+        return pages
+
+    row = read_site(AJAX, ajax(lambda k: 3))
+    assert row["source_job_count"] == 6 and json.loads(row["payload"])["job_index"][0] == {"source_job_id": "dev-1-0", "title": "Dev 1", "location_raw": "", "published_text": "", "application_url": "https://x/jobs/dev-1-0/"}
+    assert "pages changed" in read_site(AJAX, ajax(lambda k: 3 + k))["error"] and "no links" in read_site(AJAX, ajax(lambda k: 1, 0))["error"]
+    assert "failed" in read_site(AJAX, lambda u, b: {"success": False})["error"]
+
+
 def test_career_source_runs_in_spark(spark):
     spark.dataSource.register(career_site.CareerSiteSource)
-    rows = spark.read.format("career_site").option("sites", json.dumps([{"provider": "lever", "token": "a", "url": "http://plain"}])).load().collect()
-    assert rows[0].kind == "failed" and "https" in rows[0].error
+    rows = spark.read.format("career_site").option("sites", json.dumps([{"provider": "successfactors", "token": "a", "listing_url": "http://plain"}])).load().collect()
+    assert "https" in rows[0].error and rows[0].payload is None
+
+
+def site_row(token, body, day, **kw):
+    row = {"provider": "greenhouse", "name": token, "token": token, "employer_id": "e", "endpoint": "https://b", "http_status": 200, "content_type": "application/json", "content_sha256": hashlib.sha256(body).hexdigest(), "byte_count": len(body), "source_job_count": 1, "listing_page_count": None, "detail_page_count": None, "collected_at": datetime(2026, 7, day), "payload": bytearray(body), "error": None}
+    return row | kw
 
 
 def test_raw_store(spark, tmp_path):
-    page = lambda day, body: ("lever", "a", hashlib.sha256(body).hexdigest(), bytearray(body), datetime(2026, 7, day))
-    ddl = "provider string, token string, content_sha256 string, body binary, collected_at timestamp"
     root = str(tmp_path / "raw")
-    status = lambda *rows: sorted(r.status for r in sinks.store_snapshots(spark, spark.createDataFrame(rows, ddl), root).collect())
-    assert status(page(1, b"x"), page(2, b"x")) == ["duplicate", "written"]
-    assert status(page(2, b"x")) == ["duplicate", "written"]  # a replay adds nothing
-    assert status(page(3, b"y")) == ["duplicate", "written", "written"] and spark.read.parquet(f"{root}/payloads").count() == 2
-    with pytest.raises(ValueError, match="two payloads"):
-        status(page(3, b"z"))
+    status = lambda *rows: [r.status for r in sinks.store_snapshots(spark, spark.createDataFrame(rows, career_site.SCHEMA), root).collect()]
+    one, two = b'{"jobs": [{"id": 1}]}', b'{"jobs": [{"id": 2}]}'
+    assert status(site_row("a", one, 1)) == ["written"] and status(site_row("a", one, 2)) == ["duplicate"] and status(site_row("a", two, 3)) == ["written"]
+    assert status(site_row("a", two, 3)) == ["duplicate"]  # a replay adds nothing
+    assert status(site_row("a", one, 3)) == ["failed"]  # another payload of the same time is never written over
+    assert status(site_row("b", one, 1), site_row("c", one, 1, error="SiteError: x", payload=None, content_sha256=None)) == ["written", "failed"]
+    assert len(list((tmp_path / "raw" / "greenhouse" / "a").glob("*.metadata.json"))) == 3 and len(list((tmp_path / "raw" / "greenhouse" / "a").iterdir())) == 5
+    sidecars = snapshots.read_sidecars(spark, root)
+    assert snapshots.sidecar_violations(sidecars).count() == 0 and snapshots.payload_violations(snapshots.read_payloads(spark, sidecars, root)).count() == 0
+    results = spark.createDataFrame([("lever", "n", "t", "written", 4, None, None, None), ("lever", "n", "u", "failed", 0, None, None, "e")], sinks.RESULT)
+    report = sinks.run_document(results, T0)
+    assert (report["successful_sources"], report["failed_sources"], report["total_source_jobs"], report["provider_job_counts"]) == (1, 1, 4, {"lever": 4})
+
+
+def test_workday_bundle_through_the_raw_path(spark, tmp_path):
+    """What a site's answers say ends up in the canonical row: nested details, the listing's fields where the detail has none."""
+    detail = {"jobPostingInfo": {"jobReqId": "R1", "title": "Nested title", "location": "Durban", "additionalLocations": ["Pretoria", "durban"], "jobDescription": "<p>Build &amp; run</p>", "startDate": "2026-07-01", "timeType": "Full time"}}
+    pages = lambda u, b: {"total": 1, "jobPostings": [{"externalPath": "/job/x_R1", "title": "Graduate Developer", "postedOn": "2026-06-30", "bulletFields": ["R1"]}]} if b else detail
+    row = read_site(WORKDAY, pages)
+    sinks.store_snapshots(spark, spark.createDataFrame([row | {"payload": bytearray(row["payload"])}], career_site.SCHEMA), str(tmp_path))
+    sidecars = snapshots.read_sidecars(spark, str(tmp_path), ["workday"])
+    payloads = snapshots.read_payloads(spark, sidecars, str(tmp_path), ["workday"])
+    assert snapshots.payload_violations(payloads).count() == 0
+    got = canonical.from_json_details(snapshots.json_details(snapshots.bundle_pages(payloads), "workday"), "workday").first()
+    assert (got.source_job_id, got.title, got.location_raw, got.office, got.description_text) == ("R1", "Graduate Developer", "Durban, Pretoria", "Durban", "Build & run")
+    assert got.application_url == "https://w/en-US/s/job/x_R1" and got.explicit_workplace == "Full time" and got.snapshot_path if "snapshot_path" in got else True
+    assert got.source_updated_at is not None and got.source_snapshot_path.startswith("workday/a/")
+    with pytest.raises(ValueError, match="no snapshots"):
+        snapshots.read_sidecars(spark, str(tmp_path), ["lever"])
+
+
+def test_payload_violations(spark, tmp_path):
+    def page(body):
+        return {"requested_url": "https://h/1", "body_base64": base64.b64encode(body).decode(), "content_sha256": hashlib.sha256(body).hexdigest()}
+
+    good = {"provider": "workday", "reported_job_count": 1, "listing_pages": [page(b"{}")], "job_pages": [page(b"{}")], "job_index": [{}]}
+    cases = {
+        "good": (good, {}), "other": (good | {"provider": "oracle_hcm"}, {}), "empty": (good | {"listing_pages": []}, {}), "nopages": (good | {"job_pages": None}, {"source_job_count": 1}),
+        "reported": (good | {"reported_job_count": 4}, {}), "unsound": (good | {"listing_pages": [page(b"{}") | {"content_sha256": "0"}], "job_pages": [], "reported_job_count": 0}, {"source_job_count": 0}),
+        "list": (good | {"job_pages": [page(b"[]")]}, {}), "count": (good | {"reported_job_count": 2}, {"source_job_count": 2}), "text": ("x", {"source_job_count": 0}), "digest": (good, {"content_sha256": "1" * 64}),
+    }
+    for token, (payload, kw) in cases.items():
+        _snapshot(tmp_path, "workday", token, "1", payload, **kw)
+    sidecars = snapshots.read_sidecars(spark, str(tmp_path))
+    got = {}
+    for r in snapshots.payload_violations(snapshots.read_payloads(spark, sidecars, str(tmp_path))).collect():
+        got.setdefault(r.payload_path.split("/")[-2], set()).add(r.violation)
+    assert got == {"other": {"wrong_provider"}, "empty": {"no_listing_pages"}, "nopages": {"no_pages", "job_count"}, "reported": {"reported_count"}, "unsound": {"unsound_page"}, "list": {"no_json_detail"}, "count": {"job_count"}, "text": {"no_payload", "job_count"}, "digest": {"unverified"}}
+
+
+def test_employer_agreement(spark):
+    s = spark.createDataFrame([("lever", "a", "acme"), ("lever", "b", "acme")], "provider string, token string, employer_id string")
+    seen = spark.createDataFrame([("lever", "a", "acme"), ("lever", "a ", None), ("lever", "b", "other"), ("lever", "b", " "), ("lever", "z", "acme")], "provider string, source_token string, employer_id string")
+    assert sorted(map(tuple, registry.employer_disagreements(seen, s).collect())) == [("lever", "b", "employer_differs"), ("lever", "z", "unknown_source")]
+
+
+def test_reports_are_read_with_their_keys(spark, tmp_path):
+    sinks.write_json(str(tmp_path / "r.json"), {"a": 1})
+    assert sinks.read_report(str(tmp_path / "r.json"), ["a"]) == {"a": 1}
+    for name, need in (("r.json", ["b"]), ("none.json", [])):
+        with pytest.raises(ValueError):
+            sinks.read_report(str(tmp_path / name), need)
+    assert sinks.read_csv(spark, str(tmp_path / "none.csv"), "x int, y string").count() == 0
+    (tmp_path / "t.csv").write_text("x,y\n1,a\nbad\n")
+    assert [tuple(r) for r in sinks.read_csv(spark, str(tmp_path / "t.csv"), "x int, y string").collect()] == [(1, "a")]
 
 
 def test_run_report_and_sinks(spark, tmp_path):
@@ -231,4 +354,4 @@ def test_streamed_history_equals_batch(spark, tmp_path):
     out = stream.latest_observations(stream.read_observations(spark, str(tmp_path / "in"), 1), "job_key", ["last_seen_at", "title"])
     stream.run_to_table(out, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     want = canonical.deduplicate(spark.createDataFrame(rows, ddl), "job_key", ["last_seen_at", "title"])
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, stream.read_streamed(spark, str(tmp_path / "out")).collect())) == sorted(map(tuple, want.collect()))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from datetime import UTC, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,6 +104,21 @@ def source_date(c: Column) -> Column:
     return F.coalesce(*named, iso_instant(c))
 
 
+def canonical_json(value: object) -> bytes:
+    """JSON whose bytes depend on the value alone: keys in order, no blanks, UTF-8, one line end."""
+    return (json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False) + "\n").encode()
+
+
+def file_stamp(at: datetime) -> str:
+    """A time as part of a file name, in UTC to the microsecond; times without a zone are UTC."""
+    return (at if at.tzinfo else at.replace(tzinfo=UTC)).astimezone(UTC).strftime("%Y%m%dT%H%M%S%fZ")
+
+
+def iso_text(c: Column) -> Column:
+    """A timestamp as ISO-8601 text in UTC."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
 def sql_strip(expr: str) -> str:
     return rf"regexp_replace({expr}, '^\s+|\s+$', '', 'g')"
 

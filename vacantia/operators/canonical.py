@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
 from vacantia.functions.html import html_visible_text
-from vacantia.functions.text import blank_to_null, iso_instant, normalize_whitespace, normalized_key, source_date, stable_key, unique_ci
+from vacantia.functions.text import blank_to_null, iso_instant, iso_text, normalize_whitespace, normalized_key, source_date, stable_key, unique_ci
 from vacantia.operators.classify import classify_location, classify_role_level, classify_technology, classify_workplace, score_role
 
 #: Columns that a provider's mapping gives, before classification.
@@ -235,20 +235,31 @@ def tidy(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return one.select(F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in values]), F.array(*[F.col(k) for k in values]))).alias("metric", "value"))
 
 
-def transform_report(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(counts, label counts) of a canonical table: the build's quality report in tidy form."""
+def snapshot_window(sidecars: DataFrame) -> dict:
+    """First and last time of collection as ISO text, and the number of snapshots."""
+    return sidecars.agg(iso_text(F.min("collected")).alias("source_window_start"), iso_text(F.max("collected")).alias("source_window_end"), F.count("*").alias("raw_snapshot_count")).first().asDict()
+
+
+def transform_report(jobs: DataFrame, sidecars: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(counts, label counts) of a canonical table: the build's quality report in tidy form; with ``sidecars`` also snapshots by source."""
+    target, early = F.col("is_target_market"), F.col("is_early_career")
     sa_tech = F.col("is_south_africa") & F.col("is_technology_role")
-    target = F.col("is_target_market")
     counts = tidy(jobs, {
         "canonical_job_count": F.count("*"), "south_africa_job_count": F.count_if("is_south_africa"), "technology_job_count": F.count_if("is_technology_role"),
-        "south_africa_technology_job_count": F.count_if(sa_tech), "target_market_job_count": F.count_if(target),
-        "talent_pool_job_count": F.count_if("is_talent_pool"), "role_level_evidence_count": F.count_if(F.size("role_level_evidence") > 0),
-        "raw_job_observation_count": F.sum("observation_count"),
+        "south_africa_technology_job_count": F.count_if(sa_tech), "target_market_job_count": F.count_if(target), "early_career_job_count": F.count_if(early),
+        "early_career_target_market_job_count": F.count_if(early & target), "talent_pool_job_count": F.count_if("is_talent_pool"), "role_level_evidence_count": F.count_if(F.size("role_level_evidence") > 0),
+        "raw_job_observation_count": F.sum("observation_count"), "duplicate_observations_removed": F.sum("observation_count") - F.count("*"),
     })
-    unspecified = lambda c: F.coalesce(blank_to_null(F.col(c)), F.lit("unspecified"))
-    metrics = {f"{c}_counts": unspecified(c) for c in ("role_level", "inferred_role_level", "role_level_confidence", "workplace_type", "company", "employer_name", "industry", "source_provider")}
-    metrics["parent_company_counts"] = F.coalesce(blank_to_null(F.col("parent_company")), F.col("employer_name"))
-    labels = label_counts(jobs, metrics)
-    targets = label_counts(jobs.where(target), {"target_market_role_level_counts": unspecified("role_level"), "target_market_company_counts": unspecified("company"), "target_market_inferred_role_level_counts": unspecified("inferred_role_level")})
-    issues = jobs.select(F.explode("data_quality_issues").alias("label")).groupBy(F.lit("data_quality_issue_counts").alias("metric"), "label").agg(F.count("*").alias("n"))
-    return counts, labels.unionByName(targets).unionByName(issues)
+    said = lambda c: F.coalesce(blank_to_null(F.col(c)), F.lit("unspecified"))
+    named = {f"{c}_counts": said(c) for c in ("role_level", "inferred_role_level", "role_level_confidence", "workplace_type", "company", "industry")}
+    named |= {"employer_counts": said("employer_name"), "provider_job_counts": said("source_provider"), "parent_company_counts": F.coalesce(blank_to_null(F.col("parent_company")), F.col("employer_name"))}
+    # Maps of a part of the jobs: null metrics are left out of the same single pass.
+    part = lambda name, which: F.when(which, name)
+    parts = [(part("target_market_role_level_counts", target), said("role_level")), (part("target_market_company_counts", target), said("company")), (part("target_market_inferred_role_level_counts", target), said("inferred_role_level")), (part("south_africa_technology_role_level_counts", sa_tech), said("role_level")), (part("early_career_target_market_company_counts", target & early), said("company"))]
+    pairs = [F.struct(F.lit(m).alias("metric"), c.cast("string").alias("label")) for m, c in named.items()] + [F.struct(m.alias("metric"), c.alias("label")) for m, c in parts]
+    issues = F.transform(F.coalesce("data_quality_issues", F.array().cast("array<string>")), lambda x: F.struct(F.lit("data_quality_issue_counts").alias("metric"), x.alias("label")))
+    rows = jobs.select(F.explode(F.concat(F.array(*pairs), issues)).alias("p")).where("p.metric is not null")
+    labels = rows.groupBy("p.metric", "p.label").agg(F.count("*").alias("n"))
+    if sidecars is not None:
+        labels = labels.unionByName(label_counts(sidecars, {"source_snapshot_counts": F.col("source_name")}))
+    return counts, labels

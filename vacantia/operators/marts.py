@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
-from vacantia.functions.text import blank_to_null, clean, job_text_sha256, label, strings
+from vacantia.functions.text import blank_to_null, clean, iso_text, job_text_sha256, label, strings
 from vacantia.operators.canonical import label_counts, tidy
 from vacantia.operators.skills import dimensions, enrich
 
@@ -170,6 +170,11 @@ def require_columns(df: DataFrame, kind: str) -> None:
         raise ValueError(f"{kind}: missing columns {', '.join(missing)}")
 
 
+def mart_window(jobs: DataFrame) -> dict:
+    """First and last sighting of the jobs mart as ISO text; null without jobs."""
+    return jobs.agg(iso_text(F.min("first_seen_at")).alias("source_window_start"), iso_text(F.max("last_seen_at")).alias("source_window_end")).first().asDict()
+
+
 def mart_counts(jobs: DataFrame) -> DataFrame:
     """(metric, value): counts of the jobs mart."""
     target = F.col("is_target_market")

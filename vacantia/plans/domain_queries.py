@@ -608,4 +608,4 @@ def stream_latest(spark, d):
     rows = stream.read_observations(spark, f"{d}/job_observations.parquet")
     out = stream.latest_observations(rows, "job_key", _ORDERED).select("job_key", "title", "obs_id", F.unix_micros("first_seen_at").alias("first_us"), F.unix_micros("last_seen_at").alias("last_us"), "observation_count")
     stream.run_to_table(out, f"{place}/table", f"{place}/state").awaitTermination()
-    return spark.read.parquet(f"{place}/table")
+    return stream.read_streamed(spark, f"{place}/table")

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.functions.html import html_detail_fields, html_posting_json
+from vacantia.functions.text import file_stamp
 from vacantia.operators import audit, canonical, marts
-from vacantia.sources import registry, sinks, snapshots
+from vacantia.sources import career_site, registry, sinks, snapshots
 from vacantia.session import cut
 
 
+#: Version of the marts' columns.
+MART_VERSION = 1
+
+
 class BuildError(Exception):
     """An input breaks a rule; the message names the first few cases."""
 
@@ -21,43 +30,59 @@ def refuse(violations: DataFrame, what: str) -> None:
         raise BuildError(f"{what}: " + "; ".join(", ".join(map(str, r)) for r in rows))
 
 
-def observations(payloads: DataFrame) -> DataFrame:
-    """Canonical observations of all providers' verified payloads."""
-    pages = snapshots.bundle_pages(payloads)
-    refuse(pages.where(~F.coalesce("page_ok", F.lit(False)) | ~F.col("listing_ok")).select("snapshot_path", "pos"), "pages that aren't what their digests say")
-    index = F.struct(*[F.col("index")[c].alias(c) for c in ("source_job_id", "title", "location_raw", "published_text")])
-    html = pages.withColumnsRenamed({"body": "html"}).withColumn("index", index)
-    mapped = [
-        canonical.from_board(snapshots.board_jobs(payloads)),
-        canonical.from_postings(snapshots.posting_jobs(payloads)),
-        canonical.from_html_details(html.where("provider = 'successfactors'"), html_detail_fields("html")),
-        canonical.from_posting_json(html.where("provider = 'wp_job_manager'"), html_posting_json("html")),
-        *[canonical.from_json_details(snapshots.json_details(pages, p), p) for p in ("workday", "oracle_hcm")],
-    ]
-    out = mapped[0]
-    for m in mapped[1:]:
-        out = out.unionByName(m)
+def observations(spark: SparkSession, sidecars: DataFrame, raw: str, providers: Sequence[str]) -> DataFrame:
+    """Canonical observations of the verified payloads of some providers; each provider's folder is read for its own branch only."""
+    out = None
+    for p in providers:
+        payloads = snapshots.read_payloads(spark, sidecars.where(F.col("provider") == p), raw, [p])
+        if p in ("greenhouse", "lever"):
+            mapped = canonical.from_board(snapshots.board_jobs(payloads)) if p == "greenhouse" else canonical.from_postings(snapshots.posting_jobs(payloads))
+        else:
+            pages = snapshots.bundle_pages(payloads)
+            html = pages.withColumnRenamed("body", "html")
+            if p == "successfactors":
+                index = F.struct(*[F.col("index")[c].alias(c) for c in ("source_job_id", "title", "location_raw", "published_text")])
+                mapped = canonical.from_html_details(html.withColumn("index", index), html_detail_fields("html"))
+            elif p == "wp_job_manager":
+                mapped = canonical.from_posting_json(html, html_posting_json("html"))
+            else:
+                mapped = canonical.from_json_details(snapshots.json_details(pages, p), p)
+        out = mapped if out is None else out.unionByName(mapped)
     return canonical.canonical_observations(out)
 
 
+def collect(spark: SparkSession, raw: str, employers: str, sources: str, tokens: list[str] | None = None, timeout: float = 30.0, at: datetime | None = None) -> dict:
+    """Read all configured sites, or those of some tokens, into the raw store; the run's report, also written to <raw>/_runs.
+
+    BuildError or ValueError if the configuration breaks a rule; a site's failure is part of the report.
+    """
+    e, s = registry.read_employers(spark, employers), registry.read_sources(spark, sources, tokens=tokens)
+    refuse(registry.employer_violations(e), "registry")
+    refuse(registry.source_violations(s, e), "sources")
+    now = at or datetime.now(UTC)
+    spark.dataSource.register(career_site.CareerSiteSource)
+    sites = json.dumps([{k: v for k, v in r.asDict().items() if v is not None} for r in s.orderBy("provider", "token").collect()])
+    read = spark.read.format("career_site").option("sites", sites).option("timeout", str(timeout)).option("collected_at", now.isoformat()).load()
+    report = sinks.run_document(sinks.store_snapshots(spark, read, raw), now)
+    sinks.write_json(f"{raw.removeprefix('file://')}/_runs/{file_stamp(now)}.json", report)
+    return report
+
+
 def build_jobs(spark: SparkSession, raw: str, employers: str, sources: str, out: str) -> DataFrame:
     """Snapshots under ``raw`` to <out>/jobs.parquet and quality-report.json; BuildError if an input breaks a rule."""
     e, s = registry.read_employers(spark, employers), registry.read_sources(spark, sources)
     refuse(registry.employer_violations(e), "registry")
     refuse(registry.source_violations(s, e), "sources")
     sidecars = cut(snapshots.read_sidecars(spark, raw))
-    if not sidecars.limit(1).count():
-        raise BuildError("no snapshots")
     refuse(snapshots.sidecar_violations(sidecars), "sidecars")
-    payloads = snapshots.read_payloads(spark, sidecars, raw)
-    refuse(payloads.where(~F.coalesce("verified", F.lit(False))).select("payload_path"), "payloads that aren't what their sidecars say")
-    refuse(snapshots.job_count_violations(payloads), "numbers of postings")
-    seen = registry.with_employers(observations(payloads), s, e)
-    refuse(seen.where("employer_id is null").select("source_provider", "source_token").distinct(), "snapshots of unknown sources")
+    refuse(registry.employer_disagreements(sidecars, s), "employers of snapshots")
+    refuse(snapshots.payload_violations(snapshots.read_payloads(spark, sidecars, raw)), "payloads")
+    providers = sorted(r.provider for r in sidecars.select("provider").distinct().collect())  # one of six each, see sidecar_violations
+    seen = registry.with_employers(observations(spark, sidecars, raw, providers), s, e)
     jobs = canonical.deduplicate(seen, "job_key", ["last_seen_at", "source_updated_at", "source_snapshot_path"], issues="data_quality_issues")
     sinks.write_table(jobs, f"{out}/jobs.parquet")
     jobs = spark.read.parquet(f"{out}/jobs.parquet")
-    sinks.write_json(f"{out}/quality-report.json", sinks.report_json(*canonical.transform_report(jobs)))
+    sinks.write_json(f"{out}/quality-report.json", canonical.snapshot_window(sidecars) | {"target_market_definition": "south_africa_technology_roles"} | sinks.report_json(*canonical.transform_report(jobs, sidecars)))
     return jobs
 
 
@@ -82,8 +107,17 @@ def build_marts(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     sinks.write_table(marts.dashboard_jobs(jobs, skills, needs), f"{out}/dashboard_jobs.parquet")
     sinks.write_table(marts.dashboard_skills(jobs, skills), f"{out}/dashboard_skills.parquet")
     a, b = spark.read.parquet(f"{out}/dashboard_jobs.parquet"), spark.read.parquet(f"{out}/dashboard_skills.parquet")
-    sinks.write_json(f"{out}/dashboard-quality-report.json", sinks.report_json(marts.mart_counts(a), marts.mart_labels(a, b), marts.mart_warnings(a)))
-    return a, b
+    own = {"schema_version": MART_VERSION, "dashboard_skill_row_count": b.count()} | marts.mart_window(a)
+    sinks.write_json(f"{out}/dashboard-quality-report.json", own | sinks.report_json(marts.mart_counts(a), marts.mart_labels(a, b), marts.mart_warnings(a)))
+    return read_marts(spark, out)[:2]
+
+
+def read_marts(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame, dict]:
+    """Both marts and their report; ValueError if one isn't there or the report lacks a key."""
+    report = sinks.read_report(f"{out}/dashboard-quality-report.json", ["schema_version", "dashboard_job_count", "dashboard_skill_row_count", "warnings"])
+    if missing := [n for n in ("dashboard_jobs", "dashboard_skills") if not sinks.exists(spark, f"{out}/{n}.parquet")]:
+        raise ValueError(f"no {', '.join(missing)} in {out}")
+    return spark.read.parquet(f"{out}/dashboard_jobs.parquet"), spark.read.parquet(f"{out}/dashboard_skills.parquet"), report
 
 
 def build_audits(spark: SparkSession, out: str) -> None:

@@ -3,8 +3,9 @@
     spark.dataSource.register(CareerSiteSource)
     spark.read.format("career_site").option("sites", json).load()
 
-``sites`` is a JSON list of {provider, token, url, page_size, max_pages, timeout}. Rows are raw pages with their digests; a
-site that fails gives one row with its error, so a failing site doesn't end the run.
+``sites`` is a JSON list of source configurations (registry.SOURCE). Each site gives one row: its payload as it is stored,
+with digest and counts, or its error, so a failing site doesn't end the run. The payload of a board is its answer; that of
+a site with pages is a bundle: the listing pages and the posting pages with their digests, and what the listing says of each.
 """
 
 from __future__ import annotations
@@ -13,178 +14,287 @@ import base64
 import hashlib
 import json
 import re
+import time
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from vacantia.functions.html import page_links
+from vacantia.functions.html import listed_postings, parse
+from vacantia.functions.text import canonical_json
 
-SCHEMA = "provider string, token string, kind string, page_no int, url string, content_sha256 string, body_base64 string, job_count int, collected_at timestamp, error string"
-Fetch = Callable[[str, dict | None], bytes]
+SCHEMA = (
+    "provider string, name string, token string, employer_id string, endpoint string, http_status int, content_type string, content_sha256 string, byte_count long, "
+    "source_job_count long, listing_page_count long, detail_page_count long, collected_at timestamp, payload binary, error string"
+)
+AGENT = "vacantia (job-posting statistics; see the repository)"
 
 
 class SiteError(Exception):
     """A site's answer breaks its contract."""
 
 
+@dataclass
+class Answer:
+    raw: bytes
+    url: str
+    status: int = 200
+    content_type: str = ""
+
+    def json(self) -> object:
+        try:
+            return json.loads(self.raw)
+        except ValueError as e:
+            raise SiteError(f"no JSON: {self.url}") from e
+
+    def object(self) -> dict:
+        if not isinstance(value := self.json(), dict):
+            raise SiteError(f"object expected: {self.url}")
+        return value
+
+
+#: fetch(url, body, as_form): GET without a body, else POST of it as JSON or as a form.
+Fetch = Callable[[str, dict | None, bool], Answer]
+
+
 def http_fetch(timeout: float = 30.0) -> Fetch:
-    """GET, or POST of a JSON body; only https."""
-    def fetch(url: str, body: dict | None = None) -> bytes:
+    """Requests over https only."""
+    def fetch(url: str, body: dict | None = None, as_form: bool = False) -> Answer:
         if not url.startswith("https://"):
             raise SiteError(f"not https: {url}")
-        data = None if body is None else json.dumps(body).encode()
-        headers = {"Accept": "application/json, text/html", **({"Content-Type": "application/json"} if data else {})}
-        with urllib.request.urlopen(urllib.request.Request(url, data, headers), timeout=timeout) as answer:
-            return answer.read()
+        data = None if body is None else urllib.parse.urlencode(body).encode() if as_form else json.dumps(body).encode()
+        headers = {"Accept": "application/json, text/html", "User-Agent": AGENT} | ({"Content-Type": "application/json"} if data and not as_form else {})
+        with urllib.request.urlopen(urllib.request.Request(url, data, headers), timeout=timeout) as a:
+            return Answer(a.read(), a.geturl(), a.status, a.headers.get("Content-Type", ""))
 
     return fetch
 
 
-def _query(url: str, **values: object) -> str:
-    return url + ("&" if "?" in url else "?") + urllib.parse.urlencode(values)
+@dataclass
+class Listing:
+    """What one listing page says: its answer, {posting: what is said of it}, the announced total, whether more pages follow (None: not said)."""
 
+    answer: Answer
+    asked: str
+    found: dict[str, dict]
+    total: int | None = None
+    more: bool | None = None
+    request: dict = field(default_factory=dict)
 
-def _object(raw: bytes) -> dict:
-    value = json.loads(raw)
-    if not isinstance(value, dict):
-        raise SiteError("object expected")
-    return value
 
+@dataclass
+class Payload:
+    endpoint: str
+    raw: bytes
+    jobs: int
+    status: int = 200
+    content_type: str = "application/json"
+    listing_pages: int | None = None
+    detail_pages: int | None = None
 
-def board(site: dict, fetch: Fetch) -> Iterator[tuple[str, str, bytes, int]]:
-    """One request; the payload must have a list of jobs."""
-    url = _query(site["url"], content="true")
-    raw = fetch(url, None)
-    jobs = _object(raw).get("jobs")
-    if not isinstance(jobs, list):
-        raise SiteError("no list of jobs")
-    yield "payload", url, raw, len(jobs)
 
+def _get(url: str, **values: object) -> str:
+    return url + ("&" if "?" in url else "?") + urllib.parse.urlencode(values)
 
-def postings(site: dict, fetch: Fetch) -> Iterator[tuple[str, str, bytes, int]]:
-    """One request up to a limit; a second one past the end proves that nothing was held back."""
-    limit = site.get("page_size") or 500
-    url = _query(site["url"], mode="json", limit=limit)
-    raw = fetch(url, None)
-    jobs = json.loads(raw)
-    if not isinstance(jobs, list) or len(jobs) >= limit:
-        raise SiteError("no list, or the limit is reached")
-    if json.loads(fetch(_query(site["url"], mode="json", skip=len(jobs), limit=1), None)):
-        raise SiteError("the site holds postings back")
-    yield "payload", url, raw, len(jobs)
+
+def _need(site: dict, *names: str) -> None:
+    if missing := [n for n in names if not site.get(n)]:
+        raise SiteError(f"source lacks {', '.join(missing)}")
 
 
-def _pages(site: dict, page: Callable[[int], tuple[str, bytes, list[str], int | None]], details: Callable[[str], str], fetch: Fetch, size: int) -> Iterator[tuple[str, str, bytes, int]]:
-    """Listing pages by offset until all announced postings are seen, then each posting's page.
+def walk(site: dict, page: Callable[[int], Listing], step: int = 1) -> tuple[list[Listing], dict[str, dict], int | None]:
+    """Listing pages until the announced total is there or no more are said to follow; (pages, postings, total).
 
-    Totals must not change between pages; a page without new postings and too many pages are errors.
+    Errors: a total that changes or isn't met, a page without new postings while more must come, and more pages than
+    max_pages. Where neither total nor an end is announced, an empty page is the end. Nothing is cut short in silence.
     """
-    seen: dict[str, None] = {}
-    total: int | None = None
+    pages: list[Listing] = []
+    found: dict[str, dict] = {}
+    total = None
     for k in range(site.get("max_pages") or 20):
-        url, raw, found, announced = page(k * size)
-        if total is None:
-            total = announced
-        elif announced is not None and announced != total:
-            raise SiteError(f"total changed from {total} to {announced}")
-        fresh = [f for f in found if f not in seen]
-        yield "listing", url, raw, 0
-        seen.update(dict.fromkeys(fresh))
-        if len(seen) >= (total or 0):
+        now = page(k * step)
+        total = now.total if total is None else total
+        if now.total is not None and now.total != total:
+            raise SiteError(f"total changed from {total} to {now.total}")
+        pages.append(now)
+        before = len(found)
+        for posting, said in now.found.items():
+            found.setdefault(posting, said)
+        if now.more is False or (total is not None and len(found) >= total) or (total is None and now.more is None and not now.found):
             break
-        if not fresh:
+        if len(found) == before:
             raise SiteError("a page without new postings")
-    if total is not None and len(seen) != total:
-        raise SiteError(f"{len(seen)} of {total} postings")
-    for path in seen:
-        url = details(path)
-        yield "detail", url, fetch(url, None), 1
-
-
-def html_listing(site: dict, fetch: Fetch) -> Iterator[tuple[str, str, bytes, int]]:
-    """HTML listing with a banner "Results x - y of z" and links to postings."""
-    size = site.get("page_size") or 25
-
-    def page(offset: int):
-        url = site["url"].rstrip("/") + (f"/{offset}/" if offset else "/")
-        raw = fetch(url, None)
-        text = raw.decode("utf-8", "replace")
-        m = re.search(r"(?i)results\s*\d+\s*[-–—]\s*\d+\s*of\s*([\d,]+)", re.sub(r"<[^>]+>", " ", text))
-        return url, raw, [u for u, _ in page_links(text, "/job/")], int(m[1].replace(",", "")) if m else 0
-
-    yield from _pages(site, page, lambda path: urllib.parse.urljoin(site["url"], path), fetch, size)
-
-
-def posted_listing(site: dict, fetch: Fetch) -> Iterator[tuple[str, str, bytes, int]]:
-    """JSON listing by POST with offset and limit; postings are told apart by their external path."""
-    size = site.get("page_size") or 20
-
-    def page(offset: int):
-        url = site["url"].rstrip("/") + "/jobs"
-        raw = fetch(url, {"appliedFacets": {}, "limit": size, "offset": offset, "searchText": ""})
-        value = _object(raw)
-        return url, raw, [p["externalPath"] for p in value.get("jobPostings", []) if p.get("externalPath")], value.get("total")
-
-    yield from _pages(site, page, lambda path: site["url"].rstrip("/") + path, fetch, size)
-
-
-def requisitions(site: dict, fetch: Fetch) -> Iterator[tuple[str, str, bytes, int]]:
-    """REST listing by offset; without a total, hasMore ends it."""
-    size = site.get("page_size") or 25
-    more = {"on": True}
-
-    def page(offset: int):
-        url = _query(site["url"], onlyData="true", limit=size, offset=offset)
-        raw = fetch(url, None)
-        value = _object(raw)
-        items = [i for outer in value.get("items", []) for i in outer.get("requisitionList", [outer])]
-        ids = [str(i.get("Id") or i.get("RequisitionId")) for i in items]
-        more["on"] = bool(value.get("hasMore"))
-        total = next((x for x in (value.get("totalResults"), value.get("total"), *(o.get("TotalJobsCount") for o in value.get("items", []))) if x is not None), None)
-        return url, raw, ids, total if total is not None else (None if more["on"] else offset + len(ids))
-
-    yield from _pages(site, page, lambda path: site["url"].rstrip("/") + "/" + urllib.parse.quote(path), fetch, size)
-
-
-def ajax_listing(site: dict, fetch: Fetch) -> Iterator[tuple[str, str, bytes, int]]:
-    """JSON pages with HTML of links and the number of pages."""
-    links: dict[str, None] = {}
-    pages, k = 1, 1
-    while k <= pages:
-        if k > (site.get("max_pages") or 10):
-            raise SiteError("too many pages")
-        url = _query(site["url"], page=k, per_page=site.get("page_size") or 100)
-        raw = fetch(url, None)
-        value = _object(raw)
-        found = [u for u, _ in page_links(value.get("html") or "", "/job")]
-        if value.get("found_jobs") and not found and k == 1:
-            raise SiteError("jobs reported but no links")
-        pages = int(value.get("max_num_pages") or 0)
-        links.update(dict.fromkeys(found))
-        yield "listing", url, raw, 0
-        k += 1
-    for path in links:
-        url = urllib.parse.urljoin(site["url"], path)
-        yield "detail", url, fetch(url, None), 1
-
-
-READERS = {"greenhouse": board, "lever": postings, "successfactors": html_listing, "workday": posted_listing, "oracle_hcm": requisitions, "wp_job_manager": ajax_listing}
-
-
-def read_site(site: dict, fetch: Fetch, now: datetime | None = None) -> list[tuple]:
-    """All rows of a site, or its one error row."""
+    else:
+        raise SiteError(f"more than {site.get('max_pages') or 20} pages")
+    if total is not None and len(found) != total:
+        raise SiteError(f"{len(found)} of {total} postings")
+    return pages, found, total
+
+
+def _record(answer: Answer, asked: str, **more: object) -> dict:
+    return {"requested_url": asked, "final_url": answer.url, "status_code": answer.status, "content_type": answer.content_type, "content_sha256": hashlib.sha256(answer.raw).hexdigest(), "body_base64": base64.b64encode(answer.raw).decode()} | more
+
+
+def bundle(site: dict, endpoint: str, pages: list[Listing], found: dict[str, dict], address: Callable[[str], str], fetch: Fetch, own: Callable[[str, dict], dict], is_json: bool, **said: object) -> Payload:
+    """Every posting's page, after the site's delay, and all of it as one canonical JSON payload."""
+    details = []
+    for posting, index in found.items():
+        if delay := site.get("request_delay_seconds"):
+            time.sleep(delay)
+        answer = fetch(address(posting), None, False)
+        if is_json:
+            answer.object()
+        details.append(_record(answer, address(posting), **own(posting, index)))
+    value = {
+        "provider": site["provider"], "source_token": site["token"], "listing_url": endpoint, "reported_job_count": len(found), **said,
+        "listing_pages": [_record(p.answer, p.asked, **({"request": p.request} if p.request else {})) for p in pages], "job_index": list(found.values()), "job_pages": details,
+    }
+    kind = f"application/vnd.vacantia.{site['provider'].replace('_', '-')}+json"
+    return Payload(endpoint, canonical_json(value), len(found), content_type=kind, listing_pages=len(pages), detail_pages=len(details))
+
+
+def board(site: dict, fetch: Fetch) -> Payload:
+    """One request; the payload must have a list of jobs."""
+    url = _get(site.get("api_url") or f"https://boards-api.greenhouse.io/v1/boards/{site['token']}/jobs", content="true")
+    answer = fetch(url, None, False)
+    jobs = answer.object().get("jobs")
+    if not isinstance(jobs, list):
+        raise SiteError("no list of jobs")
+    return Payload(answer.url, answer.raw, len(jobs), answer.status, answer.content_type)
+
+
+def postings(site: dict, fetch: Fetch) -> Payload:
+    """One request up to a limit; a second one past the end proves that nothing was held back."""
+    limit, base = site.get("page_size") or 500, site.get("api_url") or f"https://api.lever.co/v0/postings/{site['token']}"
+    answer = fetch(_get(base, mode="json", limit=limit), None, False)
+    jobs = answer.json()
+    if not isinstance(jobs, list) or not all(isinstance(j, dict) for j in jobs) or len(jobs) >= limit:
+        raise SiteError("no list of postings, or the limit is reached")
+    if jobs:
+        rest = fetch(_get(base, mode="json", skip=len(jobs), limit=1), None, False).json()
+        if not isinstance(rest, list) or rest:
+            raise SiteError("the site holds postings back")
+    return Payload(answer.url, answer.raw, len(jobs), answer.status, answer.content_type)
+
+
+def html_listing(site: dict, fetch: Fetch) -> Payload:
+    """HTML listing with a banner "Results x - y of z" and rows with links to postings."""
+    _need(site, "listing_url")
+    base = urllib.parse.urlsplit(site["listing_url"])
+
+    def page(offset: int) -> Listing:
+        url = site["listing_url"] if not offset else base._replace(path=f"{base.path.rstrip('/')}/{offset}/").geturl()
+        answer = fetch(url, None, False)
+        text = answer.raw.decode("utf-8", "replace")
+        banner = re.search(r"(?i)results\s+\d+\s*[-–—]\s*\d+\s+of\s+([\d,]+)", parse(text).text())
+        if not banner:
+            raise SiteError("the listing doesn't say how many results it has")
+        return Listing(answer, url, {p["application_url"]: p for p in listed_postings(text, answer.url)}, int(banner[1].replace(",", "")))
+
+    pages, found, _ = walk(site, page, site.get("page_size") or 25)
+    return bundle(site, site["listing_url"], pages, found, lambda url: url, fetch, lambda _, index: {"source_job_id": index["source_job_id"]}, False)
+
+
+def posted_listing(site: dict, fetch: Fetch) -> Payload:
+    """JSON listing by POST with offset and limit, whose total is a must; postings are told apart by their external path."""
+    _need(site, "host", "tenant", "site")
+    size, host = site.get("page_size") or 20, site["host"].rstrip("/")
+    base = f"{host}/wday/cxs/{site['tenant']}/{site['site']}"
+
+    def page(offset: int) -> Listing:
+        body = {"appliedFacets": {}, "limit": size, "offset": offset, "searchText": ""}
+        answer = fetch(f"{base}/jobs", body, False)
+        value = answer.object()
+        total, listed = value.get("total"), value.get("jobPostings")
+        if type(total) is not int or total < 0 or not isinstance(listed, list):
+            raise SiteError("no total, or no list of postings")
+        found = {str(p.get("externalPath") or p.get("external_path") or p.get("url") or "") if isinstance(p, dict) else "": p for p in listed}
+        if "" in found:
+            raise SiteError("a posting without its path")
+        return Listing(answer, f"{base}/jobs", found, total, request=body)
+
+    pages, found, _ = walk(site, page, size)
+    return bundle(site, f"{base}/jobs", pages, found, lambda path: f"{base}/{path.lstrip('/')}", fetch, lambda path, _: {"external_path": path}, True, public_base_url=f"{host}/en-US/{site['site']}")
+
+
+# Fields that name a requisition.
+_REQUISITION_IDS = ("Id", "ID", "RequisitionId", "RequisitionNumber", "requisitionNumber")
+
+
+def requisitions(site: dict, fetch: Fetch) -> Payload:
+    """REST listing by offset, its total optional; hasMore says whether pages follow, also beside a total."""
+    _need(site, "host", "site")
+    size, host = site.get("page_size") or 25, site["host"].rstrip("/")
+    root = f"{host}/hcmRestApi/resources/latest"
+
+    def page(offset: int) -> Listing:
+        asked = {"finder": f"findReqs;siteNumber={site['site']}", "limit": size, "offset": offset, "onlyData": "true"}
+        answer = fetch(_get(f"{root}/recruitingCEJobRequisitions", **asked), None, False)
+        value = answer.object()
+        items = value.get("items")
+        if not isinstance(items, list) or not all(isinstance(i, dict) for i in items):
+            raise SiteError("no list of items")
+        # Some sites wrap the requisitions into one item with their number.
+        inner = [r for i in items for r in (i["requisitionList"] if isinstance(i.get("requisitionList"), list) else [i])]
+        total = next((x for x in (value.get("totalResults"), value.get("total"), *(i.get("TotalJobsCount") for i in items)) if x is not None), None)
+        if total is not None and (type(total) is not int or total < 0):
+            raise SiteError("the total is no number")
+        found = {str(next((r[k] for k in _REQUISITION_IDS if r.get(k)), "")): r for r in inner}
+        if "" in found:
+            raise SiteError("a requisition without an id")
+        more = value.get("hasMore")
+        return Listing(answer, f"{root}/recruitingCEJobRequisitions", found, total, more if isinstance(more, bool) else None, asked)
+
+    pages, found, _ = walk(site, page, size)
+    detail = lambda key: _get(f"{root}/recruitingCEJobRequisitionDetails/{urllib.parse.quote(key, safe='')}", onlyData="true")
+    return bundle(site, f"{root}/recruitingCEJobRequisitions", pages, found, detail, fetch, lambda key, _: {"source_job_id": key}, True, public_base_url=f"{host}/hcmUI/CandidateExperience/en/sites/{site['site']}/job")
+
+
+def ajax_listing(site: dict, fetch: Fetch) -> Payload:
+    """Pages of HTML in JSON, by a form, with the number of pages; that number must not change."""
+    _need(site, "listing_url", "api_url")
+    seen = {"pages": 0, "jobs": False}
+
+    def page(k: int) -> Listing:
+        form = {"action": "get_listings", "search_keywords": "", "search_location": "", "filter_job_type[]": "", "per_page": site.get("page_size") or 100, "page": k + 1, "orderby": "featured", "order": "DESC", "show_pagination": "false"}
+        answer = fetch(site["api_url"], form, True)
+        value = answer.object()
+        data = value.get("data")
+        if value.get("success") is not True or not isinstance(data, dict) or not isinstance(data.get("html"), str) or not str(data.get("max_num_pages") or 0).isdigit():
+            raise SiteError("the listing request failed")
+        number = int(data.get("max_num_pages") or 0)
+        if k and number and number != seen["pages"]:
+            raise SiteError(f"pages changed from {seen['pages']} to {number}")
+        seen["pages"], seen["jobs"] = seen["pages"] if k else max(number, 1), seen["jobs"] or bool(data.get("found_jobs"))
+        found = {p["application_url"]: p for p in listed_postings(data["html"], site["listing_url"], "/jobs/")}
+        return Listing(answer, site["api_url"], found, None, k + 1 < seen["pages"], form)
+
+    pages, found, _ = walk(site, page)
+    if seen["jobs"] and not found:
+        raise SiteError("jobs are reported, but there are no links")
+    return bundle(site, site["listing_url"], pages, found, lambda url: url, fetch, lambda _, index: {"source_job_id": index["source_job_id"]}, False, api_url=site["api_url"], reported_page_count=seen["pages"])
+
+
+READERS: dict[str, Callable[[dict, Fetch], Payload]] = {"greenhouse": board, "lever": postings, "successfactors": html_listing, "workday": posted_listing, "oracle_hcm": requisitions, "wp_job_manager": ajax_listing}
+
+
+def read_site(site: dict, fetch: Fetch, now: datetime | None = None) -> tuple:
+    """The row of a site: its payload, or its error."""
+    who = (site.get("provider"), site.get("name") or site.get("token"), site.get("token"), site.get("employer_id"))
     at = now or datetime.now(UTC)
     try:
-        pages = list(READERS[site["provider"]](site, fetch))
+        p = READERS[site["provider"]](site, fetch)
     except Exception as e:  # noqa: BLE001 - a site's failure of any kind is its result
-        return [(site.get("provider"), site.get("token"), "failed", 0, site.get("url"), None, None, 0, at, f"{type(e).__name__}: {e}"[:500])]
-    return [(site["provider"], site["token"], kind, k, url, hashlib.sha256(raw).hexdigest(), base64.b64encode(raw).decode(), n, at, None) for k, (kind, url, raw, n) in enumerate(pages)]
+        return (*who, site.get("listing_url") or site.get("api_url") or site.get("host"), None, None, None, None, 0, None, None, at, None, f"{type(e).__name__}: {e}")
+    return (*who, p.endpoint, p.status, p.content_type, hashlib.sha256(p.raw).hexdigest(), len(p.raw), p.jobs, p.listing_pages, p.detail_pages, at, p.raw, None)
 
 
 class CareerSiteSource(DataSource):
+    """Options: sites, timeout in seconds, collected_at (ISO; one time for all sites of a run)."""
+
     @classmethod
     def name(cls) -> str:
         return "career_site"
@@ -193,15 +303,16 @@ class CareerSiteSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(json.loads(self.options["sites"]), float(self.options.get("timeout", "30")))
+        at = self.options.get("collected_at")
+        return _Reader(json.loads(self.options["sites"]), float(self.options.get("timeout", "30")), datetime.fromisoformat(at) if at else None)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, sites: list[dict], timeout: float) -> None:
-        self.sites, self.timeout = sites, timeout
+    def __init__(self, sites: list[dict], timeout: float, now: datetime | None) -> None:
+        self.sites, self.timeout, self.now = sites, timeout, now
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(k) for k in range(len(self.sites))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        yield from read_site(self.sites[partition.value], http_fetch(self.timeout))
+        yield read_site(self.sites[partition.value], http_fetch(self.timeout), self.now)

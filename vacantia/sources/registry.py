@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from vacantia.functions.text import strip
 
 EMPLOYER = "id string, name string, parent_company string, brands array<string>, industry string, head_office_city string, country string, graduate_programme string, listed_company boolean, remote_scope string, priority string, collection_status string"
-SOURCE = "name string, provider string, token string, employer_id string, enabled boolean, url string, api_url string, host string, tenant string, site string, page_size int, max_pages int, request_delay_seconds double, priority int"
+SOURCE = "name string, provider string, token string, employer_id string, enabled boolean, listing_url string, api_url string, host string, tenant string, site string, page_size int, max_pages int, request_delay_seconds double, priority int"
 # Allowed labels of a registry.
 PRIORITIES = ["tier_1", "tier_2", "tier_3"]
+NEEDED = {"successfactors": ["listing_url"], "workday": ["host", "tenant", "site"], "oracle_hcm": ["host", "site"], "wp_job_manager": ["listing_url", "api_url"], "greenhouse": [], "lever": []}
 STATUSES = ["active", "candidate", "paused", "retired"]
 SCOPES = ["south_africa", "africa", "emea", "global", "multi_country", "unknown"]
 
@@ -61,7 +62,9 @@ def employer_violations(e: DataFrame) -> DataFrame:
 def source_violations(s: DataFrame, e: DataFrame) -> DataFrame:
     """(key, violation) of sources: tidy values, unique (provider, token), and an employer in the registry, active if enabled."""
     rules = {
-        "blank_token": F.col("token").isNull() | (strip(F.col("token")) == ""), "plain_http": F.coalesce(~F.lower("url").startswith("https://"), F.lit(False)) | F.coalesce(~F.lower("api_url").startswith("https://"), F.lit(False)),
+        "blank_token": F.col("token").isNull() | (strip(F.col("token")) == ""), "unknown_provider": ~F.col("provider").isin(list(NEEDED)),
+        "plain_http": F.exists(F.array("listing_url", "api_url", "host"), lambda u: F.coalesce(~F.lower(u).startswith("https://"), F.lit(False))),
+        "incomplete": F.exists(F.create_map(*[x for p, names in NEEDED.items() for x in (F.lit(p), F.array(*[F.coalesce(strip(F.col(n)), F.lit("")) for n in names]).cast("array<string>"))])[F.col("provider")], lambda v: v == "") & F.col("provider").isin(list(NEEDED)),
         "bad_page_size": F.coalesce(F.col("page_size") <= 0, F.lit(False)) | F.coalesce(F.col("max_pages") <= 0, F.lit(False)), "bad_delay": F.coalesce(F.col("request_delay_seconds") < 0, F.lit(False)),
     }
     known = e.select(F.col("id").alias("employer_id"), "collection_status")
@@ -80,6 +83,14 @@ def with_employers(jobs: DataFrame, sources: DataFrame, employers: DataFrame) ->
     return jobs.join(link, ["source_provider", "source_token"], "left").join(e, "employer_id", "left")
 
 
+def employer_disagreements(sidecars: DataFrame, sources: DataFrame) -> DataFrame:
+    """(provider, token, violation) of snapshots whose source isn't configured, or that name another employer than it."""
+    own = sidecars.select("provider", strip(F.col("source_token")).alias("token"), strip(F.col("employer_id")).alias("own")).distinct()
+    rows = own.join(sources.select("provider", "token", F.col("employer_id").alias("known")), ["provider", "token"], "left")
+    what = F.when(F.col("known").isNull(), "unknown_source").when((F.col("own") != "") & (F.col("own") != F.col("known")), "employer_differs")
+    return rows.select("provider", "token", what.alias("violation")).where("violation is not null").distinct()
+
+
 def employers_where(e: DataFrame, priority: str | None = None, status: str | None = None) -> DataFrame:
     out = e if priority is None else e.where(F.col("priority") == priority)
     return out if status is None else out.where(F.col("collection_status") == status)

@@ -25,9 +25,13 @@ BUNDLE = f"struct<provider:string,source_token:string,reported_job_count:bigint,
 def read_sidecars(spark: SparkSession, root: str, providers: list[str] | None = None) -> DataFrame:
     """One row per sidecar under <root>/<provider>/<token>/, with its path, provider folder and the payload's path.
 
-    Provider folders prune the scan. Fields that a sidecar lacks are null; a file that is no JSON gives nulls, and so a violation.
+    Provider folders prune the scan; a provider that is asked for and has no sidecar is an error. Fields that a sidecar lacks are null; a file that is no JSON gives nulls, and so a violation.
     """
     paths = [f"{root}/{p}/*/*.metadata.json" for p in providers] if providers else [f"{root}/*/*/*.metadata.json"]
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    for p in paths:
+        if not spark._jvm.org.apache.hadoop.fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path(p)):
+            raise ValueError(f"no snapshots: {p}")
     rows = spark.read.schema(SIDECAR).option("multiLine", True).json(paths)
     path = F.col("_metadata.file_path")
     rows = rows.select("*", path.alias("sidecar_path"), F.regexp_extract(path, r"([^/]+)/[^/]+/[^/]+$", 1).alias("provider"))
@@ -47,12 +51,14 @@ def sidecar_violations(sidecars: DataFrame) -> DataFrame:
     return sidecars.select("sidecar_path", F.explode(found).alias("violation"))
 
 
-def read_payloads(spark: SparkSession, sidecars: DataFrame, root: str) -> DataFrame:
+def read_payloads(spark: SparkSession, sidecars: DataFrame, root: str, providers: list[str] | None = None) -> DataFrame:
     """Sidecars with the payload's bytes and ``verified``: whether its SHA-256 is the sidecar's digest; null without a file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).where(~F.col("path").endswith(".metadata.json")).select(F.col("path").alias("payload_path"), "content")
+    files = spark.read.format("binaryFile").load([f"{root}/{p}/*/" for p in providers] if providers else f"{root}/*/*/").where(~F.col("path").endswith(".metadata.json")).select(F.col("path").alias("payload_path"), "content")
     return sidecars.join(files, "payload_path", "left").withColumn("verified", F.sha2("content", 256) == F.col("content_sha256"))
 
 
+# Lineage paths begin at the provider's folder.
+_RELATIVE = r"^.*/(?=[^/]+/[^/]+/[^/]+$)"
 _META = ["provider", "source_name", "source_token", "employer_id", "content_sha256", "collected", "payload_path", "source_job_count"]
 
 
@@ -68,22 +74,21 @@ def posting_jobs(payloads: DataFrame) -> DataFrame:
 
 
 def _with_meta(rows: DataFrame) -> DataFrame:
-    return rows.select("source_name", "source_token", "employer_id", "content_sha256", F.col("collected").alias("collected_at"), F.regexp_replace("payload_path", r"^.*/(?=[^/]+/[^/]+/[^/]+$)", "").alias("snapshot_path"), "pos", "job.*")
+    return rows.select("source_name", "source_token", "employer_id", "content_sha256", F.col("collected").alias("collected_at"), F.regexp_replace("payload_path", _RELATIVE, "").alias("snapshot_path"), "pos", "job.*")
 
 
 def bundle_pages(payloads: DataFrame) -> DataFrame:
     """One row per detail page of bundle payloads: decoded body, whether its own digest holds, and its index entry by position.
 
-    A missing index entry is an empty map. ``listing_ok``: whether there are listing pages and all of them are sound.
+    A missing index entry is an empty map. Whole bundles are checked by payload_violations.
     """
     rows = payloads.where(~F.col("provider").isin("greenhouse", "lever") & F.col("verified")).select(*_META, F.from_json(F.decode("content", "UTF-8"), BUNDLE).alias("b"))
     sound = lambda p: F.sha2(F.try_to_binary(p["body_base64"], F.lit("base64")), 256) == p["content_sha256"]
-    rows = rows.withColumn("listing_ok", (F.size("b.listing_pages") > 0) & F.coalesce(F.forall("b.listing_pages", sound), F.lit(False)))
-    rows = rows.select(*_META, "b", "listing_ok", F.posexplode("b.job_pages").alias("pos", "page"))
+    rows = rows.select(*_META, "b", F.posexplode("b.job_pages").alias("pos", "page"))
     body = F.try_to_binary(F.col("page.body_base64"), F.lit("base64"))
     index = F.coalesce(F.get("b.job_index", F.col("pos")), F.create_map().cast("map<string,string>"))
     return rows.select(
-        "provider", "source_name", "source_token", "employer_id", "content_sha256", F.col("collected").alias("collected_at"), F.col("payload_path").alias("snapshot_path"), "listing_ok", "pos",
+        "provider", "source_name", "source_token", "employer_id", "content_sha256", F.col("collected").alias("collected_at"), F.regexp_replace("payload_path", _RELATIVE, "").alias("snapshot_path"), "pos",
         F.coalesce(F.col("page.final_url"), F.col("page.requested_url")).alias("url"), F.decode(body, "UTF-8").alias("body"), sound(F.col("page")).alias("page_ok"), index.alias("index"),
         F.col("b.public_base_url").alias("public_base_url"), F.col("page.external_path").alias("external_path"),
     )
@@ -92,26 +97,47 @@ def bundle_pages(payloads: DataFrame) -> DataFrame:
 def json_details(pages: DataFrame, provider: str) -> DataFrame:
     """Detail objects of a REST provider: the detail's fields over the index's, with addresses added, as JSON text.
 
-    A body with a single-element ``items`` is that element.
+    Nested objects stay objects. A body with a single-element ``items`` is that element.
     """
-    item = F.get_json_object("body", "$.items[0]")
-    detail = F.from_json(F.coalesce(item, F.col("body")), "map<string,string>")
-    extra = F.map_filter(F.create_map(F.lit("_detail_url"), F.col("url"), F.lit("_public_base_url"), F.col("public_base_url"), F.lit("_external_path"), F.col("external_path")), lambda k, v: v.isNotNull())
-    own = F.coalesce(detail, F.create_map().cast("map<string,string>"))
-    index = F.map_filter("index", lambda k, v: ~F.array_contains(F.map_keys(own), k))
-    merged = F.map_concat(index, F.map_filter(own, lambda k, v: ~F.array_contains(F.map_keys(extra), k)), F.map_filter(extra, lambda k, v: ~F.map_contains_key(index, k)))
+    fields = "map<string,variant>"
+    single = F.when(F.get_json_object("body", "$.items[1]").isNull(), F.get_json_object("body", "$.items[0]"))
+    detail = F.try_parse_json(F.coalesce(single, F.col("body")))
+    own = F.coalesce(F.when(F.schema_of_variant(detail).startswith("OBJECT"), detail.cast(fields)), F.create_map().cast(fields))
+    path = F.coalesce(F.col("external_path"), F.col("index")["externalPath"], F.col("index")["external_path"])
+    extra = F.map_filter(F.create_map(F.lit("_detail_url"), F.col("url"), F.lit("_public_base_url"), F.col("public_base_url"), F.lit("_external_path"), path), lambda k, v: v.isNotNull())
+    rest = lambda m, *above: F.map_filter(m, lambda k, v: ~F.array_contains(F.flatten(F.array(*[F.map_keys(x) for x in above])), k))
+    merged = F.map_concat(rest(F.col("index"), own, extra).cast(fields), rest(own, extra), extra.cast(fields))
     return pages.where(F.col("provider") == provider).withColumn("detail", F.to_json(merged))
 
 
-def job_count_violations(payloads: DataFrame) -> DataFrame:
-    """(payload_path, expected, found) of verified payloads whose number of postings isn't the sidecar's."""
-    text = F.decode("content", "UTF-8")
-    n = (
-        F.when(F.col("provider") == "greenhouse", F.size(F.from_json(text, BOARD)["jobs"]))
-        .when(F.col("provider") == "lever", F.size(F.from_json(text, POSTINGS)))
-        .otherwise(F.size(F.from_json(text, BUNDLE)["job_pages"]))
-    )
-    return payloads.where("verified").select("payload_path", F.col("source_job_count").alias("expected"), n.cast("long").alias("found")).where(~F.col("expected").eqNullSafe(F.col("found")))
+def payload_violations(payloads: DataFrame) -> DataFrame:
+    """(payload_path, violation) of every rule that a payload breaks; each payload is hashed and parsed once.
+
+    unverified: the digest isn't the sidecar's, or there is no file. no_payload: it hasn't the shape of its provider's
+    payloads. job_count: the number of postings isn't the sidecar's. Of bundles: wrong_provider, no_listing_pages,
+    no_pages, reported_count, unsound_page (a listing or posting page whose digest doesn't hold), no_json_detail (a REST
+    detail that is no object), also where there are no posting pages at all.
+    """
+    text, provider = F.decode("content", "UTF-8"), F.col("provider")
+    is_board, is_postings = provider == "greenhouse", provider == "lever"
+    rows = payloads.withColumns({
+        "_ok": F.coalesce("verified", F.lit(False)), "_j": F.when(is_board, F.from_json(text, BOARD)["jobs"]), "_l": F.when(is_postings, F.from_json(text, POSTINGS)),
+        "_b": F.when(~is_board & ~is_postings, F.from_json(text, BUNDLE)),
+    })
+    n = F.when(is_board, F.size("_j")).when(is_postings, F.size("_l")).otherwise(F.size("_b.job_pages"))
+    body = lambda p: F.try_to_binary(p["body_base64"], F.lit("base64"))
+    sound = lambda p: F.coalesce(F.sha2(body(p), 256) == p["content_sha256"], F.lit(False))
+    is_object = lambda p: F.coalesce(F.schema_of_variant(F.try_parse_json(F.decode(body(p), "UTF-8"))).startswith("OBJECT"), F.lit(False))
+    b, is_bundle, expected = "_b", F.col("_b").isNotNull(), F.col("source_job_count")
+    rules = {
+        "no_payload": F.coalesce(F.col("_j").isNull() & F.col("_l").isNull() & ~is_bundle, F.lit(True)), "job_count": ~expected.eqNullSafe(n.cast("long")),
+        "wrong_provider": is_bundle & ~F.col(f"{b}.provider").eqNullSafe(provider), "no_listing_pages": is_bundle & (F.coalesce(F.size(f"{b}.listing_pages"), F.lit(0)) <= 0),
+        "no_pages": is_bundle & (F.col(f"{b}.job_pages").isNull() | F.col(f"{b}.job_index").isNull()), "reported_count": is_bundle & ~F.col(f"{b}.reported_job_count").eqNullSafe(expected),
+        "unsound_page": is_bundle & ~(F.coalesce(F.forall(f"{b}.listing_pages", sound), F.lit(True)) & F.coalesce(F.forall(f"{b}.job_pages", sound), F.lit(True))),
+        "no_json_detail": is_bundle & provider.isin("workday", "oracle_hcm") & ~F.coalesce(F.forall(f"{b}.job_pages", is_object), F.lit(True)),
+    }
+    found = F.when(~F.col("_ok"), F.array(F.lit("unverified"))).otherwise(F.array_compact(F.array(*[F.when(c, name) for name, c in rules.items()])))
+    return rows.select("payload_path", F.explode(found).alias("violation"))
 
 
 def observation_status(rows: DataFrame, source: list[str], digest: str, time: Column | str) -> DataFrame:
