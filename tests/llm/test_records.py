@@ -61,7 +61,7 @@ def test_near_duplicates_by_either_way(spark, monkeypatch):
     df = spark.createDataFrame(rows, "key string, text string")
     found = []
     for boundary in (0, 60, 1 << 30):
-        monkeypatch.setattr(nearjoin, "_boundary", lambda *_, b=boundary: b)
+        monkeypatch.setattr(nearjoin, "_boundary", lambda *_, b=boundary: (b, 0))
         found.append({tuple(r) for r in nearjoin.record_pairs(*nearjoin.near_duplicates(df, "key", ["text"], "text", 0, 3, 3, 5)).collect()})
     assert found[0] == found[1] == found[2] == brute(rows, 3, 3, 5)
 
@@ -93,7 +93,7 @@ def test_near_duplicates_at_the_threshold_of_frequent_members(spark, monkeypatch
     if piece:
         monkeypatch.setattr(nearjoin, "PIECE", piece)
     if boundary is not None:
-        monkeypatch.setattr(nearjoin, "_boundary", lambda *_: boundary)
+        monkeypatch.setattr(nearjoin, "_boundary", lambda *_: (boundary, 0))
     sets = threshold_sets(size, 300, size, share)
     df = spark.createDataFrame([(k, -k, len(m), m) for k, m in enumerate(sets)], "h1 long, h2 long, n int, members array<long>")
     got = {(r.a1, r.b1) for r in nearjoin.class_pairs(df, 3, 5).collect()}

@@ -32,6 +32,8 @@ SUBSET_COST = 20
 COUNTERS = 1 << 20
 #: Sets of an inverted list in one piece, about; a longer list is cut and its pieces are paired, so that it is no task of its own.
 PIECE = 4096
+#: Candidates whose sets are told by a broadcast of their hashes (16 bytes a pair).
+FEW = 500_000
 #: Pairs that are looked at in one step.
 STEP = 1 << 20
 
@@ -198,8 +200,8 @@ def _frequencies(classes: DataFrame) -> np.ndarray:
     return out
 
 
-def _boundary(classes: DataFrame, counters, ratio: float) -> int:
-    """The set size from which scanning inverted lists costs less, in all, than enumerating subsets.
+def _boundary(classes: DataFrame, counters, ratio: float) -> tuple[int, int]:
+    """The set size from which scanning inverted lists costs less, in all, than enumerating subsets; and a size that no set is below.
 
     Costs are summed by size to one row per 16 sizes; sizes above 2**20 share a row.
     """
@@ -223,12 +225,14 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> int:
             enum, scan = enum + r.enum, scan - r.scan
         if best is None or enum + scan < best:
             best, at = enum + scan, 0 if r is None else 16 * (r["size"] + 1)
-    return at
+    return at, 16 * rows[0]["size"] if rows else 0
 
 
-#: Columns of an inverted list: the list or pair of its pieces, the piece (0: one only), the set, its size, its members from
-#: here on that others have too, how many must be common, members before this one, parities of the members from here on.
-_LIST = {"key": "long", "side": "byte", "c": "long", "n": "int", "left": "int", "need": "int", "before": "int", **{f"b{k}": "long" for k in range(8)}}
+#: Longs of parities in the lists, and in the last check before whole sets are compared.
+LIST_LONGS, SET_LONGS = 6, 8
+#: Columns of an inverted list: the list or pair of its pieces; the set's size, its members before this one and the piece (0: one
+#: only) in one number, which sorts by size; the set; parities of its members from here on.
+_LIST = {"key": "long", "place": "long", "c": "long", **{f"b{k}": "long" for k in range(LIST_LONGS)}}
 
 
 def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
@@ -239,25 +243,25 @@ def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.n
     at = p.start[row] + place
     member, pieces = p.members[at], p.counts[at] // piece + 1
     base = (np.cumsum(sizes) - sizes)[p.of]
-    before, bits = at - base[row], _suffix_parities(p.members, at, (base + sizes[p.of])[row])
+    before, bits = at - base[row], _suffix_parities(p.members, at, (base + sizes[p.of])[row], LIST_LONGS)
     again = np.repeat(np.arange(len(row)), pieces)
     other = np.arange(len(again)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    row, place, member, pieces, before, bits = row[again], place[again], member[again], pieces[again], before[again], bits[again]
+    row, member, pieces, before, bits = row[again], member[again], pieces[again], before[again], bits[again]
     # The hash of the set alone may follow the order in which rows are dealt to tasks; it is mixed once more.
     own = (_step(np.full(len(row), 7, np.uint64), ids[p.of[row]]) % pieces.astype(np.uint64)).astype(np.int64)
     low, high = np.minimum(own, other), np.maximum(own, other)
     cell = _step(_step(_step(np.ones(len(row), np.uint64), member), low), high).view(np.int64)
-    side = np.where(own == other, 0, np.where(own < other, 1, 2)).astype(np.int8)
-    columns = [np.where(pieces > 1, cell, member), side, ids[p.of[row]], *(x.astype(np.int32) for x in (sizes[p.of[row]], p.left[row] - place, p.need[row], before)), *(np.ascontiguousarray(bits[:, k]) for k in range(8))]
+    side = np.where(own == other, 0, np.where(own < other, 1, 2))
+    columns = [np.where(pieces > 1, cell, member), sizes[p.of[row]] << 33 | before << 2 | side, ids[p.of[row]], *(np.ascontiguousarray(bits[:, k]) for k in range(LIST_LONGS))]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_LIST))
 
 
-def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """512 bits as 8 longs for each run members[at:end]: each bit the parity of the members that fall on it."""
-    bit = (members >> 40) & 511
+def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray, longs: int) -> np.ndarray:
+    """Some longs of bits for each run members[at:end]: each bit the parity of the members that fall on it."""
+    bit = ((members >> 32) & 0xFFFFFF) % (64 * longs)
     one = np.uint64(1) << (bit & 63).astype(np.uint64)
-    out = np.empty((len(at), 8), dtype=np.uint64)
-    for k in range(8):
+    out = np.empty((len(at), longs), dtype=np.uint64)
+    for k in range(longs):
         sums = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(np.where(bit >> 6 == k, one, np.uint64(0)))]) if len(members) else np.zeros(1, np.uint64)
         out[:, k] = sums[end] ^ sums[at]
     return out.view(np.int64)
@@ -286,10 +290,12 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Ite
         if not whole:
             continue
         key = key[:whole]
-        side, c, n, left, need, before, *bits = (now.column(x).to_numpy()[:whole] for x in list(_LIST)[1:])
+        place, c, *bits = (now.column(x).to_numpy()[:whole] for x in list(_LIST)[1:])
+        n, before, side = place >> 33, (place >> 2) & 0x7FFFFFFF, place & 3
+        need = np.ceil(ratio * n - 1e-9).astype(np.int64)
         bits = [x.view(np.uint64) for x in bits]
         group = np.cumsum(np.diff(key, prepend=key[0]) != 0).astype(np.int64) << 32
-        end = np.searchsorted(group + n, group + np.floor(left / ratio + 1e-9).astype(np.int64), side="right")
+        end = np.searchsorted(group + n, group + np.floor((n - before) / ratio + 1e-9).astype(np.int64), side="right")
         partners = np.maximum(end - np.arange(whole) - 1, 0)
         total = np.concatenate([[0], np.cumsum(partners)])
         k = 0
@@ -302,9 +308,9 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Ite
             # The greater set is y: how much more may differ.
             room = n[x] + n[y] - 2 * need[y] - before[x] - before[y]
             able = np.flatnonzero((room >= 0) & (n[y] >= boundary))
-            for b in range(8):
+            for own in bits:
                 x, y, room = x[able], y[able], room[able]
-                room -= np.bitwise_count(bits[b][x] ^ bits[b][y])
+                room -= np.bitwise_count(own[x] ^ own[y])
                 able = np.flatnonzero(room >= 0)
             x, y = x[able], y[able]
             able = (c[x] != c[y]) & ((side[x] ^ side[y] == 3) | (side[x] + side[y] == 0))
@@ -321,7 +327,7 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
     would broadcast a side that doesn't fit.
     """
     counters = classes.sparkSession.sparkContext.broadcast(_frequencies(classes))
-    boundary, piece = _boundary(classes, counters, ratio), PIECE
+    (boundary, least), piece = _boundary(classes, counters, ratio), PIECE
 
     def enumerate_subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,15 +343,30 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
             for k in range(0, batch.num_rows, 512):
                 yield _listed(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece)
 
-    small = classes.where(F.col("n") < boundary).select("h1", "members").mapInArrow(enumerate_subsets, "sig long, c long")
-    light = small.alias("x").join(small.alias("y").hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c"))).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
     # Inverted lists: a set at or above the boundary against all sets that can be its partner.
     lists = classes.where(F.col("n") >= math.floor(boundary * ratio)).select("h1", "members").mapInArrow(list_members, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
-    heavy = lists.repartition("key").sortWithinPartitions("key", "n").mapInArrow(lambda batches: _scan(batches, boundary, ratio), "a long, b long")
-    # Sets so small that fewer than SUBSET common members are enough: any common member makes a candidate.
-    tiny = classes.where(F.col("n") * ratio <= SUBSET - 1).select("h1", F.explode("members").alias("m"))
-    single = tiny.alias("x").join(tiny.alias("y").hint("merge"), (F.col("x.m") == F.col("y.m")) & (F.col("x.h1") < F.col("y.h1"))).select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b"))
-    return light.unionByName(heavy).unionByName(single).distinct()
+    out = lists.repartition("key").sortWithinPartitions("key", "place").mapInArrow(lambda batches: _scan(batches, boundary, ratio), "a long, b long")
+    loose = []
+    if least < boundary:
+        small = classes.where(F.col("n") < boundary).select("h1", "members").mapInArrow(enumerate_subsets, "sig long, c long")
+        loose.append(small.alias("x").join(small.alias("y").hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c"))).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
+    if least * ratio <= SUBSET - 1:
+        # Sets so small that fewer than SUBSET common members are enough: any common member makes a candidate.
+        tiny = classes.where(F.col("n") * ratio <= SUBSET - 1).select("h1", F.explode("members").alias("m"))
+        loose.append(tiny.alias("x").join(tiny.alias("y").hint("merge"), (F.col("x.m") == F.col("y.m")) & (F.col("x.h1") < F.col("y.h1"))).select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b")))
+    for more in loose:
+        out = out.unionByName(_possible(more.distinct(), classes, ratio))
+    return out.distinct()
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, ratio: float) -> DataFrame:
+    """Of pairs of sets those whose parities allow as much in common as must be."""
+    parity = _parity(classes)
+    left = parity.select(F.col("h1").alias("a"), F.col("n").alias("na"), *[F.col(f"b{k}").alias(f"l{k}") for k in range(SET_LONGS)])
+    right = parity.select(F.col("h1").alias("b"), F.col("n").alias("nb"), *[F.col(f"b{k}").alias(f"r{k}") for k in range(SET_LONGS)])
+    differ = sum((F.bit_count(F.col(f"l{k}").bitwiseXOR(F.col(f"r{k}"))) for k in range(SET_LONGS)), F.lit(0))
+    most_common = (F.col("na") + F.col("nb") - differ) / 2
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(most_common >= ratio * F.greatest("na", "nb") - 1e-9).select("a", "b")
 
 
 def _parity(classes: DataFrame) -> DataFrame:
@@ -356,22 +377,19 @@ def _parity(classes: DataFrame) -> DataFrame:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, flat = _sets_of(batch, 2)
-            longs = _suffix_parities(flat, np.cumsum(sizes) - sizes, np.cumsum(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(longs[:, k])) for k in range(8))], names=["h1", "n", *(f"b{k}" for k in range(8))])
+            longs = _suffix_parities(flat, np.cumsum(sizes) - sizes, np.cumsum(sizes), SET_LONGS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(longs[:, k])) for k in range(SET_LONGS))], names=["h1", "n", *(f"b{k}" for k in range(SET_LONGS))])
 
-    return classes.select("h1", "n", "members").mapInArrow(fold, "h1 long, n int, " + ", ".join(f"b{k} long" for k in range(8)))
+    return classes.select("h1", "n", "members").mapInArrow(fold, "h1 long, n int, " + ", ".join(f"b{k} long" for k in range(SET_LONGS)))
 
 
 def class_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     """(a1, a2, b1, b2): hashes of each two different sets of which den * common >= num * size holds for both sizes."""
-    ratio = num / den
-    pairs = _candidates(classes, ratio)
-    parity = _parity(classes)
-    left = parity.select(F.col("h1").alias("a"), F.col("n").alias("na"), *[F.col(f"b{k}").alias(f"l{k}") for k in range(8)])
-    right = parity.select(F.col("h1").alias("b"), F.col("n").alias("nb"), *[F.col(f"b{k}").alias(f"r{k}") for k in range(8)])
-    differ = sum((F.bit_count(F.col(f"l{k}").bitwiseXOR(F.col(f"r{k}"))) for k in range(8)), F.lit(0))
-    most_common = (F.col("na") + F.col("nb") - differ) / 2
-    kept = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(den * most_common >= num * F.greatest("na", "nb")).select("a", "b")
+    kept = cut(_candidates(classes, num / den))
+    if kept.count() <= FEW:
+        # Few pairs: only their sets are shuffled. At most twice as many hashes are broadcast.
+        both = kept.select("a").unionByName(kept.select(F.col("b").alias("a"))).distinct()
+        classes = classes.join(F.broadcast(both), F.col("h1") == F.col("a"), "left_semi")
     x = classes.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("members").alias("ma"))
     y = classes.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("members").alias("mb"))
     common = F.size(F.array_intersect("ma", "mb"))
