@@ -80,8 +80,8 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, doc_id: str, source: str,
     at most two; what all blocks leave flies again in fewer blocks until one block per source is left, whose one or two
     documents are landed by a draw. So no task sees a whole source, however large.
 
-    The few documents that hold a thousandth of their source each (at most a thousand per source) are drawn first, on
-    the driver, by the same method; the others' copies then make up for the difference, so that a very long document
+    The few documents that hold a thousandth of their source each (at most a thousand per source, one task each) are
+    drawn first by the same method; the others' copies then make up for the difference, so that a very long document
     doesn't spoil its source's share.
 
     Documents of null or unlisted sources, and those without tokens (null and empty texts), stay out; listed sources
@@ -94,26 +94,28 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, doc_id: str, source: str,
     plan = mix_plan(own, weights, source, total_tokens)
     if not plan:
         return spark.createDataFrame([], schema)
-    limit = F.create_map(*[F.lit(x) for r in plan for x in (r["_s"], r["tokens"] * GIANT)])[F.col(source)]
-    giant = F.col("n_tokens") >= limit
-    drawn = []
-    giants = own.where(giant).select(doc_id, source, "n_tokens", F.xxhash64(F.lit(seed), doc_id, source).alias("h")).collect()
-    for r in plan:
-        mine = sorted((g for g in giants if g[source] == r["_s"]), key=lambda g: (g.h, g[0]))
-        whole = int(r["copies"] + _EPS)
-        rng = np.random.default_rng([seed, len(mine)])
-        pi = flight(np.full(len(mine), max(0.0, r["copies"] - whole)), np.array([g.n_tokens for g in mine], dtype=float), rng)
+    of = lambda key: F.create_map(*[F.lit(x) for r in plan for x in (r["_s"], r[key])])[F.col(source)]
+    giant = F.col("n_tokens") >= of("tokens") * GIANT
+    hashed = own.select(doc_id, source, "n_tokens", F.xxhash64(F.lit(seed), doc_id, source).alias("_h"))
+
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Copies of a source's giants, a thousand rows at most."""
+        pdf = pdf.sort_values(["_h", doc_id]).reset_index(drop=True)
+        share, rng = float(pdf._copies.iloc[0]), np.random.default_rng([seed, len(pdf)])
+        whole = int(share + _EPS)
+        pi = flight(np.full(len(pdf), max(0.0, share - whole)), pdf.n_tokens.to_numpy(dtype=float), rng)
         left = np.flatnonzero((pi > 0) & (pi < 1))
         pi[left] = _landing(pi[left], rng)
-        drawn += [(g[0], g[1], g.n_tokens, whole + int(p)) for g, p in zip(mine, pi) if whole + int(p) > 0]
-        size = sum(g.n_tokens for g in mine)
-        taken = sum(g.n_tokens * (whole + int(p)) for g, p in zip(mine, pi))
-        rest = r["tokens"] - size
-        r["rest"] = min(float(r["max_repeats"]), max(0.0, (r["copies"] * r["tokens"] - taken) / rest)) if rest else 0.0
-    copies = F.create_map(*[F.lit(x) for r in plan for x in (r["_s"], r["rest"])])
-    most = F.create_map(*[F.lit(x) for r in plan for x in (r["_s"], int(r["docs"]))])
-    rows = own.where(F.col(source).isin([r["_s"] for r in plan]) & ~giant).withColumn("_c", copies[F.col(source)])
-    rows = rows.select("*", F.floor(F.col("_c") + _EPS).cast("int").alias("_whole"), F.xxhash64(F.lit(seed), doc_id, source).alias("_h"))
+        return pdf[[doc_id, source, "n_tokens"]].assign(copies=(whole + pi).astype(int))
+
+    drawn = cut(hashed.where(giant).withColumn("_copies", of("copies")).groupBy(source).applyInPandas(draw, schema))
+    taken = {r[source]: r for r in drawn.groupBy(source).agg(F.sum("n_tokens").alias("size"), F.sum(F.col("n_tokens") * F.col("copies")).alias("taken")).collect()}
+    for r in plan:
+        t = taken.get(r["_s"])
+        rest = r["tokens"] - (t.size if t else 0)
+        r["rest"] = min(float(r["max_repeats"]), max(0.0, (r["copies"] * r["tokens"] - (t["taken"] if t else 0)) / rest)) if rest else 0.0
+    rows = hashed.where(F.col(source).isin([r["_s"] for r in plan]) & ~giant).withColumn("_c", of("rest"))
+    rows = rows.select(doc_id, source, "n_tokens", "_c", F.floor(F.col("_c") + _EPS).cast("int").alias("_whole"), "_h")
     rows = rows.withColumn("_pi", F.greatest(F.lit(0.0), F.col("_c") - F.col("_whole"))).drop("_c")
     state = "{0} {1}, {2} string, n_tokens long, _whole int, _h long, _pi double, _docs long".format(doc_id, dict(sizes.dtypes)[doc_id], source)
 
@@ -126,7 +128,7 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, doc_id: str, source: str,
             pi[left] = _landing(pi[left], rng)
         return pdf.assign(_pi=pi)
 
-    todo = rows.withColumn("_docs", most[F.col(source)].cast("long"))
+    todo = rows.withColumn("_docs", of("docs").cast("long"))
     done = None
     largest = max(int(r["docs"]) for r in plan)
     while True:
@@ -142,7 +144,7 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, doc_id: str, source: str,
         todo = flown.where(f"not ({settled})").withColumn("_docs", 2 * F.ceil(F.col("_docs") / BLOCK))
         largest = 2 * -(-largest // BLOCK)
     sampled = done.select(doc_id, source, "n_tokens", (F.col("_whole") + F.col("_pi")).cast("int").alias("copies")).where("copies > 0")
-    return sampled.unionByName(spark.createDataFrame(drawn, schema))
+    return sampled.unionByName(drawn.where("copies > 0"))
 
 
 def mix_shares(mix: DataFrame, weights: DataFrame, source: str) -> DataFrame:

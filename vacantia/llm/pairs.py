@@ -13,6 +13,8 @@ from vacantia.session import cut
 
 #: Packed codes held in a run before it is sorted, counted and spilled to the shuffle.
 RUN = 1 << 20
+#: Items of a basket in one piece, about; a larger basket is cut and its pieces are paired, each pair a row of its own.
+PIECE = 4096
 
 
 def clean_items(df: DataFrame, basket: str, item: str) -> DataFrame:
@@ -43,7 +45,10 @@ def number_items(pairs: DataFrame) -> DataFrame:
 
 
 def _packed_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pack each basket's id pairs into 64-bit codes; emit sorted, run-length-counted runs of at most about RUN codes."""
+    """Pack the id pairs of rows (ids, others, weight) into 64-bit codes: pairs within ids where others is null, else each of ids with each of others.
+
+    Emits sorted, run-length-counted runs of at most about RUN codes.
+    """
     held: list[np.ndarray] = []
     weights: list[np.ndarray] = []
     size = 0
@@ -56,12 +61,14 @@ def _packed_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict({"code": codes[starts], "n": np.add.reduceat(w, starts)})
 
     for batch in batches:
-        for ids, w in zip(batch.column(0), batch.column(1).to_pylist()):
+        for ids, others, w in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
             own = np.sort(ids.values.to_numpy(zero_copy_only=False))
-            for k in range(len(own) - 1):  # one row of the triangle at a time: memory follows the basket, not its square
-                held.append((own[k] << 32) | own[k + 1 :])
-                weights.append(np.full(len(own) - 1 - k, w, dtype=np.int64))
-                size += len(own) - 1 - k
+            beside = others.values.to_numpy(zero_copy_only=False) if others.is_valid else None
+            for k in range(len(own) - (beside is None)):  # one row of the triangle at a time: memory follows the basket, not its square
+                rest = own[k + 1 :] if beside is None else beside
+                held.append((np.minimum(own[k], rest) << 32) | np.maximum(own[k], rest))
+                weights.append(np.full(len(rest), w, dtype=np.int64))
+                size += len(rest)
                 if size >= RUN:
                     yield spill()
                     held, weights, size = [], [], 0
@@ -69,6 +76,19 @@ def _packed_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield spill()
 
 
+def pieced(sets: DataFrame, sizes: DataFrame, piece: int) -> DataFrame:
+    """(ids, others, w) of baskets with more than ``piece`` items: their pieces and each pair of them; no row is a whole such basket.
+
+    sets: (basket, item_id); sizes: (basket, k) of these baskets.
+    """
+    rows = sets.join(sizes, "basket").withColumn("_p", F.ceil(F.col("k") / piece).cast("long"))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("item_id"), "_p"))
+    rows = rows.select("basket", "item_id", "_own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_p") - 1)).alias("_other"))
+    cells = rows.groupBy("basket", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))
+    lists = cells.agg(F.collect_list(F.when(F.col("_own") == F.col("_a"), F.col("item_id"))).alias("ids"), F.collect_list(F.when((F.col("_own") == F.col("_b")) & (F.col("_a") != F.col("_b")), F.col("item_id"))).alias("more"))
+    return lists.select("ids", F.when(F.col("_a") != F.col("_b"), F.col("more")).alias("others"), F.lit(1).cast("long").alias("w"))
+
+
 def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Run-length count over codes that arrive sorted; a run open at the end of a batch is carried on."""
     code, n = None, 0
@@ -93,7 +113,8 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def item_pairs(df: DataFrame, basket: str, item: str) -> DataFrame:
     """(item_a, item_b, n_both, n_a, n_b, n_baskets, lift, log_odds) for each pair in at least one basket; a < b.
 
-    Baskets become sorted sets of dense ids; equal sets are counted once with their number of baskets as weight. Pairs
+    Baskets become sorted sets of dense ids; equal sets are counted once with their number of baskets as weight; baskets
+    of more than PIECE items are cut into pieces, each pair of which is a row of its own. Pairs
     are packed into 64-bit codes, sorted and counted in bounded runs within each task (so that a frequent pair leaves a
     task once per run), and the runs are brought together by code with an external merge sort and run-length counted.
     log_odds is the logarithm of the odds ratio with 0.5 added to each cell (continuity correction).
@@ -104,16 +125,22 @@ def item_pairs(df: DataFrame, basket: str, item: str) -> DataFrame:
     """
     pairs = cut(clean_items(df, basket, item))
     items = number_items(pairs)
-    sets = pairs.join(items.select("item", "item_id"), "item").groupBy("basket").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
-    total = sets.count()  # one number
-    weighted = sets.where(F.size("ids") > 1).groupBy("ids").agg(F.count("*").alias("w"))
+    sizes = pairs.groupBy("basket").agg(F.count("*").alias("k"))
+    total, large = sizes.agg(F.count("*"), F.count_if(F.col("k") > PIECE)).first()  # two numbers
+    sets, more = pairs.join(items.select("item", "item_id"), "item").select("basket", "item_id"), None
+    if large:
+        sizes = sizes.where(F.col("k") > PIECE)
+        more, sets = pieced(sets, sizes, PIECE), sets.join(sizes, "basket", "left_anti")
+    sets = sets.groupBy("basket").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
+    weighted = sets.where(F.size("ids") > 1).groupBy("ids").agg(F.count("*").alias("w")).select("ids", F.lit(None).cast("array<long>").alias("others"), "w")
+    weighted = weighted if more is None else weighted.unionByName(more)
     runs = weighted.mapInArrow(_packed_runs, "code long, n long")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = runs.repartition(n, "code").sortWithinPartitions("code").mapInArrow(_merge_runs, "code long, n long")
     a = items.select(F.col("item_id").alias("id_a"), F.col("item").alias("item_a"), F.col("n_item").alias("n_a"))
     b = items.select(F.col("item_id").alias("id_b"), F.col("item").alias("item_b"), F.col("n_item").alias("n_b"))
     out = (
-        counted.select(F.shiftright("code", 32).alias("id_a"), F.col("code").bitwiseAND((1 << 32) - 1).alias("id_b"), F.col("n").alias("n_both"))
+        counted.select(F.shiftrightunsigned("code", 32).alias("id_a"), F.col("code").bitwiseAND((1 << 32) - 1).alias("id_b"), F.col("n").alias("n_both"))
         .join(a, "id_a")
         .join(b, "id_b")
         .withColumn("n_baskets", F.lit(total).cast("long"))

@@ -75,8 +75,9 @@ class Reference:
         self.root: dict = {}
         self.info = {}
         self.longest = 0
+        self.numbered = False
         self.remember = remember
-        self.known: dict[str, tuple[int, tuple[int, ...]] | None] = {}
+        self.known: dict[str, list[tuple[int, int]]] = {}
         self.values: dict[tuple[str, tuple[str, ...]], int] = {}
         for id_, kind, province, country, name, aliases in entries:
             self.info[id_] = (kind, province, country)
@@ -89,13 +90,14 @@ class Reference:
                     node = node.setdefault(c, {})
                 node.setdefault("", []).append(id_)
                 self.longest = max(self.longest, len(word))
+                self.numbered |= any(c.isdigit() for c in word)
 
-    def search(self, word: str) -> tuple[int, tuple[int, ...]] | None:
-        """Smallest distance and its entries, of all entries within the distance allowed for their length."""
+    def search(self, word: str) -> list[tuple[int, int]]:
+        """(distance, entry) of all entries within the distance allowed for their length, closest first; an entry's closest name counts."""
         if word in self.known:
             return self.known[word]
         auto = Automaton(word, allowed(len(word) + 1) if len(word) > 2 else 0)
-        best: dict[int, set[int]] = {}
+        best: dict[int, int] = {}
         stack = [(self.root, auto.start, 0)]
         while stack:
             node, states, depth = stack.pop()
@@ -103,10 +105,10 @@ class Reference:
                 if c == "":
                     d = auto.distance(states)
                     if d is not None and d <= allowed(depth) and d <= allowed(len(word) + 1):
-                        best.setdefault(d, set()).update(below)
+                        best |= {i: min(d, best.get(i, d)) for i in below}
                 elif nxt := auto.step(states, c):
                     stack.append((below, nxt, depth + 1))
-        found = (min(best), tuple(sorted(best[min(best)]))) if best else None
+        found = sorted((d, i) for i, d in best.items())
         if len(self.known) >= self.remember:
             self.known.clear()
         self.known[word] = found
@@ -130,13 +132,15 @@ class Reference:
             for i in range(len(words)):
                 joined = ""
                 for j in range(i, len(words)):
-                    if words[j].isdigit():
+                    if words[j].isdigit() and not self.numbered:
                         break
                     joined += words[j]
                     if len(joined) > self.longest + 3:
                         break
-                    if found := self.search(joined):
-                        hits.append((found[0], -len(joined), at + i, at + j + 1, found[1]))
+                    # Only entries of kinds that can be meant, or say where, compete; of these the closest.
+                    own = [(d, k) for d, k in self.search(joined) if self.info[k][0] in kinds or kinds[0] == "city"]
+                    if own:
+                        hits.append((own[0][0], -len(joined), at + i, at + j + 1, tuple(k for d, k in own if d == own[0][0])))
             at += len(words) + 1
         chosen = []
         for hit in sorted(hits):
@@ -159,8 +163,9 @@ def map_values(df: DataFrame, value: str, keep: Sequence[str], places: DataFrame
 
     A value is freed of markup, diacritics and case and cut at commas, slashes, brackets and the like; every run of its
     words, joined without spaces (spaces are lost and gained in typing), is searched in the trie of names and aliases,
-    with as many edits (insertion, deletion, substitution, swap of neighbours) as the name's length allows. Of
-    overlapping hits the closest stays, then the longest. The first entry of the most exact kind counts, in the order
+    with as many edits (insertion, deletion, substitution, swap of neighbours) as the name's length allows. Of the
+    entries within that distance those of ``kinds`` compete (with cities, provinces and countries also, which tell
+    cities of one name apart). Of overlapping hits the closest stays, then the longest. The first entry of the most exact kind counts, in the order
     of ``kinds``; of entries with one name that of the province or country named beside it, else the smallest id.
 
     There is no shuffle: each task maps its rows and keeps what it has seen, up to a bound. The reference list goes to
