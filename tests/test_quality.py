@@ -49,7 +49,7 @@ US = 10**6
         ("Sun, 31 Aug 2025 23:46:26 +0200", None, "2025-08-31T21:46:26"), ("17 Aug 2026", "Europe/London", "2026-08-16T23:00:00"), ("26 Jun 2026 13:24 SAST", None, "2026-06-26T11:24:00"),
         ("2026-05-05 17:35:12 UTC+2", None, "2026-05-05T15:35:12"), ("2025-12-18T22:53:43[Africa/Johannesburg]", None, "2025-12-18T20:53:43"), ("2026-11-02T10:54:48 -05", None, "2026-11-02T15:54:48"),
         ("August 28, 2025 05:16 AM", "UTC", "2025-08-28T05:16:00"), ("1787751926", None, "2026-08-26T13:45:26"), ("1758456655964", None, "2025-09-21T12:10:55.964"), ("2026-01-26T04:50:06[UTC]", None, "2026-01-26T04:50:06"),
-        ("2026-10-25 01:30 BST", None, "2026-10-25T00:30:00"), ("12:00 AM", None, None),
+        ("12:00 AM", None, None),
     ],
 )
 def test_readings(text, zone, iso):
@@ -83,3 +83,17 @@ def test_day_month_order_per_source(spark):
     assert day(62) == (datetime(2026, 5, 5) - datetime(1970, 1, 1)).days
     assert out[63].time_status == "ambiguous" and out[63].epoch_us is None and out[64].time_status == "null" and out[65].time_status == "ok"
     assert read_instants(df.limit(0), "v", "z", ["src"]).count() == 0
+
+
+def test_shared_abbreviations(spark):
+    """BST, IST and the like are read by the zones that the source, or else all sources, name; else they are ambiguous."""
+    rows = [(1, "2026-07-01 10:00 BST", None, "a"), (2, "2026-07-01 10:00 IST", "Asia/Kolkata", "b"), (3, "2026-07-01 10:00 IST", "Europe/Dublin", "c"), (4, "2026-07-01 10:00 CST", None, "d"), (5, "03/04/2026 10:00 EST", "America/New_York", "e")]
+    rows += [(10 + k, "2026-07-01 10:00:00 Europe/London", None, "z") for k in range(30)] + [(50 + k, "2026-07-01", "Asia/Kolkata", "b") for k in range(60)] + [(200 + k, "2026-07-01", "Europe/Dublin", "c") for k in range(60)]
+    rows += [(300 + k, "2026-07-01", "America/New_York", "e") for k in range(60)] + [(400 + k, f"25/{k % 9 + 1}/2026 10:00", None, "e") for k in range(40)]
+    df = spark.createDataFrame(rows, "id int, v string, z string, src string")
+    out = {r.id: (r.time_status, r.epoch_us) for r in read_instants(df, "v", "z", ["src"]).collect()}
+    at = lambda iso: int((datetime.fromisoformat(iso) - datetime(1970, 1, 1)).total_seconds()) * US
+    assert out[1] == ("ok", at("2026-07-01T09:00:00")) and out[2] == ("ok", at("2026-07-01T04:30:00")) and out[3] == ("ok", at("2026-07-01T09:00:00"))
+    assert out[4] == ("ambiguous", None) and out[5] == ("ok", at("2026-04-03T15:00:00")) and len(out) == len(rows)
+    alone = read_instants(spark.createDataFrame([(1, "2026-07-01 10:00 BST", None, "a")], "id int, v string, z string, src string"), "v", "z", ["src"]).first()
+    assert alone.time_status == "ambiguous" and alone.epoch_us is None

@@ -3,6 +3,7 @@
 import hashlib
 import html.parser  # noqa: F401
 import random
+import re
 
 import duckdb
 import pytest
@@ -11,27 +12,49 @@ from pyspark.sql import functions as F
 from vacantia.functions import rule_tables as R
 from vacantia.functions import text as X
 from vacantia.functions.html import detail_fields, page_links, posting_json, visible_text
-from vacantia.functions.rules import anchor, has, java, matches, python_any, re2_any
+from vacantia.functions.rules import anchor, java, python_any, re2_any
+from vacantia.functions.terms import FAMILIES, Found, scan, scan_row
 
 ALL_TERMS = [t for _, _, ts in R.SKILLS for t in ts] + [t for *_, ts in R.TECH_TITLE + R.EARLY_TITLE + R.DESCRIPTION_LEVEL + R.CITIES for t in ts]
 WORDS = ["java", "javascript", "Java Script", "C", "C#", "c ++", "C+", ".NET", "asp.net", "ASPnet", "dbt", "x.python", "Python,", "go", "golang", "React.js", "reactjs", "vue", "entry-level", "entry level", "entry_level", "0-2 years", "0 – 1 year", "front-end", "frontend", "front end", "intern", "internship", "internal", "R", "using r", "Port  Elizabeth", "CPT", "capetown", "node.js", "CI / CD", "k8s", "no prior experience required", "bi analyst"]
 
 
-def test_dialects_agree_on_presence(spark):
+def test_dialects_agree_on_presence():
     rng = random.Random(5)
     texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 5))) for _ in range(400)]
     groups = [[t] for t in ALL_TERMS[::4]] + [["!.!java"], ["!!c_#"], ["!+#!c"], ["!!.net"], R.SENIOR_TITLE]
-    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").select("id", *[has(F.col("t"), g).alias(f"g{k}") for k, g in enumerate(groups)]).orderBy("id").collect()
     con = duckdb.connect()
     con.execute("create table x(id int, t varchar)")
     con.executemany("insert into x values (?, ?)", list(enumerate(texts)))
-    for k, g in enumerate(groups):
+    for g in groups:
         want = [bool(python_any(g).search(t)) for t in texts]
-        assert [r[f"g{k}"] for r in rows] == want, g
         pattern = re2_any(g).replace("'", "''")
         assert [r[0] for r in con.execute(f"select regexp_matches(t, '{pattern}', 'i') from x order by id").fetchall()] == want, g
 
 
+def test_scan_equals_every_pattern_on_its_own(spark):
+    """The automaton lets no match through: the same as all patterns tried one by one on the whole text."""
+    rng = random.Random(8)
+    words = [*WORDS, "Senior", "intern", "Cape Town", "south africa-based", "remote in", "hybrid", "İ", "ﬁ", "0 - 2 years of experience", "\u00a0", "QA", "no experience required", None]
+    names = tuple(FAMILIES)
+    fields = ("title", "location", "description", "explicit", "department")
+    rows = [{f: " ".join(w for w in rng.choices(words, k=rng.randint(0, 8)) if w) or None for f in fields} for _ in range(300)]
+    for row in rows:
+        want = {}
+        for n in names:
+            view, rules = FAMILIES[n]
+            for k, rule in enumerate(rules):
+                hits = [m.group() for term in rule[-1] for m in re.compile(java(term), re.I).finditer(view.text(row))]
+                if hits:
+                    want[n, k] = hits
+        got = scan_row(names, row)
+        assert list(got.values()) and len(got) == len(want) or not want and not got
+        assert sorted(got.values()) == sorted(want.values())
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{f} string" for f in fields))
+    out = scan(df, names, **{f: F.col(f) for f in fields}).select("_terms").collect()
+    assert [r[0] for r in out] == [scan_row(names, r) for r in rows]
+
+
 def test_anchor_is_in_every_match():
     for term in ALL_TERMS:
         for w in WORDS:
@@ -40,9 +63,13 @@ def test_anchor_is_in_every_match():
 
 
 def test_matches_keep_order_and_case(spark):
-    row = spark.createDataFrame([("Node.js and NODEJS, React",), (None,)], "t string").select(matches(F.col("t"), ["react((.)js)", "node(.)js"]).alias("m")).collect()
-    assert row[0].m == ["React", "Node.js", "NODEJS"] and row[1].m == []
+    df = spark.createDataFrame([("Node.js and NODEJS, React", None), (None, None)], "title string, description string")
+    f = Found()
+    rows = scan(df, ("skill",), title=F.col("title"), description=F.col("description")).select(f.labels("skill").alias("s"), f.evidence("skill").alias("e"), f.any("skill").alias("a")).collect()
+    assert rows[0].s == ["Node.js", "React"] and rows[0].e == ["Node.js", "NODEJS"] and rows[0].a and rows[1].s == [] and rows[1].e == [] and not rows[1].a
     assert java("!+#!c") == r"(?<![\w\+\#])c(?![\w\+\#])"
+    with pytest.raises(ValueError, match="description"):
+        scan(df, ("skill",), title=F.col("title"))
 
 
 def test_text_expressions(spark):

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -124,7 +125,7 @@ def test_snapshots(spark, tmp_path):
     assert {r.violation for r in snapshots.sidecar_violations(sidecars).collect()} == {"provider_differs", "bad_time", "bad_file_name"}
     payloads = snapshots.read_payloads(spark, sidecars, root).cache()
     assert snapshots.board_jobs(payloads).count() == 2  # the second payload isn't what its digest says
-    assert {(r.payload_path.split("/")[-2], r.violation) for r in snapshots.payload_violations(payloads).collect()} == {("acme", "unverified"), ("beta", "unverified"), ("ora", "job_count"), ("ora", "reported_count")}
+    assert {(r.payload_path.split("/")[-2], r.violation) for r in snapshots.payload_violations(payloads).collect()} == {("acme", "unverified"), ("..", "unverified"), ("ora", "job_count"), ("ora", "reported_count")}
     pages = snapshots.bundle_pages(payloads).orderBy("pos").collect()
     assert [(p.page_ok, p["index"]) for p in pages] == [(True, {"Title": "from index", "Grade": "senior"}), (True, {})]
     details = snapshots.json_details(snapshots.bundle_pages(payloads), "oracle_hcm")
@@ -157,7 +158,7 @@ def test_workday_details(spark):
 def test_registry(spark, tmp_path):
     good = {"id": "acme", "name": "Acme", "parent_company": None, "brands": [], "industry": "it", "head_office_city": "c", "country": "ZA", "graduate_programme": "yes", "listed_company": False, "remote_scope": "global", "priority": "tier_1", "collection_status": "active"}
     (tmp_path / "e.json").write_text(json.dumps({"schema_version": 1, "employers": [good, good | {"id": "Bad ", "name": "ACME", "priority": "x", "collection_status": "paused", "brands": None}]}))
-    (tmp_path / "s.json").write_text(json.dumps({"sources": [{"name": "A", "provider": "lever", "token": "a", "employer_id": "acme"}, {"name": "B", "provider": "lever", "token": "b", "employer_id": "Bad ", "url": "http://x", "page_size": 0}, {"name": "C", "provider": "lever", "token": "c", "employer_id": "none", "enabled": True}, {"name": "D", "provider": "lever", "token": "d", "employer_id": "acme", "enabled": False}]}))
+    (tmp_path / "s.json").write_text(json.dumps({"sources": [{"name": "A", "provider": "lever", "token": "a", "employer_id": "acme"}, {"name": "B", "provider": "lever", "token": "b", "employer_id": "Bad ", "listing_url": "http://x", "page_size": 0}, {"name": "C", "provider": "lever", "token": "c", "employer_id": "none", "enabled": True}, {"name": "D", "provider": "lever", "token": "d", "employer_id": "acme", "enabled": False}]}))
     e, s = registry.read_employers(spark, str(tmp_path / "e.json")), registry.read_sources(spark, str(tmp_path / "s.json"))
     assert {(r.key, r.violation) for r in registry.employer_violations(e).collect()} == {("Bad ", "untidy_id"), ("Bad ", "bad_priority"), ("Bad ", "no_brands"), ("acme", "repeated_name")}
     assert {(r.key, r.violation) for r in registry.source_violations(s, e).collect()} == {("b", "plain_http"), ("b", "bad_page_size"), ("c", "unknown_employer"), ("b", "employer_not_active")}

@@ -10,9 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _PIECES = {" ": r"\s+", "_": r"\s*", "-": "[- ]", "=": "-", "~": "[- ]?", "(": "(?:", ")": ")?", "{": "(?:", "}": ")", "|": "|"}
 
 
@@ -55,7 +52,7 @@ def python_any(terms: Sequence[str]) -> re.Pattern:
 def anchor(term: str) -> str:
     """The longest part, in lower case, that every match of a term contains; empty if there is none.
 
-    Looking for it first is a plain search, many times cheaper than a Unicode-aware pattern that seldom matches.
+    One automaton finds the anchors of all terms, which is many times cheaper than patterns that seldom match.
     """
     _, rest = _split(term)
     while (flat := re.sub(r"\([^(){}]*\)|\{[^(){}]*\}", "\0", rest)) != rest:
@@ -63,44 +60,6 @@ def anchor(term: str) -> str:
     return max(re.split(r"[\0 _\-=~]", rest), key=len).lower()
 
 
-def _may(text: Column, terms: Sequence[str]) -> Column:
-    anchors = {anchor(t) for t in terms}
-    if "" in anchors:
-        return F.lit(True)
-    low, out = F.lower(text), F.lit(False)
-    for a in sorted(anchors):
-        out |= low.contains(a)
-    return out
-
-
-def has(text: Column, terms: Sequence[str]) -> Column:
-    """Whether any term occurs; null text has none."""
-    return F.coalesce(_may(text, terms) & text.rlike(java_any(terms)), F.lit(False))
-
-
-def matches(text: Column, terms: Sequence[str]) -> Column:
-    """Matched texts of all terms, in the order of terms, then places; null text gives an empty array."""
-    own = F.coalesce(text, F.lit(""))
-    found = F.flatten(F.array(*[F.regexp_extract_all(own, F.lit("(?iU)" + java(t)), F.lit(0)) for t in terms]))
-    return F.when(_may(own, terms), found).otherwise(F.array().cast("array<string>"))
-
-
-def sql_matches(text: str, low: str, terms: Sequence[str]) -> str:
-    """matches as Spark SQL text, for long rule tables: one expression to parse. ``low``: the text in lower case."""
-    anchors = sorted({anchor(t) for t in terms})
-    may = "true" if "" in anchors else " OR ".join(f"contains({low}, '{a}')" for a in anchors)
-    found = ", ".join(f"regexp_extract_all({text}, r'(?iU){java(t)}', 0)" for t in terms)
-    return f"CASE WHEN {may} THEN flatten(array({found})) ELSE cast(array() AS array<string>) END"
-
-
-def first_label(text: Column, rules: Sequence[tuple], default: Column) -> Column:
-    """The label of the first rule (label, ..., terms) that matches."""
-    out = None
-    for label, *_, terms in rules:
-        out = F.when(has(text, terms), label) if out is None else out.when(has(text, terms), label)
-    return out.otherwise(default)
-
-
 def sql_has(expr: str, terms: Sequence[str]) -> str:
     pattern = re2_any(terms).replace("'", "''")
     return f"coalesce(regexp_matches({expr}, '{pattern}', 'i'), false)"

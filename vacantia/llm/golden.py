@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacantia.session import cut
-
 
 def identity(key: Column) -> Column:
     """A key without white space and letter case."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.llm import chunks, golden, mix, nearjoin, pairs, personal, places, tokens
-from vacantia.session import table
+from vacantia.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,7 +71,8 @@ def _golden(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _golden(spark, d).where("n_records > 1 and best_id is not null").select(F.col("best_id").alias("obs_id"))
+    """From the representatives as they are built, currency orders of all fields included."""
+    return cut(_golden(spark, d)).where("n_records > 1 and best_id is not null").select(F.col("best_id").alias("obs_id"))
 
 
 def p5_golden(spark: SparkSession, d: str) -> DataFrame:

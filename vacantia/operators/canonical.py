@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 from vacantia.functions import rule_tables as R
 from vacantia.functions.html import html_visible_text
 from vacantia.functions.text import blank_to_null, iso_instant, iso_text, normalize_whitespace, normalized_key, source_date, stable_key, unique_ci
-from vacantia.operators.classify import classify_location, classify_role_level, classify_technology, classify_workplace, score_role
+from vacantia.functions.terms import scan
+from vacantia.operators.classify import (
+    LEVEL_RULES,
+    LOCATION_RULES,
+    SCORE_RULES,
+    TECHNOLOGY_RULES,
+    WORKPLACE_RULES,
+    classify_location,
+    classify_role_level,
+    classify_technology,
+    classify_workplace,
+    score_role,
+)
 
 #: Columns that a provider's mapping gives, before classification.
 MAPPED = [
@@ -187,11 +199,13 @@ def _no_explicit() -> list[Column]:
 
 def canonical_observations(mapped: DataFrame) -> DataFrame:
     """One classified canonical row per mapped posting; missing fields are flagged, never dropped."""
-    out = classify_location(mapped, "location_raw", "description_text")
-    out = classify_workplace(out, "title", "location_raw", "description_text", "explicit_workplace")
-    out = classify_role_level(out, "title", "description_text", "explicit_level")
-    out = classify_technology(out, "title", "department", "description_text")
-    out = score_role(out, "title", "description_text", "role_level")
+    texts = {"title": "title", "location": "location_raw", "description": "description_text", "explicit": "explicit_level", "department": "department"}
+    out = scan(mapped, (*LOCATION_RULES, *WORKPLACE_RULES, *LEVEL_RULES, *TECHNOLOGY_RULES, *SCORE_RULES), **{k: F.col(c) for k, c in texts.items()})
+    out = classify_location(out, "location_raw", "description_text", "_terms")
+    out = classify_workplace(out, "title", "location_raw", "description_text", "explicit_workplace", "_terms")
+    out = classify_role_level(out, "title", "description_text", "explicit_level", "_terms")
+    out = classify_technology(out, "title", "department", "description_text", "_terms")
+    out = score_role(out, "title", "description_text", "role_level", "_terms")
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     issues = [F.when(blank(c), name) for c, name in (("source_job_id", "missing_source_job_id"), ("title", "missing_title"), ("application_url", "missing_application_url"), ("location_raw", "missing_location"), ("description_text", "missing_description"))]
     issues.append(F.when(F.col("source_provider").isin("greenhouse", "successfactors") & F.col("source_updated_at").isNull(), "missing_or_invalid_source_updated_at"))

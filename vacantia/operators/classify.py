@@ -1,6 +1,6 @@
 """Location, workplace, seniority and technology relevance of postings, each with the evidence for it.
 
-All are plain expressions: rules in order of precedence as CASE, evidence as arrays of matched text.
+Rules are read in one scan per row (functions/terms.py); labels by precedence and evidence are expressions over its map.
 """
 
 from __future__ import annotations
@@ -9,88 +9,82 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
-from vacantia.functions.rules import first_label, has, matches
+from vacantia.functions.terms import Found, scan
 from vacantia.functions.text import normalize_whitespace, unique_ci
 
+LOCATION_RULES, WORKPLACE_RULES, LEVEL_RULES = ("city", "country", "remote_home"), ("workplace",), ("title_level", "source_level", "text_level")
+TECHNOLOGY_RULES, SCORE_RULES = ("veto", "tech_title", "generic", "tech_text"), ("score_title", "score_text", "pool")
+_EMPTY = "array<string>"
 
-def _evidence_of_first(text: Column, rules) -> Column:
-    out = None
-    for *_, terms in rules:
-        out = F.when(has(text, terms), matches(text, terms)) if out is None else out.when(has(text, terms), matches(text, terms))
-    return out.otherwise(F.array().cast("array<string>"))
 
+def _none() -> Column:
+    return F.array().cast(_EMPTY)
 
-def classify_location(df: DataFrame, location: str, description: str) -> DataFrame:
+
+def _optional(column: str | None) -> Column:
+    return F.col(column) if column else F.lit(None).cast("string")
+
+
+def classify_location(df: DataFrame, location: str, description: str, terms: str | None = None) -> DataFrame:
     """Adds city, province, country, is_south_africa, location_evidence.
 
     City rules on the location come first, then country rules, then phrases in the description; without a city, the
     part before the first comma is taken if a country is known and the part doesn't mention remote work. Null texts
-    match nothing.
+    match nothing. ``terms``: a column with the scan of these rules, if there is one already; so for all classifications.
     """
-    loc, desc = normalize_whitespace(F.col(location)), F.coalesce(F.col(description), F.lit(""))
-    out = df.withColumns({"_city": first_label(loc, R.CITIES, F.lit(None)), "_named": first_label(loc, R.COUNTRIES, F.lit(None)), "_remote": has(desc, R.REMOTE_HOME)})
-    province = F.create_map(*[F.lit(x) for c, p, _ in R.CITIES for x in (c, p)])
-    country = F.when(F.col("_city").isNotNull(), R.HOME).otherwise(F.coalesce(F.col("_named"), F.when(F.col("_remote"), R.HOME)))
-    head = normalize_whitespace(F.substring_index(loc, ",", 1))
-    by_comma = F.when(F.col("country").isNotNull() & loc.contains(",") & (head != "") & ~has(head, ["remote"]), head)
-    evidence = (
-        F.when(F.col("_city").isNotNull(), _evidence_of_first(loc, R.CITIES))
-        .when(F.col("_named").isNotNull(), _evidence_of_first(loc, R.COUNTRIES))
-        .otherwise(matches(desc, R.REMOTE_HOME))
-    )
-    out = out.withColumn("country", country).withColumns(
-        {"city": F.coalesce(F.col("_city"), by_comma), "province": province[F.col("_city")], "is_south_africa": F.coalesce(F.col("country") == R.HOME, F.lit(False)), "location_evidence": unique_ci(evidence)}
-    )
-    return out.drop("_city", "_named", "_remote")
+    rows = df if terms else scan(df, LOCATION_RULES, location=F.col(location), description=F.col(description))
+    f = Found(terms or "_terms")
+    loc = normalize_whitespace(F.col(location))
+    city, head = f.label("city"), normalize_whitespace(F.substring_index(loc, ",", 1))
+    out = rows.withColumns({"_city": city, "_named": f.label("country"), "_home": f.any("remote_home"), "_head": head})
+    out = out.withColumn("country", F.when(F.col("_city").isNotNull(), R.HOME).otherwise(F.coalesce("_named", F.when(F.col("_home"), R.HOME))))
+    by_comma = F.when(F.col("country").isNotNull() & loc.contains(",") & (F.col("_head") != "") & ~F.col("_head").rlike(r"(?iU)\bremote\b"), F.col("_head"))
+    evidence = F.when(F.col("_city").isNotNull(), f.evidence("city")).when(F.col("_named").isNotNull(), f.evidence("country")).otherwise(f.evidence("remote_home"))
+    out = out.withColumns({"city": F.coalesce("_city", by_comma), "province": f.label("city", at=1), "is_south_africa": F.coalesce(F.col("country") == R.HOME, F.lit(False)), "location_evidence": unique_ci(evidence)})
+    return out.drop("_city", "_named", "_home", "_head", *([] if terms else ["_terms"]))
 
 
 def _tagged(source: str, values: Column) -> Column:
     return unique_ci(F.transform(values, lambda v: F.concat(F.lit(source + ": "), v)))
 
 
-def classify_workplace(df: DataFrame, title: str, location: str, description: str, explicit: str | None = None) -> DataFrame:
+def classify_workplace(df: DataFrame, title: str, location: str, description: str, explicit: str | None = None, terms: str | None = None) -> DataFrame:
     """Adds workplace_type and workplace_evidence: a usable explicit label, else hybrid before remote before on_site."""
-    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in (title, location, description)])
-    own = F.col(explicit) if explicit else F.lit(None).cast("string")
+    rows = df if terms else scan(df, WORKPLACE_RULES, title=F.col(title), location=F.col(location), description=F.col(description))
+    f, own = Found(terms or "_terms"), _optional(explicit)
     spelled = F.create_map(*[F.lit(x) for kv in R.WORKPLACE_SPELLINGS.items() for x in kv])[F.lower(normalize_whitespace(own))]
-    out = df.withColumn("_said", spelled)
-    evidence = F.when(F.col("_said").isNotNull(), F.array(F.concat(F.lit("source: "), own))).otherwise(_tagged("text", _evidence_of_first(text, R.WORKPLACES)))
-    return out.withColumns({"workplace_type": F.coalesce(F.col("_said"), first_label(text, R.WORKPLACES, F.lit("unspecified"))), "workplace_evidence": evidence}).drop("_said")
+    out = rows.withColumn("_said", spelled)
+    evidence = F.when(F.col("_said").isNotNull(), F.array(F.concat(F.lit("source: "), own))).otherwise(_tagged("text", f.evidence("workplace")))
+    out = out.withColumns({"workplace_type": F.coalesce("_said", f.label("workplace"), F.lit("unspecified")), "workplace_evidence": evidence})
+    return out.drop("_said", *([] if terms else ["_terms"]))
 
 
-def classify_role_level(df: DataFrame, title: str, description: str, explicit: str | None = None) -> DataFrame:
+def classify_role_level(df: DataFrame, title: str, description: str, explicit: str | None = None, terms: str | None = None) -> DataFrame:
     """Adds role_level, role_level_evidence, is_early_career: senior titles win, then early titles, source level, description."""
-    t, d = F.coalesce(F.col(title), F.lit("")), F.coalesce(F.col(description), F.lit(""))
-    e = normalize_whitespace(F.col(explicit)) if explicit else F.lit("")
-    by_title = [("senior", R.SENIOR_TITLE), *R.EARLY_TITLE]
-    out = df.withColumns({"_t": first_label(t, by_title, F.lit(None)), "_e": first_label(e, R.SOURCE_LEVEL, F.lit(None)), "_d": first_label(d, R.DESCRIPTION_LEVEL, F.lit(None))})
+    rows = df if terms else scan(df, LEVEL_RULES, title=F.col(title), description=F.col(description), explicit=_optional(explicit))
+    f = Found(terms or "_terms")
+    out = rows.withColumns({"_t": f.label("title_level"), "_e": f.label("source_level"), "_d": f.label("text_level")})
     evidence = (
-        F.when(F.col("_t").isNotNull(), _tagged("title", _evidence_of_first(t, by_title)))
-        .when(F.col("_e").isNotNull(), _tagged("source_level", _evidence_of_first(e, R.SOURCE_LEVEL)))
-        .otherwise(_tagged("description", _evidence_of_first(d, R.DESCRIPTION_LEVEL)))
+        F.when(F.col("_t").isNotNull(), _tagged("title", f.evidence("title_level")))
+        .when(F.col("_e").isNotNull(), _tagged("source_level", f.evidence("source_level")))
+        .otherwise(_tagged("description", f.evidence("text_level")))
     )
     out = out.withColumns({"role_level": F.coalesce("_t", "_e", "_d", F.lit("unspecified")), "role_level_evidence": evidence})
-    return out.withColumn("is_early_career", F.col("role_level").isin(R.EARLY_LEVELS)).drop("_t", "_e", "_d")
+    return out.withColumn("is_early_career", F.col("role_level").isin(R.EARLY_LEVELS)).drop("_t", "_e", "_d", *([] if terms else ["_terms"]))
 
 
-def classify_technology(df: DataFrame, title: str, department: str, description: str) -> DataFrame:
+def classify_technology(df: DataFrame, title: str, department: str, description: str, terms: str | None = None) -> DataFrame:
     """Adds is_technology_role and technology_evidence (labels and matched texts of all rules that match).
 
     Some titles veto. Title rules decide; only where none matches and the title is a general early-career one, rules on
     department and description do.
     """
-    t = F.coalesce(F.col(title), F.lit(""))
-    support = F.concat_ws(" ", F.nullif(F.col(department), F.lit("")), F.nullif(F.col(description), F.lit("")))
-
-    def all_of(text: Column, rules) -> Column:
-        parts = [F.when(has(text, terms), F.concat(F.array(F.lit(name)), matches(text, terms))).otherwise(F.array().cast("array<string>")) for name, terms in rules]
-        return F.flatten(F.array(*parts))
-
-    out = df.withColumn("_t", F.when(has(t, R.TECH_VETO), F.lit(None)).otherwise(all_of(t, R.TECH_TITLE)))
-    generic = F.col("_t").isNotNull() & (F.size("_t") == 0) & has(t, R.GENERIC_EARLY)
-    evidence = F.when(generic, all_of(support, R.TECH_DESCRIPTION)).otherwise(F.coalesce(F.col("_t"), F.array().cast("array<string>")))
-    out = out.withColumn("technology_evidence", unique_ci(evidence))
-    return out.withColumn("is_technology_role", F.size("technology_evidence") > 0).drop("_t")
+    rows = df if terms else scan(df, TECHNOLOGY_RULES, title=F.col(title), department=F.col(department), description=F.col(description))
+    f = Found(terms or "_terms")
+    all_of = lambda family: F.flatten(F.transform(f.numbers(family), lambda k: F.concat(F.array(f.label(family, k)), f.texts(k))))
+    evidence = F.when(f.any("veto"), _none()).when(f.any("tech_title"), all_of("tech_title")).when(f.any("generic"), all_of("tech_text")).otherwise(_none())
+    out = rows.withColumn("technology_evidence", unique_ci(evidence))
+    return out.withColumn("is_technology_role", F.size("technology_evidence") > 0).drop(*([] if terms else ["_terms"]))
 
 
 def years_of_experience(df: DataFrame, description: str, single: list[str] | None = None, ranges: str | None = None) -> DataFrame:
@@ -119,18 +113,18 @@ def years_of_experience(df: DataFrame, description: str, single: list[str] | Non
 _ITEM = "array<struct<source:string,value:string,weight:int,category:string>>"
 
 
-def _scored(text: Column, source: str, rules) -> Column:
-    def items(weight: int, category: str, terms) -> Column:
-        return F.transform(matches(text, terms), lambda v: F.struct(F.lit(source).alias("source"), v.alias("value"), F.lit(weight).alias("weight"), F.lit(category).alias("category")))
+def _scored(f: Found, family: str, source: str) -> Column:
+    def items(k: Column) -> Column:
+        return F.transform(f.texts(k), lambda v: F.struct(F.lit(source).alias("source"), v.alias("value"), f.label(family, k, 0).alias("weight"), f.label(family, k, 1).alias("category")))
 
-    return F.flatten(F.array(*[items(*rule) for rule in rules])).cast(_ITEM)
+    return F.flatten(F.transform(f.numbers(family), items)).cast(_ITEM)
 
 
 def _names(items: Column, level: str) -> Column:
     return F.exists(items, lambda x: x["category"] == level)
 
 
-def score_role(df: DataFrame, title: str, description: str, explicit: str) -> DataFrame:
+def score_role(df: DataFrame, title: str, description: str, explicit: str, terms: str | None = None) -> DataFrame:
     """Adds inferred_role_level, role_level_score (BIGINT), role_level_confidence, role_level_score_evidence, is_talent_pool.
 
     Evidence of title, source level, description and years has a weight and a level, each once per spelling. The level
@@ -139,8 +133,9 @@ def score_role(df: DataFrame, title: str, description: str, explicit: str) -> Da
     senior by a score of 8 or more, -8 or less. Confidence is high if title or source level name the level, medium with
     years or at least two items, else low; ambiguous is always low.
     """
-    t, d, e = (F.coalesce(F.col(c), F.lit("")) for c in (title, description, explicit))
-    out = years_of_experience(df, description).withColumns({"_ti": _scored(t, "title", R.SCORE_TITLE), "_so": _scored(e, "source_level", R.SCORE_SOURCE), "_de": _scored(d, "description", R.SCORE_DESCRIPTION)})
+    rows = df if terms else scan(df, SCORE_RULES, title=F.col(title), description=F.col(description))
+    rows, f = scan(rows, ("score_source",), "_level_terms", explicit=F.col(explicit)), Found(terms or "_terms")
+    out = years_of_experience(rows, description).withColumns({"_ti": _scored(f, "score_title", "title"), "_so": _scored(Found("_level_terms"), "score_source", "source_level"), "_de": _scored(f, "score_text", "description")})
 
     def by_years(v: Column) -> Column:
         numbers = F.transform(F.regexp_extract_all(v, F.lit(r"(?U)\d+"), F.lit(0)), lambda x: x.try_cast("long"))
@@ -173,8 +168,8 @@ def score_role(df: DataFrame, title: str, description: str, explicit: str) -> Da
     by_year = F.exists("_all", lambda x: x["source"] == "experience")
     confidence = F.when(F.col("inferred_role_level") == "ambiguous", "low").when(by_name, "high").when(by_year | (F.size("_all") >= 2), "medium").otherwise("low")
     shown = F.transform("_all", lambda x: F.format_string("%s: %s (%+d, %s)", x["source"], x["value"], x["weight"], x["category"]))
-    out = out.withColumns({"role_level_confidence": confidence, "role_level_score_evidence": shown, "is_talent_pool": has(F.concat_ws(" ", t, d), R.TALENT_POOL)})
-    return out.drop("_ti", "_so", "_de", "_all", "_k", "minimum_years", "maximum_years", "years_evidence")
+    out = out.withColumns({"role_level_confidence": confidence, "role_level_score_evidence": shown, "is_talent_pool": f.any("pool")})
+    return out.drop("_level_terms", *([] if terms else ["_terms"]), "_ti", "_so", "_de", "_all", "_k", "minimum_years", "maximum_years", "years_evidence")
 
 
 def strongest_category(items: Column) -> Column:
@@ -187,9 +182,10 @@ def strongest_category(items: Column) -> Column:
 
 def audit_bucket(df: DataFrame, title: str, description: str) -> DataFrame:
     """Adds likely_level and audit_evidence: the review bucket of a role without a level."""
-    t = F.coalesce(F.col(title), F.lit(""))
-    out = years_of_experience(df, description, R.AUDIT_YEARS_SINGLE, R.AUDIT_YEARS_RANGE)
-    early, senior, mid = has(t, R.AUDIT_EARLY), has(t, R.AUDIT_SENIOR), has(t, R.AUDIT_MID)
+    rows = scan(df, ("audit_early", "audit_senior", "audit_mid"), title=F.col(title))
+    f = Found()
+    out = years_of_experience(rows, description, R.AUDIT_YEARS_SINGLE, R.AUDIT_YEARS_RANGE)
+    early, senior, mid = f.any("audit_early"), f.any("audit_senior"), f.any("audit_mid")
     lo, hi = F.col("minimum_years"), F.col("maximum_years")
     level = (
         F.when(early, "likely_early_career").when(senior, "likely_senior").when(hi <= 2, "likely_early_career")
@@ -197,8 +193,8 @@ def audit_bucket(df: DataFrame, title: str, description: str) -> DataFrame:
     )
     years = F.transform("years_evidence", lambda v: F.concat(F.lit("description: "), v))
     evidence = (
-        F.when(early, _tagged("title", matches(t, R.AUDIT_EARLY)))
-        .when(senior, _tagged("title", matches(t, R.AUDIT_SENIOR)))
-        .otherwise(F.concat(_tagged("title", matches(t, R.AUDIT_MID)), years))
+        F.when(early, _tagged("title", f.evidence("audit_early")))
+        .when(senior, _tagged("title", f.evidence("audit_senior")))
+        .otherwise(F.concat(_tagged("title", f.evidence("audit_mid")), years))
     )
-    return out.withColumns({"likely_level": level, "audit_evidence": evidence})
+    return out.withColumns({"likely_level": level, "audit_evidence": evidence}).drop("_terms")

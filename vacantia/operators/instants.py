@@ -1,8 +1,9 @@
 """Timestamps in mixed formats and zones, brought to one UTC instant each.
 
-A value is read by shape, in Arrow batches, into the instants that it can mean. Only the all-numeric day/month forms
-have two readings. Their mixture weights are fitted per source and form by expectation-maximisation over counts of
-(source, form, valid readings), a table whose size doesn't follow the rows.
+A value is read by shape, in Arrow batches, into the instants that it can mean. The all-numeric day/month forms have two
+readings; their mixture weights are fitted per source and form by expectation-maximisation over counts of (source, form,
+valid readings), a table whose size doesn't follow the rows. A zone abbreviation that several zones use has a reading for
+each of their offsets; the weights come from the zones that the source, and all sources, name elsewhere.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Offsets, in minutes, of zone abbreviations.
+# Offsets, in minutes, of zone abbreviations; of those that several zones use, all of them.
 ABBREVIATIONS = {
-    "z": 0, "utc": 0, "gmt": 0, "ut": 0, "wet": 0, "sast": 120, "cat": 120, "eat": 180, "wat": 60, "bst": 60, "cet": 60,
-    "cest": 120, "eet": 120, "eest": 180, "ist": 330, "est": -300, "edt": -240, "cst": -360, "cdt": -300, "mst": -420,
-    "mdt": -360, "pst": -480, "pdt": -420,
+    "z": 0, "utc": 0, "gmt": 0, "ut": 0, "wet": 0, "sast": 120, "cat": 120, "eat": 180, "wat": 60, "cet": 60,
+    "cest": 120, "eet": 120, "eest": 180, "mst": -420, "mdt": -360, "pdt": -420,
+}
+SHARED_ABBREVIATIONS = {
+    "bst": (60, 360), "ist": (330, 120, 60), "cst": (-360, 480, -300), "cdt": (-300, -240), "est": (-300, 600), "edt": (-240, 660), "pst": (-480, 480),
 }
 MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 
@@ -64,6 +67,8 @@ def _settle(wall: datetime, zone_text: str, source_zone: str | None) -> tuple[in
             return (None, "unreadable") if minutes > 18 * 60 else (_micros(wall) - (minutes if m[1] == "+" else -minutes) * 60_000_000, "ok")
         if (minutes := ABBREVIATIONS.get(text.strip("[]").lower())) is not None:
             return _micros(wall) - minutes * 60_000_000, "ok"
+        if text.strip("[]").lower() in SHARED_ABBREVIATIONS:
+            return _micros(wall), "shared"
         zone = _zone(text.strip("[]"))
     else:
         zone = _zone(source_zone) if source_zone else None
@@ -120,6 +125,23 @@ def readings(value: str | None, source_zone: str | None) -> tuple[str | None, in
     return None, None, "unreadable", None, None
 
 
+def uses(zone_name: str | None) -> list[str]:
+    """abbreviation:minutes for each shared abbreviation that a zone uses, in winter or summer."""
+    zone = _zone(zone_name) if zone_name else None
+    out = set()
+    for month in (1, 7) if zone else ():
+        at = datetime(2020, month, 1, tzinfo=zone)
+        name, minutes = (at.tzname() or "").lower(), int(at.utcoffset().total_seconds() // 60)
+        if minutes in SHARED_ABBREVIATIONS.get(name, ()):
+            out.add(f"{name}:{minutes}")
+    return sorted(out)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _uses(zone: pd.Series) -> pd.Series:
+    return zone.map(lambda z: uses(z if isinstance(z, str) else None))
+
+
 _READING = T.StructType([T.StructField("form", T.StringType()), T.StructField("us1", T.LongType()), T.StructField("status1", T.StringType()), T.StructField("us2", T.LongType()), T.StructField("status2", T.StringType())])
 
 
@@ -147,8 +169,8 @@ def read_instants(df: DataFrame, value: str, zone: str, source: list[str], thres
 
     value: the text; zone: an IANA name used where the value has no zone; source: columns that name the source.
     time_status is one of ok; null (null or blank value); unreadable (no valid full date and time); no_zone; twice,
-    never (wall-clock time repeated or skipped by its zone, and the value has no offset); ambiguous (day and month
-    can't be told apart: no reading reaches ``threshold``). epoch_us is null unless ok. A date alone is its midnight;
+    never (wall-clock time repeated or skipped by its zone, and the value has no offset); ambiguous (day and month, or
+    the zones that use its abbreviation, can't be told apart: no reading reaches ``threshold``). epoch_us is null unless ok. A date alone is its midnight;
     digits beyond microseconds are dropped, missing ones are zero. Null source columns form a source of their own.
     Repeated rows stay; columns of ``df`` named like the added ones are replaced; an empty table gives an empty result.
     ``prior`` is the weight, in values, of the form's overall mixture within each source.
@@ -182,4 +204,23 @@ def read_instants(df: DataFrame, value: str, zone: str, source: list[str], thres
     )
     rows = rows.withColumn("_first", first)
     status = F.when(F.col("_first").isNull(), "ambiguous").when(F.col("_first"), F.col("_r.status1")).otherwise(F.col("_r.status2"))
-    return rows.select("_own.*", F.when(F.col("_first"), F.col("_r.us1")).when(~F.col("_first"), F.col("_r.us2")).alias("epoch_us"), status.alias("time_status"))
+    us = F.when(F.col("_first"), F.col("_r.us1")).when(~F.col("_first"), F.col("_r.us2"))
+    rows = rows.withColumns({"_status": status, "_us": us, "_abbr": F.lower(F.regexp_extract("_v", r"([A-Za-z]+)\]?\s*$", 1))})
+
+    # Zones that are named: in the value, else by the source. Distinct names are few, whatever the number of rows.
+    named = F.coalesce(F.nullif(F.regexp_extract("_v", r"([A-Za-z_]+(?:/[A-Za-z0-9_+-]+)+)\]?\s*$", 1), F.lit("")), F.col("_z"))
+    zones = base.where("_v is not null").groupBy(*keys, named.alias("_name")).agg(F.count("*").alias("_k")).where("_name is not null")
+    said = zones.select(*keys, F.explode(_uses("_name")).alias("_use"), "_k").groupBy(*keys, "_use").agg(F.sum("_k").alias("_k"))
+    mine = said.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_use", "_k"))).alias("_mine"))
+    everywhere = said.groupBy("_use").agg(F.sum("_k").alias("_k")).groupBy(F.substring_index("_use", ":", 1).alias("_abbr"))
+    everywhere = everywhere.agg(F.map_from_entries(F.collect_list(F.struct("_use", "_k"))).alias("_all"))
+    rows = rows.join(mine, keys, "left").join(everywhere, "_abbr", "left")
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    own = lambda k: F.coalesce(F.try_element_at("_mine", k), F.lit(0)).cast("double")
+    uses_ = F.map_keys("_all")
+    weight = lambda k: own(k) + F.lit(prior) * F.try_element_at("_all", k) / total(F.transform(F.map_values("_all"), lambda x: x.cast("double")))
+    best = F.array_max(F.transform(uses_, lambda k: F.struct((weight(k) / (total(F.transform(uses_, own)) + prior)).alias("share"), F.substring_index(k, ":", -1).cast("long").alias("minutes"))))
+    shared = F.col("_status") == "shared"
+    sure = F.coalesce(best["share"] >= threshold, F.lit(False))
+    out_us = F.when(shared, F.when(sure, F.col("_us") - best["minutes"] * 60_000_000)).when(F.col("_status") == "ok", F.col("_us"))
+    return rows.select("_own.*", out_us.alias("epoch_us"), F.when(shared, F.when(sure, "ok").otherwise("ambiguous")).otherwise(F.col("_status")).alias("time_status"))

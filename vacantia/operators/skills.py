@@ -6,22 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
-from vacantia.functions.rules import has, sql_matches
+from vacantia.functions.terms import Found, scan
 from vacantia.functions.text import strip, unique_ci
 from vacantia.operators.classify import years_of_experience
 
 
-def job_text(title: str, description: str) -> Column:
-    return strip(F.concat(F.coalesce(F.col(title), F.lit("")), F.lit("\n"), F.coalesce(F.col(description), F.lit(""))))
+def skills_of(f: Found) -> Column:
+    """ARRAY<STRUCT<skill, category, evidence>> of the technologies in a scan, in the order of the rules."""
+    return F.transform(f.numbers("skill"), lambda k: F.struct(f.label("skill", k).alias("skill"), f.label("skill", k, 1).alias("category"), unique_ci(f.texts(k)).alias("evidence")))
 
 
-def with_skills(df: DataFrame, text: Column, name: str = "skills") -> DataFrame:
-    """Adds ARRAY<STRUCT<skill, category, evidence>> of the technologies in a text, in the order of the rules."""
-    items = ", ".join(f"named_struct('skill', '{s}', 'category', '{c}', 'evidence', {sql_matches('_text', '_low', terms)})" for s, c, terms in R.SKILLS)
-    found = F.expr(f"filter(array({items}), x -> size(x.evidence) > 0)")
-    out = df.withColumn("_text", text).withColumn("_low", F.lower("_text")).withColumn("_found", found)
-    unique = F.transform("_found", lambda x: F.struct(x["skill"].alias("skill"), x["category"].alias("category"), unique_ci(x["evidence"]).alias("evidence")))
-    return out.withColumn(name, unique).drop("_text", "_low", "_found")
+def with_skills(df: DataFrame, title: str, description: str, name: str = "skills") -> DataFrame:
+    """Adds the technologies in title and description."""
+    return scan(df, ("skill",), title=F.col(title), description=F.col(description)).withColumn(name, skills_of(Found())).drop("_terms")
 
 
 def dimensions(skill: Column, category: Column) -> tuple[Column, Column]:
@@ -32,15 +29,11 @@ def dimensions(skill: Column, category: Column) -> tuple[Column, Column]:
     return F.substring_index(both, "|", 1), F.substring_index(both, "|", -1)
 
 
-def labels_of(text: Column, rules) -> Column:
-    """Labels of all rules that match, in the order of the rules."""
-    return F.array_compact(F.array(*[F.when(has(text, terms), label) for label, terms in rules]))
-
-
 def enrich(df: DataFrame, title: str, description: str) -> DataFrame:
     """Adds skills, degree_required, degree_fields, minimum_experience_years, maximum_experience_years, soft_skills, extraction_warnings."""
-    text, desc = job_text(title, description), F.coalesce(F.col(description), F.lit(""))
-    out = years_of_experience(df, description).drop("years_evidence").withColumnsRenamed({"minimum_years": "minimum_experience_years", "maximum_years": "maximum_experience_years"})
-    out = with_skills(out, text).withColumns({"degree_required": has(desc, R.DEGREE_REQUIRED), "degree_fields": labels_of(desc, R.DEGREE_FIELDS), "soft_skills": labels_of(desc, R.SOFT_SKILLS)})
-    warnings = F.array_compact(F.array(F.when(strip(desc) == "", "missing_description"), F.when(F.size("skills") == 0, "no_skills_detected")))
-    return out.withColumn("extraction_warnings", warnings)
+    rows, f = scan(df, ("skill", "degree", "field", "soft"), title=F.col(title), description=F.col(description)), Found()
+    out = years_of_experience(rows, description).drop("years_evidence").withColumnsRenamed({"minimum_years": "minimum_experience_years", "maximum_years": "maximum_experience_years"})
+    out = out.withColumns({"skills": skills_of(f), "degree_required": f.any("degree"), "degree_fields": f.labels("field"), "soft_skills": f.labels("soft")})
+    blank = strip(F.coalesce(F.col(description), F.lit(""))) == ""
+    warnings = F.array_compact(F.array(F.when(blank, "missing_description"), F.when(F.size("skills") == 0, "no_skills_detected")))
+    return out.withColumn("extraction_warnings", warnings).drop("_terms")

@@ -244,22 +244,21 @@ def skills_top(spark, d):
     array_to_string(list_filter([{', '.join(f"CASE WHEN {sql_has(_DESC, t)} THEN '{n}' END" for n, t in R.SOFT_SKILLS)}], lambda x: x IS NOT NULL), ', ') AS soft_skills FROM jobs"""
 )
 def skills_requirements(spark, d):
-    desc = F.coalesce("description_text", F.lit(""))
-    return texts(spark, d, "description_text").select(
-        "job_key", skills.has(desc, R.DEGREE_REQUIRED).alias("degree_required"), F.array_join(skills.labels_of(desc, R.DEGREE_FIELDS), ", ").alias("degree_fields"), F.array_join(skills.labels_of(desc, R.SOFT_SKILLS), ", ").alias("soft_skills")
-    )
+    out = skills.enrich(texts(spark, d, "title", "description_text"), "title", "description_text")
+    return out.select("job_key", "degree_required", F.array_join("degree_fields", ", ").alias("degree_fields"), F.array_join("soft_skills", ", ").alias("soft_skills"))
 
 
 @query(
     _S
-    + f""", j AS (SELECT job_key, coalesce(is_target_market, false) AS t, {_EARLY} AS e, job_key IN (SELECT job_key FROM k) AS h FROM jobs),
+    + f""", j AS (SELECT job_key, coalesce(is_target_market, false) AS t, {_EARLY} AS e, job_key IN (SELECT job_key FROM k) AS h, {sql_has(_DESC, R.DEGREE_REQUIRED)} AS dr, list_min(list_concat({_ENDS}, {_years(_REST, R.YEARS_SINGLE, 1)})) AS y FROM jobs),
     r AS (SELECT count(*)::DOUBLE AS canonical_job_count, count(*) FILTER (WHERE t)::DOUBLE AS target_market_job_count, count(*) FILTER (WHERE e)::DOUBLE AS early_career_target_job_count,
     count(*) FILTER (WHERE h)::DOUBLE AS jobs_with_skills_count, count(*) FILTER (WHERE h AND t)::DOUBLE AS target_jobs_with_skills_count,
+    count(*) FILTER (WHERE t AND dr)::DOUBLE AS degree_required_target_job_count, count(*) FILTER (WHERE t AND y IS NOT NULL)::DOUBLE AS target_jobs_with_experience_requirement_count,
     coalesce(count(*) FILTER (WHERE h AND t) / nullif(count(*) FILTER (WHERE t), 0)::DOUBLE, 0.0) AS target_skill_coverage_rate FROM j)
     SELECT metric, value FROM (UNPIVOT r ON COLUMNS(*) INTO NAME metric VALUE value)"""
 )
 def skills_report(spark, d):
-    return marts.skills_report(_enriched(spark, d)).where(~F.col("metric").isin("degree_required_target_job_count", "target_jobs_with_experience_requirement_count"))
+    return marts.skills_report(_enriched(spark, d))
 
 
 # --- canonical table ---------------------------------------------------------------------------------------------------

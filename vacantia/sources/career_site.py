@@ -242,7 +242,7 @@ def requisitions(site: dict, fetch: Fetch) -> Payload:
         total = next((x for x in (value.get("totalResults"), value.get("total"), *(i.get("TotalJobsCount") for i in items)) if x is not None), None)
         if total is not None and (type(total) is not int or total < 0):
             raise SiteError("the total is no number")
-        found = {str(next((r[k] for k in _REQUISITION_IDS if r.get(k)), "")): r for r in inner}
+        found = {str(next((r[k] for k in _REQUISITION_IDS if r.get(k) not in (None, "")), "")): r for r in inner}
         if "" in found:
             raise SiteError("a requisition without an id")
         more = value.get("hasMore")

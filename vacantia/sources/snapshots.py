@@ -128,7 +128,8 @@ def payload_violations(payloads: DataFrame) -> DataFrame:
     body = lambda p: F.try_to_binary(p["body_base64"], F.lit("base64"))
     sound = lambda p: F.coalesce(F.sha2(body(p), 256) == p["content_sha256"], F.lit(False))
     is_object = lambda p: F.coalesce(F.schema_of_variant(F.try_parse_json(F.decode(body(p), "UTF-8"))).startswith("OBJECT"), F.lit(False))
-    b, is_bundle, expected = "_b", F.col("_b").isNotNull(), F.col("source_job_count")
+    b, expected = "_b", F.col("source_job_count")
+    is_bundle = F.col("_b.provider").isNotNull() | F.col("_b.listing_pages").isNotNull() | F.col("_b.job_pages").isNotNull()
     rules = {
         "no_payload": F.coalesce(F.col("_j").isNull() & F.col("_l").isNull() & ~is_bundle, F.lit(True)), "job_count": ~expected.eqNullSafe(n.cast("long")),
         "wrong_provider": is_bundle & ~F.col(f"{b}.provider").eqNullSafe(provider), "no_listing_pages": is_bundle & (F.coalesce(F.size(f"{b}.listing_pages"), F.lit(0)) <= 0),
