@@ -13,6 +13,7 @@ import itertools
 import math
 import unicodedata
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -134,28 +135,46 @@ def _subsets(n: int) -> np.ndarray:
     return np.array(list(itertools.combinations(range(n), SUBSET)), dtype=np.int32).reshape(-1, SUBSET)
 
 
+@dataclass(frozen=True)
 class Prefixes:
-    """Prefixes of a batch of sets: row k is ``members[start[k] : start[k] + length[k]]`` of set ``of[k]``; ``left[k]`` members of the set stand from its start on, ``need[k]`` must be common."""
+    """Prefixes of a batch of sets: row k is ``members[start[k] : start[k] + length[k]]`` of set ``of[k]``."""
 
-    def __init__(self, of, start, length, left, need, members, counts) -> None:
-        self.of, self.start, self.length, self.left, self.need, self.members, self.counts = of, start, length, left, need, members, counts
+    of: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    members: np.ndarray
+    counts: np.ndarray
 
 
-def _prefixes(sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, common: int) -> Prefixes:
+@dataclass(frozen=True)
+class Ordered:
+    """Sets with their members by frequency, rarest first: members, their counts, sizes, and how many of each set occur in no other."""
+
+    members: np.ndarray
+    counts: np.ndarray
+    sizes: np.ndarray
+    single: np.ndarray
+
+
+def _ordered(sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray) -> Ordered:
+    """Members of each set come sorted, so that equal frequencies stay in one order for all sets."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    n = counters[(flat >> 8) & (len(counters) - 1)]
+    order = np.argsort((of << 40) + n, kind="stable")
+    n = n[order]
+    return Ordered(flat[order], n, sizes, np.bincount(of, weights=n <= 1, minlength=len(sizes)).astype(np.int64))
+
+
+def _prefixes(o: Ordered, ratio: float, common: int) -> Prefixes:
     """The rarest members of each set: as many as must hold ``common`` common ones if the share ``ratio`` is common.
 
     All sets have their members in the same order, so of two partners the ``common`` first common members are in both
     prefixes. Members that occur in no other set can't be common and are left out; sets with too few others have no row.
     """
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    n = counters[(flat >> 8) & (len(counters) - 1)]
-    order = np.lexsort((flat, n, of))
-    m, n = flat[order], n[order]
-    single = np.bincount(of, weights=n <= 1, minlength=len(sizes)).astype(np.int64)
-    own, need = sizes - single, np.ceil(ratio * sizes - 1e-9).astype(np.int64)
+    own, need = o.sizes - o.single, np.ceil(ratio * o.sizes - 1e-9).astype(np.int64)
     length = own - need + common
     good = np.flatnonzero((own >= np.maximum(need, common)) & (own > 0))
-    return Prefixes(good, (np.cumsum(sizes) - sizes + single)[good], np.minimum(length, own)[good], own[good], need[good], m, n)
+    return Prefixes(good, (np.cumsum(o.sizes) - o.sizes + o.single)[good], np.minimum(length, own)[good], o.members, o.counts)
 
 
 def _step(h: np.ndarray, member: np.ndarray) -> np.ndarray:
@@ -209,9 +228,10 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> tuple[int, int]:
         for batch in batches:
             sizes, flat = _sets_of(batch, 0)
             enum, scan = np.zeros(len(sizes)), np.zeros(len(sizes))
-            p = _prefixes(sizes, flat, counters.value, ratio, SUBSET)
+            o = _ordered(sizes, flat, counters.value)
+            p = _prefixes(o, ratio, SUBSET)
             enum[p.of] = [float(SUBSET_COST * math.comb(int(n), SUBSET)) for n in p.length]
-            p = _prefixes(sizes, flat, counters.value, ratio, 1)
+            p = _prefixes(o, ratio, 1)
             sums = np.concatenate([[0], np.cumsum(p.counts)])
             scan[p.of] = (sums[p.start + p.length] - sums[p.start]) / 2
             size, at = np.unique(np.minimum(sizes, 1 << 20) // 16, return_inverse=True)
@@ -237,7 +257,7 @@ _LIST = {"key": "long", "place": "long", "c": "long", **{f"b{k}": "long" for k i
 
 def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
     """Each set in the lists of its prefix; in those cut into pieces, once for each pair of pieces that has its own."""
-    p = _prefixes(sizes, flat, counters, ratio, 1)
+    p = _prefixes(_ordered(sizes, flat, counters), ratio, 1)
     row = np.repeat(np.arange(len(p.length)), p.length)
     place = np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
     at = p.start[row] + place
@@ -333,7 +353,7 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for k in range(0, batch.num_rows, 512):
-                p = _prefixes(*_sets_of(batch.slice(k, 512), 1), counters.value, ratio, SUBSET)
+                p = _prefixes(_ordered(*_sets_of(batch.slice(k, 512), 1), counters.value), ratio, SUBSET)
                 for rows, h in _signatures(p):
                     yield pa.RecordBatch.from_pydict({"sig": h.view(np.int64), "c": ids[k + p.of[rows]]})
 
@@ -423,11 +443,10 @@ def record_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def record_links(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, class_id, n_copies, n_links): per record its class, the records in it and the records linked to it in other classes."""
+    """(id, class_id, n_copies, n_links): per record its class (its smallest id), the records in it and the records linked to it in other classes."""
     m = members.distinct()
-    sizes = m.groupBy("h1", "h2").agg(F.count("*").alias("n_copies"))
+    sizes = m.groupBy("h1", "h2").agg(F.count("*").alias("n_copies"), F.min("id").alias("class_id"))
     both = links.select("a1", "a2", "b1", "b2").unionByName(links.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
     to = sizes.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), "n_copies")
     n = both.join(to, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.sum("n_copies").alias("n_links"))
-    class_id = F.lower(F.concat(F.lpad(F.hex("h1"), 16, "0"), F.lpad(F.hex("h2"), 16, "0")))
-    return m.join(sizes.join(n, ["h1", "h2"], "left"), ["h1", "h2"]).select("id", class_id.alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return m.join(sizes.join(n, ["h1", "h2"], "left"), ["h1", "h2"]).select("id", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))

@@ -128,6 +128,11 @@ n AS (SELECT job_key, count(*) AS n FROM sh GROUP BY 1)
 ORACLES: dict[str, str] = {
     "p1_found": f"""WITH {_SHINGLES}, o AS (SELECT a.job_key AS ka, b.job_key AS kb, count(*) AS o FROM sh a JOIN sh b ON a.s = b.s AND a.job_key < b.job_key GROUP BY 1, 2)
         SELECT ka AS job_key_a, kb AS job_key_b FROM o JOIN n x ON x.job_key = ka JOIN n y ON y.job_key = kb WHERE 5 * o >= 3 * x.n AND 5 * o >= 3 * y.n""",
+    "p1_links": f"""WITH {_SHINGLES}, g AS (SELECT job_key, md5(string_agg(s, '|' ORDER BY s)) AS g FROM sh GROUP BY 1), c AS (SELECT g, min(job_key) AS class_id, count(*) AS n_copies FROM g GROUP BY 1),
+        o AS (SELECT a.job_key AS ka, b.job_key AS kb, count(*) AS o FROM sh a JOIN sh b ON a.s = b.s AND a.job_key <> b.job_key GROUP BY 1, 2),
+        l AS (SELECT ka AS job_key, count(*) AS n_links FROM o JOIN n x ON x.job_key = ka JOIN n y ON y.job_key = kb JOIN g p ON p.job_key = ka JOIN g q ON q.job_key = kb
+              WHERE 5 * o >= 3 * x.n AND 5 * o >= 3 * y.n AND p.g <> q.g GROUP BY 1)
+        SELECT g.job_key, class_id, n_copies, coalesce(n_links, 0) AS n_links FROM g JOIN c USING (g) LEFT JOIN l USING (job_key)""",
     "p3_found": f"WITH {_ITEMS} SELECT item_a AS technology_a, item_b AS technology_b FROM counted WHERE n_both >= 5 AND n_both * n_baskets >= 2 * n_a * n_b",
     "p3_pairs": f"""WITH {_ITEMS} SELECT item_a, item_b, n_both, n_a, n_b, n_baskets, n_both::DOUBLE * n_baskets / (n_a::DOUBLE * n_b) AS lift,
         ln((n_both + 0.5::DOUBLE) * (n_baskets::DOUBLE - n_a - n_b + n_both + 0.5) / ((n_a::DOUBLE - n_both + 0.5) * (n_b::DOUBLE - n_both + 0.5))) AS log_odds FROM counted""",
