@@ -94,7 +94,7 @@ def iso_instant(c: Column) -> Column:
     """Timestamp of an ISO-8601 text with optional zone (UTC if none); null for other shapes and impossible dates."""
     text = normalize_whitespace(c)
     shaped = text.rlike(r"(?i)^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$")
-    return F.when(shaped, F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp"))
+    return F.when(shaped, F.upper(F.replace(text, F.lit(","), F.lit("."))).try_cast("timestamp"))
 
 
 def source_date(c: Column) -> Column:

@@ -11,6 +11,8 @@ from vacantia.operators.canonical import label_counts, tidy
 from vacantia.operators.skills import dimensions, enrich
 
 _CARRIED = ["job_key", "job_text_sha256", "company", "employer_id", "employer_name", "parent_company", "industry", "title", "city", "province", "workplace_type", "role_level", "inferred_role_level", "is_target_market", "is_early_career_target"]
+#: Columns of enriched jobs that the next tables need.
+ENRICHED = [*_CARRIED, "skills", "degree_required", "degree_fields", "minimum_experience_years", "maximum_experience_years", "soft_skills", "extraction_warnings", "application_url"]
 REQUIRED = {
     "jobs": ["job_key", "title", "employer_id", "employer_name", "description_text", "is_target_market", "role_level", "inferred_role_level"],
     "skills": ["job_key", "job_text_sha256", "skill", "category"],

@@ -13,7 +13,8 @@ from vacantia.functions import text as X
 from vacantia.functions.rules import sql_first, sql_has
 from vacantia.operators import audit, canonical, classify, explore, marts, skills
 from vacantia.operators.explore import Filters
-from vacantia.session import shared_dir, spread, table
+from vacantia.session import cut, shared_dir, spread, table
+from vacantia.sources import registry
 from vacantia.sources import snapshots as S
 from vacantia.streaming import observations as stream
 
@@ -209,6 +210,11 @@ def _enriched(spark: SparkSession, d: str) -> DataFrame:
     return marts.enriched_jobs(spread(jobs_of(spark, d)))
 
 
+def _enriched_once(spark: SparkSession, d: str) -> DataFrame:
+    """For plans that read skills and requirements: texts are read once, as in the pipeline, which writes both."""
+    return cut(_enriched(spark, d).select(*marts.ENRICHED))
+
+
 @query(_S + "SELECT job_key, skill AS technology, category, technology_category, capability FROM k")
 def skills_by_job(spark, d):
     return marts.job_skills(_enriched(spark, d)).select("job_key", "technology", "category", "technology_category", "capability")
@@ -305,25 +311,30 @@ def canonical_dedup(spark, d):
     return out.select("job_key", "title", "obs_id", F.unix_micros("first_seen_at").alias("first_us"), F.unix_micros("last_seen_at").alias("last_us"), "observation_count")
 
 
-_LABELS = " UNION ALL ".join(f"SELECT '{c}_counts' AS metric, {X.sql_label(c)} AS label FROM jobs" for c in ("role_level", "inferred_role_level", "role_level_confidence", "workplace_type", "company", "employer_name", "industry", "source_provider"))
+_LABELS = " UNION ALL ".join(f"SELECT '{c}_counts' AS metric, {X.sql_label(c)} AS label FROM jobs" for c in ("role_level", "inferred_role_level", "role_level_confidence", "workplace_type", "company", "industry"))
 
 
 @query(
     f"""SELECT metric, label, count(*) AS n FROM ({_LABELS}
     UNION ALL SELECT 'parent_company_counts', coalesce(nullif({X.sql_clean('parent_company')}, ''), employer_name) FROM jobs
+    UNION ALL SELECT 'employer_counts', {X.sql_label('employer_name')} FROM jobs UNION ALL SELECT 'provider_job_counts', {X.sql_label('source_provider')} FROM jobs
+    UNION ALL SELECT 'south_africa_technology_role_level_counts', {X.sql_label('role_level')} FROM jobs WHERE is_south_africa AND is_technology_role
+    UNION ALL SELECT 'early_career_target_market_company_counts', {X.sql_label('company')} FROM jobs WHERE is_target_market AND is_early_career
+    UNION ALL SELECT 'source_snapshot_counts', source_name FROM snapshot_metadata
     UNION ALL SELECT 'target_market_role_level_counts', {X.sql_label('role_level')} FROM jobs WHERE is_target_market
     UNION ALL SELECT 'target_market_company_counts', {X.sql_label('company')} FROM jobs WHERE is_target_market
     UNION ALL SELECT 'target_market_inferred_role_level_counts', {X.sql_label('inferred_role_level')} FROM jobs WHERE is_target_market
     UNION ALL SELECT 'data_quality_issue_counts', unnest(data_quality_issues) FROM jobs) GROUP BY 1, 2"""
 )
 def canonical_label_counts(spark, d):
-    return canonical.transform_report(jobs_of(spark, d))[1]
+    return canonical.transform_report(jobs_of(spark, d), table(spark, d, "snapshot_metadata"))[1]
 
 
 @query(
     """WITH r AS (SELECT count(*)::DOUBLE AS canonical_job_count, count(*) FILTER (WHERE is_south_africa)::DOUBLE AS south_africa_job_count, count(*) FILTER (WHERE is_technology_role)::DOUBLE AS technology_job_count,
     count(*) FILTER (WHERE is_south_africa AND is_technology_role)::DOUBLE AS south_africa_technology_job_count, count(*) FILTER (WHERE is_target_market)::DOUBLE AS target_market_job_count,
-    count(*) FILTER (WHERE is_talent_pool)::DOUBLE AS talent_pool_job_count, count(*) FILTER (WHERE len(role_level_evidence) > 0)::DOUBLE AS role_level_evidence_count, sum(observation_count)::DOUBLE AS raw_job_observation_count FROM jobs)
+    count(*) FILTER (WHERE is_talent_pool)::DOUBLE AS talent_pool_job_count, count(*) FILTER (WHERE len(role_level_evidence) > 0)::DOUBLE AS role_level_evidence_count, sum(observation_count)::DOUBLE AS raw_job_observation_count,
+    (sum(observation_count) - count(*))::DOUBLE AS duplicate_observations_removed, count(*) FILTER (WHERE is_early_career)::DOUBLE AS early_career_job_count, count(*) FILTER (WHERE is_early_career AND is_target_market)::DOUBLE AS early_career_target_market_job_count FROM jobs)
     SELECT metric, value FROM (UNPIVOT r ON COLUMNS(*) INTO NAME metric VALUE value)"""
 )
 def canonical_report(spark, d):
@@ -332,10 +343,24 @@ def canonical_report(spark, d):
 
 # --- joins and checks --------------------------------------------------------------------------------------------------
 
-@query("SELECT j.job_key, s.name AS source_label, s.priority FROM jobs j JOIN sources s ON j.source_token = s.token AND j.employer_id = s.employer_id")
+@query(
+    """WITH e AS (SELECT employer_id AS id, min(name) AS employer_name, min(priority)::VARCHAR AS employer_priority FROM sources GROUP BY 1)
+    SELECT j.job_key, e.id AS employer_id, e.employer_name, e.employer_priority FROM jobs j LEFT JOIN sources s ON j.source_token = s.token AND j.source_provider = s.provider LEFT JOIN e ON e.id = s.employer_id"""
+)
 def join_registry(spark, d):
-    src = table(spark, d, "sources").select(F.col("token").alias("source_token"), F.col("name").alias("source_label"), "employer_id", "priority")
-    return jobs_of(spark, d).select("job_key", "source_token", "employer_id").join(src, ["source_token", "employer_id"]).select("job_key", "source_label", "priority")
+    """Jobs with what the registry says of their source's employer; the registry is made of the sources."""
+    src = table(spark, d, "sources")
+    blank = {c: F.lit(None).cast("string").alias(c) for c in ("parent_company", "industry", "graduate_programme", "remote_scope")}
+    employers = src.groupBy(F.col("employer_id").alias("id")).agg(F.min("name").alias("name"), F.min("priority").cast("string").alias("priority")).select("*", *blank.values())
+    return registry.with_employers(jobs_of(spark, d).select("job_key", "source_provider", "source_token"), src, employers).select("job_key", "employer_id", "employer_name", "employer_priority")
+
+
+@query(
+    """SELECT DISTINCT m.source AS provider, trim(m.source_token) AS token, CASE WHEN s.token IS NULL THEN 'unknown_source' ELSE 'employer_differs' END AS violation FROM snapshot_metadata m LEFT JOIN sources s ON s.provider = m.source AND s.token = trim(m.source_token)
+    WHERE s.token IS NULL OR (trim(m.employer_id) <> '' AND trim(m.employer_id) <> s.employer_id)"""
+)
+def join_employer_agreement(spark, d):
+    return registry.employer_disagreements(table(spark, d, "snapshot_metadata").withColumnRenamed("source", "provider"), table(spark, d, "sources"))
 
 
 @query("SELECT job_key FROM jobs WHERE job_key NOT IN (SELECT job_key FROM dashboard_skills WHERE job_key IS NOT NULL)")
@@ -343,9 +368,11 @@ def join_without_skills(spark, d):
     return jobs_of(spark, d).select("job_key").join(table(spark, d, "dashboard_skills").select("job_key"), "job_key", "left_anti")
 
 
-@query("SELECT token, employer_id FROM sources WHERE enabled AND employer_id NOT IN (SELECT employer_id FROM jobs WHERE employer_id IS NOT NULL)")
+@query("SELECT token, employer_id FROM sources WHERE enabled AND token NOT IN (SELECT source_token FROM greenhouse_jobs_m2 WHERE source_token IS NOT NULL)")
 def join_sources_without_jobs(spark, d):
-    return table(spark, d, "sources").where("enabled").select("token", "employer_id").join(jobs_of(spark, d).select("employer_id"), "employer_id", "left_anti").select("token", "employer_id")
+    """Enabled sources of which the board table has no posting."""
+    seen = table(spark, d, "greenhouse_jobs_m2").select(F.col("source_token").alias("token"))
+    return table(spark, d, "sources").where("enabled").select("token", "employer_id").join(seen, "token", "left_anti").select("token", "employer_id")
 
 
 @query("SELECT j.job_key, coalesce(s.n, 0) AS n_skills FROM jobs j LEFT JOIN (SELECT job_key, count(DISTINCT lower(trim(technology))) AS n FROM dashboard_skills WHERE trim(technology) <> '' GROUP BY 1) s USING (job_key)")
@@ -368,18 +395,36 @@ def join_rules(spark, d):
     return jobs_of(spark, d).select("location_raw").join(F.broadcast(rules), F.lower("location_raw").contains(F.lower("label"))).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'orphan_skill' AS violation, 0::BIGINT AS n WHERE false")
+_DIGEST = "sha256(regexp_replace(coalesce(title, '') || chr(10) || coalesce(description_text, ''), '^[\\s\\x{00a0}]+|[\\s\\x{00a0}]+$', '', 'g'))"
+
+
+@query(
+    f"""WITH j AS (SELECT job_key, {_DIGEST} AS now, {X.sql_clean('employer_id')} = '' OR {X.sql_clean('employer_name')} = '' AS lost FROM jobs),
+    k AS (SELECT CASE WHEN lower(trim(technology)) = 'sql' THEN 'lost:' || job_key ELSE job_key END AS job_key, technology, technology_category, sha256(title) AS sha FROM dashboard_skills),
+    r AS (SELECT job_key, job_text_sha256 AS sha FROM job_snapshots WHERE snapshot_no = 3),
+    v AS (SELECT 'missing_employer' AS violation, count(*) AS n FROM j WHERE lost UNION ALL SELECT 'orphan_skill', count(*) FROM k WHERE job_key NOT IN (SELECT job_key FROM j)
+    UNION ALL SELECT 'missing_requirement', count(*) FROM j WHERE job_key NOT IN (SELECT job_key FROM r) UNION ALL SELECT 'duplicate_requirement', count(*) FROM (SELECT job_key FROM r GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'duplicate_skill', count(*) FROM (SELECT job_key, lower(coalesce(nullif({X.sql_clean('technology')}, ''), technology)) FROM k GROUP BY 1, 2 HAVING count(*) > 1)
+    UNION ALL SELECT 'blank_skill', count(*) FROM k WHERE {X.sql_clean('technology')} = '' OR {X.sql_clean('technology_category')} = ''
+    UNION ALL SELECT 'stale_skill', count(*) FROM k JOIN j USING (job_key) WHERE sha <> now UNION ALL SELECT 'stale_requirement', count(*) FROM r JOIN j USING (job_key) WHERE sha <> now)
+    SELECT violation, n FROM v WHERE n > 0"""
+)
 def check_marts(spark, d):
-    e = _enriched(spark, d)
-    return marts.violations(jobs_of(spark, d), marts.job_skills(e), marts.job_requirements(e))
+    """Inputs that don't fit together: mentions whose job is lost, repeated, blank and stale ones; one delivery as requirements."""
+    lost = F.when(F.lower(F.trim("technology")) == "sql", F.concat(F.lit("lost:"), F.col("job_key"))).otherwise(F.col("job_key"))
+    own = table(spark, d, "dashboard_skills").select(lost.alias("job_key"), "technology", F.col("technology").alias("skill"), F.col("technology_category").alias("category"), F.sha2("title", 256).alias("job_text_sha256"))
+    return marts.violations(jobs_of(spark, d), own, table(spark, d, "job_snapshots").where("snapshot_no = 3").select("job_key", "job_text_sha256"))
 
 
 # --- marts ---------------------------------------------------------------------------------------------------------------
 
-def _mart(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    e = _enriched(spark, d)
-    own = marts.job_skills(e)
-    return marts.dashboard_jobs(jobs_of(spark, d), own, marts.job_requirements(e)), marts.dashboard_skills(jobs_of(spark, d), own)
+def _mart_jobs(spark: SparkSession, d: str, e: DataFrame | None = None) -> DataFrame:
+    e = _enriched_once(spark, d) if e is None else e
+    return marts.dashboard_jobs(jobs_of(spark, d), marts.job_skills(e), marts.job_requirements(e))
+
+
+def _mart_skills(spark: SparkSession, d: str, e: DataFrame | None = None) -> DataFrame:
+    return marts.dashboard_skills(jobs_of(spark, d), marts.job_skills(_enriched(spark, d) if e is None else e))
 
 
 _UNKNOWN = "('', 'unknown', 'unspecified', 'ambiguous', 'none')"
@@ -397,17 +442,37 @@ _MART_COLUMNS = ["job_key", "title", "employer_id", "employer_name", "employer_g
 
 @query(_M + f"SELECT {', '.join(_MART_COLUMNS)} FROM m")
 def mart_jobs(spark, d):
-    return _mart(spark, d)[0].select(*_MART_COLUMNS)
+    return _mart_jobs(spark, d).select(*_MART_COLUMNS)
 
 
-@query()
+_LISTED = lambda c: f"coalesce(array_to_string(list_transform(list_sort(list_transform(list_filter(coalesce({c}, []), lambda x: trim(x) <> ''), lambda x: lower(trim(x)) || chr(1) || trim(x))), lambda x: split_part(x, chr(1), 2)), '|'), '')"
+_EXTRACTED = f"""x AS (SELECT job_key, {sql_has(_DESC, R.DEGREE_REQUIRED)} AS degree_required, list_filter([{', '.join(f"CASE WHEN {sql_has(_DESC, t)} THEN '{n}' END" for n, t in R.DEGREE_FIELDS)}], lambda x: x IS NOT NULL) AS degree_fields,
+ list_filter([{', '.join(f"CASE WHEN {sql_has(_DESC, t)} THEN '{n}' END" for n, t in R.SOFT_SKILLS)}], lambda x: x IS NOT NULL) AS soft_skills, list_min(list_concat({_ENDS}, {_years(_REST, R.YEARS_SINGLE, 1)})) AS lo, list_max({_ENDS}) AS hi, {X.sql_clean('description_text')} = '' AS no_text FROM jobs),
+sk AS (SELECT job_key, count(*) AS n, list(DISTINCT skill) AS skills, list(DISTINCT technology_category) AS kinds, list(DISTINCT capability) AS capabilities FROM k GROUP BY 1),
+f AS (SELECT m.*, x.*, coalesce(sk.n, 0) AS skill_count, sk.skills, sk.kinds, sk.capabilities, len(list_filter(coalesce(j.data_quality_issues, []), lambda x: trim(x) <> '')) AS n_issues, no_text OR sk.n IS NULL AS has_warning, j.*
+      FROM m JOIN x USING (job_key) LEFT JOIN sk USING (job_key) JOIN (SELECT * EXCLUDE ({', '.join(c for c in _MART_COLUMNS if c not in ('job_key', 'employer_group', 'location_label', 'effective_role_level', 'is_early_career_target'))}, graduate_programme, last_seen_at), last_seen_at AS seen FROM jobs) j USING (job_key)) """
+_FULL = _S.rstrip() + ", " + _M.removeprefix("WITH ").rstrip() + ", " + _EXTRACTED
+
+
+@query(
+    _FULL
+    + f"""SELECT job_key, {', '.join(f"{X.sql_label(c)} AS {c}" for c in ('source_provider', 'source_name', 'source_job_id', 'title_normalized', 'employer_priority'))}, title, industry, graduate_programme, workplace_type,
+    epoch_us(first_seen_at) AS first_seen_us, epoch_us(seen) AS last_seen_us, epoch_us(source_updated_at) AS source_updated_us, CASE WHEN coalesce(observation_count, 0) = 0 THEN 1 ELSE observation_count END AS observation_count,
+    employer_id, employer_name, {X.sql_clean('application_url')} AS application_url, employer_group, city, province, country, location_label, effective_role_level, {X.sql_label('role_level_confidence', 'low')} AS role_level_confidence,
+    is_target_market, coalesce(is_early_career, false) AS is_early_career, is_early_career_target, is_talent_pool, skill_count, {_LISTED('skills')} AS skills, {_LISTED('kinds')} AS technology_categories, {_LISTED('capabilities')} AS capabilities,
+    degree_required, {_LISTED('degree_fields')} AS degree_fields, lo AS minimum_experience_years, hi AS maximum_experience_years, {_LISTED('soft_skills')} AS soft_skills, n_issues AS data_quality_issue_count, {_LISTED('data_quality_issues')} AS data_quality_issues,
+    array_to_string(list_filter([CASE WHEN no_text THEN 'missing_description' END, CASE WHEN skills IS NULL THEN 'no_skills_detected' END], lambda x: x IS NOT NULL), '|') AS extraction_warnings FROM f"""
+)
 def mart_jobs_full(spark, d):
-    return _mart(spark, d)[0]
+    """All columns of the jobs mart; lists joined by |, times in microseconds."""
+    rows = _mart_jobs(spark, d)
+    times = {"first_seen_at": "first_seen_us", "last_seen_at": "last_seen_us", "source_updated_at": "source_updated_us"}
+    return rows.select(*[F.array_join(c, "|").alias(c) if t.startswith("array") else F.unix_micros(c).alias(times[c]) if c in times else F.col(c) for c, t in rows.dtypes])
 
 
 @query(_S + "SELECT job_key, skill AS technology, technology_category, capability FROM k")
 def mart_skills(spark, d):
-    return _mart(spark, d)[1].select("job_key", "technology", "technology_category", "capability")
+    return _mart_skills(spark, d).select("job_key", "technology", "technology_category", "capability")
 
 
 @query(
@@ -418,17 +483,36 @@ def mart_skills(spark, d):
     UNION ALL SELECT 'industry_counts', industry FROM m UNION ALL SELECT 'province_counts', coalesce(province, 'unspecified') FROM m) GROUP BY 1, 2"""
 )
 def mart_label_counts(spark, d):
-    return marts.mart_labels(*_mart(spark, d))
+    e = _enriched_once(spark, d)
+    return marts.mart_labels(_mart_jobs(spark, d, e), _mart_skills(spark, d, e))
 
 
-@query()
+_MISSING = lambda c: f"count(*) FILTER (WHERE {c} IS NULL OR lower(trim({c})) IN {_UNKNOWN})::DOUBLE"
+
+
+@query(
+    _FULL
+    + f""", r AS (SELECT count(*)::DOUBLE AS dashboard_job_count, count(*) FILTER (WHERE is_target_market)::DOUBLE AS target_market_job_count, count(*) FILTER (WHERE is_target_market AND NOT is_talent_pool)::DOUBLE AS non_talent_pool_target_market_job_count,
+    count(*) FILTER (WHERE is_early_career_target)::DOUBLE AS early_career_target_job_count, count(*) FILTER (WHERE is_talent_pool)::DOUBLE AS talent_pool_job_count, count(*) FILTER (WHERE skill_count > 0)::DOUBLE AS jobs_with_skills_count,
+    count(*) FILTER (WHERE skill_count = 0)::DOUBLE AS jobs_without_skills_count, count(*) FILTER (WHERE is_target_market AND skill_count > 0)::DOUBLE AS target_jobs_with_skills_count,
+    coalesce(count(*) FILTER (WHERE is_target_market AND skill_count > 0) / nullif(count(*) FILTER (WHERE is_target_market), 0)::DOUBLE, 0.0) AS target_skill_coverage_rate,
+    count(DISTINCT employer_id)::DOUBLE AS employer_count, count(DISTINCT industry)::DOUBLE AS industry_count, {_MISSING('province')} AS missing_province, {_MISSING('workplace_type')} AS missing_workplace_type,
+    {_MISSING('effective_role_level')} AS missing_effective_role_level, {_MISSING('industry')} AS missing_industry, count(*) FILTER (WHERE n_issues > 0)::DOUBLE AS jobs_with_data_quality_issues_count,
+    count(*) FILTER (WHERE has_warning)::DOUBLE AS jobs_with_extraction_warnings_count FROM f) SELECT metric, value FROM (UNPIVOT r ON COLUMNS(*) INTO NAME metric VALUE value)"""
+)
 def mart_counts(spark, d):
-    return marts.mart_counts(_mart(spark, d)[0])
+    return marts.mart_counts(_mart_jobs(spark, d))
 
 
-@query()
+@query(
+    _FULL
+    + f""", r AS (SELECT count(*) FILTER (WHERE is_target_market)::DOUBLE AS t, count(*) FILTER (WHERE is_early_career_target) AS e, count(*) FILTER (WHERE is_target_market AND skill_count > 0) AS s,
+    count(*) FILTER (WHERE is_target_market AND lower(trim(workplace_type)) IN {_UNKNOWN}) AS w, count(*) FILTER (WHERE is_target_market AND province IS NULL) AS p FROM f)
+    SELECT warning FROM (SELECT unnest([CASE WHEN t = 0 THEN 'no_target_market_jobs' END, CASE WHEN e < 10 THEN 'small_early_career_sample' END, CASE WHEN t > 0 AND s / t < 0.7 THEN 'low_target_market_skill_coverage' END,
+    CASE WHEN t > 0 AND w / t > 0.25 THEN 'high_unknown_workplace_share' END, CASE WHEN t > 0 AND p / t > 0.25 THEN 'high_missing_province_share' END]) AS warning FROM r) WHERE warning IS NOT NULL"""
+)
 def mart_warnings(spark, d):
-    return marts.mart_warnings(_mart(spark, d)[0])
+    return marts.mart_warnings(_mart_jobs(spark, d))
 
 
 # --- exploration: the skills mart that is given, and the jobs mart that is built -------------------------------------
@@ -496,14 +580,18 @@ def explore_crosstab(spark, d):
     return explore.level_by_technology(_given_skills(spark, d))
 
 
-@query(_M + "SELECT count(*) AS vacancies, count(DISTINCT employer_name) AS employers, count(*) FILTER (WHERE lower(graduate_programme) = 'yes') AS with_programme FROM m WHERE is_early_career_target")
+@query(_FULL + "SELECT count(*) AS vacancies, count(DISTINCT employer_name) AS employers, count(*) FILTER (WHERE lower(graduate_programme) = 'yes') AS with_programme, avg(degree_required::INT::DOUBLE) AS degree_share FROM f WHERE is_early_career_target")
 def explore_early_career(spark, d):
-    return explore.early_career_figures(_light_jobs(spark, d).withColumn("degree_required", F.lit(False))).drop("degree_share")
+    return explore.early_career_figures(_mart_jobs(spark, d))
 
 
-@query(_M + f"SELECT title AS role, employer_name AS employer, location_label AS location, strftime(last_seen_at, '%d %b %Y') AS last_seen FROM m WHERE {_WHERE}")
+@query(
+    _FULL
+    + f"""SELECT title AS role, employer_name AS employer, industry, location_label AS location, workplace_type AS workplace, effective_role_level AS level, replace({_LISTED('skills')}, '|', ', ') AS technologies,
+    strftime(last_seen_at, '%d %b %Y') AS last_seen, {X.sql_clean('application_url')} AS apply FROM f WHERE {_WHERE}"""
+)
 def explore_opportunities(spark, d):
-    return explore.opportunities(_light_jobs(spark, d).withColumn("skills", F.array().cast("array<string>")), _WANTED).select("role", "employer", "location", "last_seen")
+    return explore.opportunities(_mart_jobs(spark, d), _WANTED)
 
 
 # --- audits ----------------------------------------------------------------------------------------------------------------
@@ -570,7 +658,15 @@ def ingest_source_quality(spark, d):
     return S.source_quality(table(spark, d, "greenhouse_jobs_m2"), "source_token", "internal_job_id", ["title", "content", "absolute_url"])
 
 
-@query()
+_ISO = "[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.,][0-9]{1,6})?)?(Z|[+-](0[0-9]|1[0-7]):?[0-5][0-9])?)?"
+_SIDE = {
+    "unknown_provider": "source NOT IN ('greenhouse', 'lever', 'successfactors', 'workday', 'oracle_hcm', 'wp_job_manager')", "blank_name": f"{X.sql_clean('source_name')} = ''", "blank_token": f"{X.sql_clean('source_token')} = ''",
+    "blank_employer": f"employer_id IS NOT NULL AND {X.sql_clean('employer_id')} = ''", "bad_time": f"NOT coalesce(regexp_full_match({X.sql_normalize_whitespace('collected_at')}, '{_ISO}', 'i') AND try_cast(substr({X.sql_normalize_whitespace('collected_at')}, 1, 10) AS DATE) IS NOT NULL, false)",
+    "bad_digest": "NOT coalesce(regexp_full_match(content_sha256, '[0-9a-f]{64}'), false)", "bad_file_name": "NOT coalesce(regexp_full_match(raw_file, '[^/\\\\]+') AND raw_file NOT IN ('.', '..'), false)", "no_count": "source_job_count IS NULL",
+}
+
+
+@query("SELECT violation, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS violation FROM snapshot_metadata WHERE {v}" for k, v in _SIDE.items()) + ") GROUP BY 1")
 def ingest_sidecar_violations(spark, d):
     rows = table(spark, d, "snapshot_metadata").withColumns({"provider": F.col("source"), "sidecar_path": F.col("meta_id").cast("string"), "collected": X.iso_instant(F.col("collected_at"))})
     return S.sidecar_violations(rows).groupBy("violation").agg(F.count("*").alias("n"))

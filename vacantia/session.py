@@ -61,9 +61,16 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, named by the cluster in spark.checkpoint.dir; in tests a temporary one."""
-    own = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return own or os.path.join(tempfile.gettempdir(), f"vacantia-{spark.sparkContext.applicationId}")
+    """The folder that all executors share, named by the cluster in spark.checkpoint.dir.
+
+    Where it is unset, one machine's temporary folder serves a session on that machine only; a cluster's session is refused.
+    """
+    sc = spark.sparkContext
+    if own := sc.getConf().get("spark.checkpoint.dir"):
+        return own
+    if not sc.master.startswith(("local[", "local-cluster[")) and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir isn't set: a cluster needs a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), f"vacantia-{sc.applicationId}")
 
 
 def cut(df: DataFrame) -> DataFrame:
