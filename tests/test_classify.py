@@ -110,3 +110,9 @@ def test_skills(spark):
 def test_report_table_has_all_rows_in_order(spark):
     lines = audit.markdown_table(spark.range(0, 2500, 1, 4).orderBy("id")).splitlines()
     assert lines[:2] == ["| id |", "|---|"] and lines[2:] == [f"| {k} |" for k in range(2500)]
+
+
+def test_review_document(spark):
+    rows = spark.createDataFrame([("likely_senior", "A|B", "Lead", "title: Lead"), ("ambiguous", None, "Dev", "")], "likely_level string, company string, title string, evidence string")
+    text = "".join(audit.review_document(rows))
+    assert "Roles: 2" in text and "| likely_senior | 1 |" in text and "| A\\|B | 1 |" in text and "| ambiguous |  | Dev | No explicit evidence |" in text

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from vacantia.sources.snapshots import assess_listings
 from vacantia.operators.instants import read_instants, readings, share_of_first
 from vacantia.operators.snapshots import snapshot_changes
 
@@ -97,3 +98,10 @@ def test_shared_abbreviations(spark):
     assert out[4] == ("ambiguous", None) and out[5] == ("ok", at("2026-04-03T15:00:00")) and len(out) == len(rows)
     alone = read_instants(spark.createDataFrame([(1, "2026-07-01 10:00 BST", None, "a")], "id int, v string, z string, src string"), "v", "z", ["src"]).first()
     assert alone.time_status == "ambiguous" and alone.epoch_us is None
+
+
+def test_listing_pages(spark):
+    rows = [("a", 200, "text/html", "<p>Our team</p><a href='/job/1'>x</a><a href='/job/1'>y</a>"), ("b", 404, "application/json", None), ("c", 200, "text/html", "<a href='/job/2'>x</a>")]
+    df = spark.createDataFrame(rows, "source_token string, http_status int, content_type string, html string")
+    out = {r.source_token: r for r in assess_listings(df, ["Team"], at_home=F.col("source_token") == "a").collect()}
+    assert out["a"].passed and out["a"].total_jobs == 1 == out["a"].home_jobs and out["b"].errors == ["status", "content_type", "missing_terms", "no_links"] and out["c"].missing_terms == ["Team"] and out["c"].home_jobs == 0

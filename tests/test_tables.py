@@ -6,9 +6,11 @@ import json
 import re
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from vacantia.functions import html
 from vacantia.operators import canonical, explore, marts
 from vacantia.operators.explore import Filters
 from vacantia.sources import career_site, registry, sinks, snapshots
@@ -18,14 +20,14 @@ T0 = datetime(2026, 7, 20)
 
 
 def board_row(**kw):
-    return {"id": 1, "internal_job_id": None, "title": "Junior Data Engineer", "updated_at": "2026-07-20T08:00:00Z", "absolute_url": "https://x/1", "content": "&lt;p&gt;Hybrid, Python&lt;/p&gt;", "location": {"name": "Sandton"}, "departments": [{"id": 1, "name": "Tech"}], "offices": []} | kw
+    return {"id": 1, "internal_job_id": None, "title": "Junior Data Engineer", "updated_at": "2026-07-20T08:00:00Z", "absolute_url": "https://x/1", "content": "&lt;p&gt;Hybrid, Python&lt;/p&gt;", "location": {"name": "Sandton"}, "departments": [{"id": 1, "name": "Tech &eacute;"}], "offices": []} | kw
 
 
 def test_board_to_canonical(spark):
     rows = spark.createDataFrame([board_row(), board_row(id=None, title=None, absolute_url=None, content=None, location=None, updated_at="soon")], "id bigint, internal_job_id bigint, title string, updated_at string, absolute_url string, content string, location struct<name:string>, departments array<struct<id:bigint,name:string>>, offices array<struct<id:bigint,name:string>>")
     meta = rows.withColumns({"source_name": F.lit("Acme"), "source_token": F.lit("acme"), "content_sha256": F.lit("0"), "snapshot_path": F.lit("p"), "collected_at": F.lit(T0)})
     good, bad = canonical.canonical_observations(canonical.from_board(meta)).orderBy("source_job_id").collect()[::-1]
-    assert good.job_key == "greenhouse:acme:1" and good.city == "Johannesburg" and good.role_level == "junior" and good.is_target_market and good.description_text == "Hybrid, Python" and good.department == "Tech"
+    assert good.job_key == "greenhouse:acme:1" and good.city == "Johannesburg" and good.role_level == "junior" and good.is_target_market and good.description_text == "Hybrid, Python" and good.department == "Tech é"
     assert bad.data_quality_issues == ["missing_source_job_id", "missing_title", "missing_application_url", "missing_location", "missing_description", "missing_or_invalid_source_updated_at"]
 
 
@@ -38,6 +40,12 @@ def test_postings_to_canonical(spark):
     assert row.workplace_type == "remote" and row.role_level == "junior" and row.application_url == "https://h" and row.data_quality_issues == []
 
 
+def test_shown_lists():
+    assert html.shown([" a &amp; b ", None, "A & B", "", "c"]) == ["a & b", "c"] and html.shown(None) == []
+    between = lambda *rows: html.html_shown_between.func(*(pa.array(list(c)) for c in zip(*rows))).to_pylist()
+    assert between(("South Africa", ["Durban"], "South Africa"), ("durban", ["Durban", "Pretoria"], None), (None, None, "Kenya")) == [["South Africa", "Durban"], ["Durban", "Pretoria"], ["Kenya"]]
+
+
 def test_deduplicate(spark):
     t = lambda d: datetime(2026, 7, d)
     rows = [("k", t(20), t(20), None, "old", 1, ["a"]), ("k", t(22), t(22), t(1), "new", 1, ["b", "a"]), ("k", t(22), t(22), None, "tie", 1, None), (None, t(1), t(1), None, "x", 1, [])]
@@ -137,8 +145,8 @@ def test_snapshots(spark, tmp_path):
 
 def test_html_and_embedded_postings(spark):
     meta = {"source_name": F.lit("A"), "source_token": F.lit("a"), "content_sha256": F.lit(""), "snapshot_path": F.lit(""), "collected_at": F.lit(T0)}
-    html = "<h1>Dev</h1><div class='jobdescription'>Text</div> Date: 3 Aug 2026"
-    df = spark.createDataFrame([(html, "https://h/job/dev/77/", ("", "t", "Durban", ""))], "html string, url string, index struct<source_job_id:string,title:string,location_raw:string,published_text:string>").withColumns(meta)
+    page = "<h1>Dev</h1><div class='jobdescription'>Text</div> Date: 3 Aug 2026"
+    df = spark.createDataFrame([(page, "https://h/job/dev/77/", ("", "t", "Durban", ""))], "html string, url string, index struct<source_job_id:string,title:string,location_raw:string,published_text:string>").withColumns(meta)
     from vacantia.functions.html import html_detail_fields, html_posting_json
 
     row = canonical.from_html_details(df, html_detail_fields("html")).first()

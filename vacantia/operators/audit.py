@@ -38,3 +38,14 @@ def markdown_lines(df: DataFrame) -> Iterator[str]:
 
 def markdown_table(df: DataFrame) -> str:
     return "".join(markdown_lines(df))
+
+
+def review_document(rows: DataFrame) -> Iterator[str]:
+    """Lines of the review of roles without a level (unspecified_roles): how many, by level, by employer, then every role."""
+    yield f"# Roles without a level\n\nBuckets for review; they change no classification.\n\nRoles: {rows.count()}\n\n## Likely levels\n\n"
+    yield from markdown_lines(distribution(rows, "likely_level").orderBy("label").withColumnsRenamed({"label": "Likely level", "n": "Count"}))
+    yield "\n## Employers\n\n"
+    yield from markdown_lines(distribution(rows, "company").withColumnsRenamed({"label": "Company", "n": "Count"}))
+    yield "\n## Roles\n\n"
+    shown = F.coalesce(F.nullif("evidence", F.lit("")), F.lit("No explicit evidence"))
+    yield from markdown_lines(rows.select(F.col("likely_level").alias("Likely level"), F.col("company").alias("Company"), F.col("title").alias("Title"), shown.alias("Evidence")))

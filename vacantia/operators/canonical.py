@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
-from vacantia.functions.html import html_visible_text
-from vacantia.functions.text import blank_to_null, iso_instant, iso_text, normalize_whitespace, normalized_key, source_date, stable_key, unique_ci
+from vacantia.functions.html import html_shown, html_shown_between, html_unescape, html_visible_text
+from vacantia.functions.text import blank_to_null, iso_instant, iso_text, normalize_whitespace, normalized_key, source_date, stable_key
 from vacantia.functions.terms import scan
 from vacantia.operators.classify import (
     LEVEL_RULES,
@@ -39,17 +39,13 @@ CANONICAL = [
 
 
 def display(c: Column) -> Column:
-    """Text for display: white space collapsed, the common entities decoded once."""
-    out = F.coalesce(c.cast("string"), F.lit(""))
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return normalize_whitespace(out)
+    """Text for display: character references decoded once, white space collapsed; null becomes empty."""
+    return normalize_whitespace(html_unescape(F.coalesce(c.cast("string"), F.lit(""))))
 
 
 def named_values(c: Column) -> Column:
     """Unique names of an array of structs, joined by commas; null if none."""
-    names = unique_ci(F.filter(F.transform(c, lambda x: display(x["name"])), lambda x: x != ""))
-    return F.nullif(F.array_join(names, ", "), F.lit(""))
+    return F.nullif(F.array_join(html_shown(F.transform(c, lambda x: x["name"])), ", "), F.lit(""))
 
 
 def from_board(df: DataFrame) -> DataFrame:
@@ -72,7 +68,8 @@ def from_board(df: DataFrame) -> DataFrame:
 def from_postings(df: DataFrame) -> DataFrame:
     """Postings with categories (id, text, country, workplaceType, urls, plain and markup descriptions, lists) to MAPPED."""
     # Headings and contents of the lists are read in one pass.
-    joined = F.array_join(F.transform(F.coalesce("lists", F.array().cast(dict(df.dtypes)["lists"])), lambda x: F.concat_ws(" ", display(x["text"]), x["content"])), " ")
+    lists = F.coalesce("lists", F.array().cast(dict(df.dtypes)["lists"]))
+    joined = F.array_join(F.transform(lists, lambda x: F.concat_ws(" ", x["text"], x["content"])), " ")
     base = df.withColumns({"_d": html_visible_text("description"), "_a": html_visible_text("additional"), "_l": html_visible_text(joined)})
     text = F.concat_ws(
         " ",
@@ -81,10 +78,9 @@ def from_postings(df: DataFrame) -> DataFrame:
         F.coalesce(F.nullif(display(F.col("additionalPlain")), F.lit("")), F.col("_a")),
     )
     c = F.col("categories")
-    primary = display(c["location"])
-    listed = unique_ci(F.filter(F.transform(F.coalesce(c["allLocations"], F.array().cast("array<string>")), display), lambda x: x != ""))
     country = F.create_map(*[F.lit(x) for kv in R.COUNTRY_CODES.items() for x in kv])[F.upper(display(F.col("country")))]
-    places = unique_ci(F.array_compact(F.concat(F.when((primary != "") & ~F.exists(listed, lambda x: F.lower(x) == F.lower(primary)), F.array(primary)).otherwise(F.array().cast("array<string>")), listed, F.array(country))))
+    # The country comes last; the main place first, unless it is listed.
+    places = html_shown_between(c["location"], c["allLocations"], country)
     team = F.nullif(display(c["team"]), F.lit(""))
     department = F.coalesce(F.nullif(display(c["department"]), F.lit("")), team)
     return base.select(
@@ -117,7 +113,7 @@ def from_json_details(df: DataFrame, provider: str) -> DataFrame:
         get = lambda *n: first_field(d, *n, nested="jobPostingInfo")
         more = get("additionalLocations", "locationsText")
         parts = F.when(more.startswith("["), F.from_json(more, "array<string>")).otherwise(F.array(more))
-        location = F.array_join(unique_ci(F.filter(F.transform(F.concat(F.array(get("location", "primaryLocation")), F.coalesce(parts, F.array().cast("array<string>"))), display), lambda x: x != "")), ", ")
+        location = F.array_join(html_shown(F.concat(F.array(get("location", "primaryLocation")), F.coalesce(parts, F.array().cast("array<string>")))), ", ")
         path = F.regexp_replace(display(F.coalesce(first_field(d, "_external_path"), get("externalPath"))), "^/+", "")
         url = F.when((path != "") & (base_url != ""), F.concat(base_url, F.lit("/"), path)).otherwise(display(first_field(d, "_detail_url")))
         own = (get("jobReqId", "requisitionId", "id"), get("title", "jobTitle"), get("jobFamily", "jobCategory", "businessUnit"), get("location"), location, get("jobDescription", "description"), url, get("startDate", "postedOn", "datePosted"), get("timeType", "workplaceType"), F.lit(""))
@@ -171,7 +167,7 @@ def from_posting_json(df: DataFrame, posting: Column) -> DataFrame:
     rows = df.withColumn("_j", posting)
     place = F.get_json_object("_j", "$.jobLocation")
     entries = F.when(place.startswith("["), F.from_json(place, f"array<struct<address:{address}>>")).otherwise(F.array(F.from_json(place, f"struct<address:{address}>")))
-    parts = F.flatten(F.transform(entries, lambda e: F.array(*[display(e["address"][k]) for k in ("addressLocality", "addressRegion", "addressCountry")])))
+    parts = html_shown(F.flatten(F.transform(entries, lambda e: F.array(*[e["address"][k] for k in ("addressLocality", "addressRegion", "addressCountry")]))))
     get = lambda *n: first_field(F.col("_j"), *n)
     rows = rows.withColumns({"_b": html_visible_text(get("description")), "_page": html_visible_text("html")})
     return rows.select(
@@ -181,7 +177,7 @@ def from_posting_json(df: DataFrame, posting: Column) -> DataFrame:
         display(get("title")).alias("title"),
         F.nullif(display(get("industry", "occupationalCategory")), F.lit("")).alias("department"),
         F.lit(None).cast("string").alias("office"),
-        F.coalesce(F.array_join(unique_ci(F.filter(parts, lambda x: x != "")), ", "), F.lit("")).alias("location_raw"),
+        F.array_join(parts, ", ").alias("location_raw"),
         F.coalesce(F.nullif(F.col("_b"), F.lit("")), F.col("_page")).alias("description_text"),
         F.col("url").alias("application_url"),
         display(get("jobLocationType")).alias("explicit_workplace"),

@@ -72,13 +72,25 @@ def skills_report(enriched: DataFrame) -> DataFrame:
     has, target = F.size("skills") > 0, F.col("is_target_market")
     return tidy(enriched, {
         "canonical_job_count": F.count("*"), "target_market_job_count": F.count_if(target), "early_career_target_job_count": F.count_if("is_early_career_target"),
-        "jobs_with_skills_count": F.count_if(has), "target_jobs_with_skills_count": F.count_if(has & target),
+        "job_skill_row_count": F.sum(F.size("skills")), "jobs_with_skills_count": F.count_if(has), "target_jobs_with_skills_count": F.count_if(has & target),
         "target_skill_coverage_rate": F.coalesce(F.count_if(has & target) / F.nullif(F.count_if(target), F.lit(0)), F.lit(0.0)),
         "degree_required_target_job_count": F.count_if(target & F.col("degree_required")),
         "target_jobs_with_experience_requirement_count": F.count_if(target & F.col("minimum_experience_years").isNotNull()),
     })
 
 
+def skills_labels(skills: DataFrame, requirements: DataFrame) -> DataFrame:
+    """(metric, label, n): mentions by technology category, capability and category, and extraction warnings."""
+    mentions = label_counts(skills, {"technology_category_mention_counts": F.col("technology_category"), "capability_mention_counts": F.col("capability"), "category_mention_counts": F.col("category")})
+    warnings = requirements.select(F.explode("extraction_warnings").alias("label")).groupBy(F.lit("extraction_warning_counts").alias("metric"), "label").agg(F.count("*").alias("n"))
+    return mentions.unionByName(warnings)
+
+
+def missing_figures(counts: DataFrame) -> DataFrame:
+    """(field, value): missing values of mart_counts, most first, ties by name."""
+    return counts.where("metric like 'missing@_%' escape '@'").select(F.expr("substring(metric, 9)").alias("field"), F.col("value").cast("long").alias("value")).orderBy(F.desc("value"), "field")
+
+
 def unknown(c: Column) -> Column:
     return F.coalesce(F.lower(clean(c)).isin(R.UNKNOWN), F.lit(True))
 

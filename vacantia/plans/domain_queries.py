@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.functions import html as H
@@ -258,7 +258,7 @@ def skills_requirements(spark, d):
     _S
     + f""", j AS (SELECT job_key, coalesce(is_target_market, false) AS t, {_EARLY} AS e, job_key IN (SELECT job_key FROM k) AS h, {sql_has(_DESC, R.DEGREE_REQUIRED)} AS dr, list_min(list_concat({_ENDS}, {_years(_REST, R.YEARS_SINGLE, 1)})) AS y FROM jobs),
     r AS (SELECT count(*)::DOUBLE AS canonical_job_count, count(*) FILTER (WHERE t)::DOUBLE AS target_market_job_count, count(*) FILTER (WHERE e)::DOUBLE AS early_career_target_job_count,
-    count(*) FILTER (WHERE h)::DOUBLE AS jobs_with_skills_count, count(*) FILTER (WHERE h AND t)::DOUBLE AS target_jobs_with_skills_count,
+    (SELECT count(*) FROM k)::DOUBLE AS job_skill_row_count, count(*) FILTER (WHERE h)::DOUBLE AS jobs_with_skills_count, count(*) FILTER (WHERE h AND t)::DOUBLE AS target_jobs_with_skills_count,
     count(*) FILTER (WHERE t AND dr)::DOUBLE AS degree_required_target_job_count, count(*) FILTER (WHERE t AND y IS NOT NULL)::DOUBLE AS target_jobs_with_experience_requirement_count,
     coalesce(count(*) FILTER (WHERE h AND t) / nullif(count(*) FILTER (WHERE t), 0)::DOUBLE, 0.0) AS target_skill_coverage_rate FROM j)
     SELECT metric, value FROM (UNPIVOT r ON COLUMNS(*) INTO NAME metric VALUE value)"""
@@ -267,6 +267,17 @@ def skills_report(spark, d):
     return marts.skills_report(_enriched(spark, d))
 
 
+@query(
+    _S
+    + f""", w AS (SELECT {X.sql_clean('description_text')} = '' AS no_text, job_key NOT IN (SELECT job_key FROM k) AS no_skill FROM jobs)
+    SELECT metric, label, count(*) AS n FROM (SELECT 'technology_category_mention_counts' AS metric, technology_category AS label FROM k UNION ALL SELECT 'capability_mention_counts', capability FROM k UNION ALL SELECT 'category_mention_counts', category FROM k
+    UNION ALL SELECT 'extraction_warning_counts', 'missing_description' FROM w WHERE no_text UNION ALL SELECT 'extraction_warning_counts', 'no_skills_detected' FROM w WHERE no_skill) GROUP BY 1, 2"""
+)
+def skills_label_counts(spark, d):
+    e = _enriched_once(spark, d)
+    return marts.skills_labels(marts.job_skills(e), marts.job_requirements(e))
+
+
 # --- canonical table ---------------------------------------------------------------------------------------------------
 
 def _boards(spark: SparkSession, d: str) -> DataFrame:
@@ -298,6 +309,74 @@ def canonical_union(spark, d):
     return both.groupBy("source_provider").agg(F.count("*").alias("n"))
 
 
+def _bundles(spark: SparkSession, d: str, provider: str, body: Column, index: Column, url: Column, path: Column) -> DataFrame:
+    """Pages of a provider as bundle_pages gives them, one per job, made of the jobs' own columns."""
+    own = jobs_of(spark, d).withColumns({"provider": F.lit(provider), "content_sha256": F.lit(""), "snapshot_path": F.lit(""), "collected_at": F.lit("2026-01-01 00:00:00").cast("timestamp"), "public_base_url": F.lit("https://w/en-US/s/")})
+    return spread(own.select("provider", "source_name", "source_token", "content_sha256", "snapshot_path", "collected_at", "public_base_url", url.alias("url"), body.alias("body"), index.alias("index"), path.alias("external_path")))
+
+
+_MAPPED = ["source_provider", "source_name", "source_token", "source_job_id", "title", "department", "location_raw", "application_url"]
+_NW = X.sql_normalize_whitespace
+_MAPPED_SQL = f"{_NW('source_name')} AS source_name, {_NW('source_token')} AS source_token"
+
+
+@query(
+    f"""SELECT 'workday' AS source_provider, {_MAPPED_SQL}, {_NW('source_job_id')} AS source_job_id, {_NW('title')} AS title, nullif({_NW('department')}, '') AS department,
+    {_NW('location_raw')} AS location_raw, 'https://w/en-US/s/job/' || job_key AS application_url FROM jobs"""
+)
+def canonical_workday(spark, d):
+    """Details nested in an object under the listing's fields, through the provider's own mapping."""
+    info = F.struct(F.col("source_job_id").alias("jobReqId"), F.lit("nested title").alias("title"), F.col("location_raw").alias("location"), F.col("department").alias("jobFamily"))
+    index = F.map_filter(F.create_map(F.lit("title"), F.col("title"), F.lit("externalPath"), F.concat(F.lit("/job/"), "job_key")), lambda k, v: v.isNotNull())
+    pages = _bundles(spark, d, "workday", F.to_json(F.struct(info.alias("jobPostingInfo"))), index, F.lit("https://w/x"), F.lit(None).cast("string"))
+    return canonical.from_json_details(S.json_details(pages, "workday"), "workday").select(*_MAPPED)
+
+
+@query(
+    f"""SELECT 'oracle_hcm' AS source_provider, {_MAPPED_SQL}, {_NW('source_job_id')} AS source_job_id, {_NW('title')} AS title, nullif({_NW('department')}, '') AS department,
+    {_NW('location_raw')} AS location_raw, CASE WHEN {_NW('source_job_id')} <> '' THEN 'https://w/en-US/s/' || {_NW('source_job_id')} ELSE 'https://o/' || job_key END AS application_url FROM jobs"""
+)
+def canonical_oracle(spark, d):
+    """Details wrapped into a list of one item, with fields that only the listing has."""
+    item = F.struct(F.col("source_job_id").alias("Id"), F.col("title").alias("Title"), F.col("department").alias("JobFunction"))
+    index = F.map_filter(F.create_map(F.lit("PrimaryLocation"), F.col("location_raw"), F.lit("Title"), F.lit("listing's title")), lambda k, v: v.isNotNull())
+    pages = _bundles(spark, d, "oracle_hcm", F.to_json(F.struct(F.array(item).alias("items"))), index, F.concat(F.lit("https://o/"), "job_key"), F.lit(None).cast("string"))
+    return canonical.from_json_details(S.json_details(pages, "oracle_hcm"), "oracle_hcm").select(*_MAPPED)
+
+
+@query(
+    f"""SELECT 'successfactors' AS source_provider, {_MAPPED_SQL}, {_NW('source_job_id')} AS source_job_id, {_NW('title')} AS title, NULL::VARCHAR AS department, {_NW('location_raw')} AS location_raw, 'https://s/job/' || job_key AS application_url FROM jobs"""
+)
+def canonical_html(spark, d):
+    """Posting pages as HTML: title and place from the page, the id from the listing."""
+    place = F.when(X.clean(F.col("location_raw")) != "", F.concat(F.lit("<span class='jobGeoLocation'>Location: "), _escaped("location_raw"), F.lit("</span>"))).otherwise("")
+    page = F.concat(F.lit("<html><h1>"), _escaped("title"), F.lit("</h1>"), place, F.lit("<div class='jobdescription'>"), _escaped("description_text"), F.lit("</div></html>"))
+    index = F.struct(F.col("source_job_id").alias("source_job_id"), F.lit("listed").alias("title"), F.lit("").alias("location_raw"), F.lit("").alias("published_text"))
+    pages = _bundles(spark, d, "successfactors", page, index, F.concat(F.lit("https://s/job/"), "job_key"), F.lit(None).cast("string")).withColumnRenamed("body", "html")
+    rows = canonical.from_html_details(pages, H.html_detail_fields("html")).select(*_MAPPED)
+    return rows.withColumns({"title": F.when(F.col("title") != "listed", F.col("title")).otherwise("")})
+
+
+@query(
+    f"""SELECT 'wp_job_manager' AS source_provider, {_MAPPED_SQL}, regexp_replace(job_key, '^.*/', '') AS source_job_id, {_NW('title')} AS title, nullif({_NW('department')}, '') AS department,
+    concat_ws(', ', nullif({_NW('city')}, ''), CASE WHEN lower({_NW('province')}) <> lower({_NW('city')}) THEN nullif({_NW('province')}, '') END) AS location_raw, 'https://p/jobs/' || job_key || '/?x=1' AS application_url FROM jobs"""
+)
+def canonical_embedded(spark, d):
+    """Pages with a posting embedded as JSON, its place in parts."""
+    address = F.struct(F.col("city").alias("addressLocality"), F.col("province").alias("addressRegion"))
+    posting = F.to_json(F.struct(F.lit("JobPosting").alias("@type"), "title", F.col("department").alias("industry"), F.struct(address.alias("address")).alias("jobLocation")))
+    page = F.concat(F.lit("<script type='application/ld+json'>"), posting, F.lit("</script>"))
+    pages = _bundles(spark, d, "wp_job_manager", page, F.create_map().cast("map<string,string>"), F.concat(F.lit("https://p/jobs/"), "job_key", F.lit("/?x=1")), F.lit(None).cast("string")).withColumnRenamed("body", "html")
+    return canonical.from_posting_json(pages, H.html_posting_json("html")).select(*_MAPPED)
+
+
+def _escaped(column: str) -> Column:
+    out = F.coalesce(F.col(column), F.lit(""))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(char), F.lit(entity))
+    return out
+
+
 _ORDERED = ["last_seen_at", "source_updated_at", "obs_id"]
 
 
@@ -515,6 +594,11 @@ def mart_warnings(spark, d):
     return marts.mart_warnings(_mart_jobs(spark, d))
 
 
+@query(_FULL + f"""SELECT unnest(['province', 'workplace_type', 'effective_role_level', 'industry']) AS field, unnest([{', '.join(_MISSING(c) for c in ('province', 'workplace_type', 'effective_role_level', 'industry'))}])::BIGINT AS value FROM f""")
+def mart_missing(spark, d):
+    return marts.missing_figures(marts.mart_counts(_mart_jobs(spark, d)))
+
+
 # --- exploration: the skills mart that is given, and the jobs mart that is built -------------------------------------
 
 def _given_skills(spark: SparkSession, d: str) -> DataFrame:
@@ -695,6 +779,16 @@ def ingest_assessment(spark, d):
     return S.assess_sources(rows, "source_token", "internal_job_id", "title", "place", ["title", "content"], _PLACES, _TECH)
 
 
+@query(
+    r"""WITH r AS (SELECT doc_id, coalesce(text, '') AS html FROM documents), a AS (SELECT doc_id::VARCHAR AS source_token, len(list_distinct(list_filter(regexp_extract_all(html, 'href\s*=\s*[""'']([^""'']+)[""'']', 1, 'i'), lambda x: regexp_matches(x, '/')))) AS total_jobs,
+    contains(lower(trim(regexp_replace(regexp_replace(regexp_replace(html, '<(script|style)\b[^>]*>.*?</(script|style)>', ' ', 'gis'), '<[^>]+>', ' ', 'gs'), '\s+', ' ', 'g'))), 'team') AS has_term FROM r)
+    SELECT source_token, total_jobs, total_jobs AS home_jobs, has_term AND total_jobs > 0 AS passed FROM a"""
+)
+def ingest_listing_assessment(spark, d):
+    pages = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_token"), F.lit(200).alias("http_status"), F.lit("text/html").alias("content_type"), F.col("text").alias("html"))
+    return S.assess_listings(pages, ["team"], "/", F.lit(True)).select("source_token", "total_jobs", "home_jobs", "passed")
+
+
 # --- the observation history as a stream: the same rows as the batch ------------------------------------------------------
 
 @query(ORACLES["canonical_dedup"])

@@ -94,7 +94,10 @@ def build_skills(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     skills, needs = spark.read.parquet(f"{out}/job_skills.parquet"), spark.read.parquet(f"{out}/job_requirements.parquet")
     sinks.write_table(marts.skills_summary(skills, needs), f"{out}/skills_summary.parquet")
     sinks.write_table(marts.company_skills(skills), f"{out}/company_skills.parquet")
-    sinks.write_json(f"{out}/skills-quality-report.json", sinks.report_json(marts.skills_report(jobs)))
+    summary = spark.read.parquet(f"{out}/skills_summary.parquet")
+    top = {name: [{"skill": r.technology, "job_count": r.job_count} for r in marts.top_technologies(summary, column).collect()] for name, column in (("top_target_market_skills", "target_market_job_count"), ("top_early_career_target_skills", "early_career_target_job_count"))}
+    report = sinks.report_json(marts.skills_report(jobs), marts.skills_labels(skills, needs)) | {"unique_skill_count": summary.count()} | top
+    sinks.write_json(f"{out}/skills-quality-report.json", report)
     return skills, needs
 
 
@@ -124,5 +127,5 @@ def build_audits(spark: SparkSession, out: str) -> None:
     """<out>/jobs.parquet to the two review lists as CSV, the first as a Markdown table too."""
     jobs = spark.read.parquet(f"{out}/jobs.parquet")
     sinks.write_csv(audit.unspecified_roles(jobs), f"{out}/unspecified-role-audit.csv")
-    sinks.write_lines(f"{out}/unspecified-role-audit.md", audit.markdown_lines(audit.unspecified_roles(jobs)))
+    sinks.write_lines(f"{out}/unspecified-role-audit.md", audit.review_document(audit.unspecified_roles(jobs)))
     sinks.write_csv(audit.role_audit(jobs), f"{out}/role-classification-audit.csv")

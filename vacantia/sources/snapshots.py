@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vacantia.functions.text import blank_to_null, iso_instant
+from vacantia.functions.text import blank_to_null, iso_instant, matching_links, strip_html_tags
 
 PROVIDERS = ["greenhouse", "lever", "successfactors", "workday", "oracle_hcm", "wp_job_manager"]
 _S, _L = T.StringType(), T.LongType()
@@ -180,3 +180,19 @@ def assess_sources(rows: DataFrame, source: str, id_col: str, title: str, locati
     more = rows.groupBy(F.col(source).alias("_s")).agg(F.count_if(home).alias("home_jobs"), F.count_if(home & contains_any(F.col(title), technologies)).alias("technology_jobs"))
     out = source_quality(rows, source, id_col, required).join(more, F.col(source).eqNullSafe(F.col("_s"))).drop("_s")
     return out.withColumn("passed", (F.col("home_jobs") > 0) & (F.col("unique_id_ratio") == 1.0) & (F.col("completion_ratio") >= 0.8))
+
+
+def assess_listings(pages: DataFrame, terms: list[str], link: str = "/job/", at_home: Column | None = None) -> DataFrame:
+    """Per listing page (columns source_token, http_status, content_type, html): links to postings, missing evidence, errors, passed.
+
+    total_jobs counts detected links, not postings; home_jobs is the same where the page's market is the home one
+    (``at_home``). A page passes with status 200, HTML, all ``terms`` in its text (in any case) and a link.
+    """
+    text = F.lower(strip_html_tags(F.col("html")))
+    n = F.size(matching_links(F.col("html"), link)).cast("long")
+    missing = F.array_compact(F.array(*[F.when(~text.contains(t.lower()), t) for t in terms])) if terms else F.array().cast("array<string>")
+    is_html = F.coalesce(F.lower("content_type").contains("html"), F.lit(False))
+    status = F.coalesce(F.col("http_status") == 200, F.lit(False))
+    rows = pages.select("source_token", n.alias("total_jobs"), F.when(F.coalesce(at_home, F.lit(False)) if at_home is not None else F.lit(False), n).otherwise(0).alias("home_jobs"), missing.alias("missing_terms"), status.alias("_s"), is_html.alias("_h"))
+    errors = F.array_compact(F.array(F.when(~F.col("_s"), "status"), F.when(~F.col("_h"), "content_type"), F.when(F.size("missing_terms") > 0, "missing_terms"), F.when(F.col("total_jobs") == 0, "no_links")))
+    return rows.withColumn("errors", errors).withColumn("passed", F.size("errors") == 0).drop("_s", "_h")
