@@ -45,6 +45,13 @@ def re2_any(terms: Sequence[str]) -> str:
     return "|".join(out)
 
 
+def re2_values(term: str) -> str:
+    """One term for RE2 with what it matches as group 1."""
+    edge, rest = _split(term)
+    chars = r"\pL\pN_" + re.escape(edge or "")
+    return rf"(?:^|[^{chars}])({_body(rest)})(?:$|[^{chars}])"
+
+
 def python_any(terms: Sequence[str]) -> re.Pattern:
     return re.compile("|".join(f"(?:{java(t)})" for t in terms), re.IGNORECASE)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vacantia.functions import html as H
 from vacantia.functions import rule_tables as R
 from vacantia.functions import text as X
-from vacantia.functions.rules import sql_first, sql_has
+from vacantia.functions.rules import re2_values, sql_first, sql_has
 from vacantia.operators import audit, canonical, classify, explore, marts, skills
 from vacantia.operators.explore import Filters
 from vacantia.session import cut, shared_dir, spread, table
@@ -189,10 +189,31 @@ def classify_inferred_levels(spark, d):
     return out.select("job_key", "inferred_role_level", "is_talent_pool")
 
 
-@query()
+def _values(expr: str, terms: list[str]) -> str:
+    """Distinct matched texts of terms, in lower case: the term between its boundaries."""
+    found = ", ".join(f"regexp_extract_all({expr}, '{re2_values(t).replace(chr(39), chr(39) * 2)}', 1, 'i')" for t in terms)
+    return f"list_distinct(list_transform(flatten([{found}]), lambda x: lower(x)))"
+
+
+_LV = "coalesce(role_level, '')"
+_RULES = [(_TITLE, R.SCORE_TITLE), (_LV, R.SCORE_SOURCE), (_DESC, R.SCORE_DESCRIPTION)]
+_YEAR_VALUES = f"list_distinct(list_transform(list_concat(regexp_extract_all({_DESC}, '{R.YEARS_RANGE}', 0, 'i'), regexp_extract_all({_REST}, '{R.YEARS_SINGLE.replace(chr(39), chr(39) * 2)}', 0, 'i')), lambda x: lower(x)))"
+_LEAST = "list_min(list_transform(regexp_extract_all(x, '[0-9]+'), lambda d: try_cast(d AS BIGINT)))"
+
+
+@query(
+    f"""WITH v AS (SELECT *, {_YEAR_VALUES} AS years, list_min(list_concat({_ENDS}, {_years(_REST, R.YEARS_SINGLE, 1)})) AS y, {', '.join(f"len({_values(e, t)}) AS n{i}_{k}" for i, (e, rules) in enumerate(_RULES) for k, (_, _, t) in enumerate(rules))} FROM jobs),
+    w AS (SELECT *, {' + '.join(f"{weight} * n{i}_{k}" for i, (_, rules) in enumerate(_RULES) for k, (weight, _, _) in enumerate(rules))}
+      + coalesce(list_sum(list_transform(list_transform(years, lambda x: {_LEAST}), lambda n: CASE WHEN n <= 1 THEN 5 WHEN n = 2 THEN 2 WHEN n = 3 THEN -2 WHEN n = 4 THEN -5 ELSE -10 END)), 0)::BIGINT AS score,
+      {' + '.join(f"n{i}_{k}" for i, (_, rules) in enumerate(_RULES) for k in range(len(rules)))} + len(years) AS n_evidence FROM v),
+    l AS (SELECT *, CASE {' '.join(f"WHEN {_named(c)} THEN '{c}'" for c in ('senior', 'internship', 'graduate', 'junior'))} WHEN n2_1 > 0 THEN 'graduate' WHEN n2_0 + n2_2 > 0 THEN 'junior'
+      WHEN y IS NOT NULL THEN CASE WHEN y <= 1 THEN 'junior' WHEN y = 2 THEN 'ambiguous' WHEN y <= 4 THEN 'mid_level' ELSE 'senior' END WHEN score >= 8 THEN 'junior' WHEN score <= -8 THEN 'senior' ELSE 'ambiguous' END AS level FROM w)
+    SELECT job_key, score AS role_level_score, n_evidence, CASE WHEN level = 'ambiguous' THEN 'low' WHEN {' OR '.join(f"(level = '{c}' AND {_named(c)})" for c in ('senior', 'internship', 'graduate', 'junior', 'mid_level'))} THEN 'high'
+      WHEN len(years) > 0 OR n_evidence >= 2 THEN 'medium' ELSE 'low' END AS role_level_confidence FROM l"""
+)
 def classify_scores(spark, d):
     out = classify.score_role(texts(spark, d, "title", "description_text", "role_level"), "title", "description_text", "role_level")
-    return out.select("job_key", "role_level_score", "role_level_confidence", F.array_join("role_level_score_evidence", " | ").alias("evidence"))
+    return out.select("job_key", "role_level_score", F.size("role_level_score_evidence").cast("long").alias("n_evidence"), "role_level_confidence")
 
 
 # --- skills -----------------------------------------------------------------------------------------------------------
