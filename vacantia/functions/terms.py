@@ -105,6 +105,10 @@ def scan(df: DataFrame, names: Sequence[str], name: str = "_terms", **columns: C
     return df.withColumn(name, found(*[c.cast("string") for c in columns.values()]))
 
 
+def sql_literal(value: str | int) -> str:
+    return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Found:
     """Expressions over a scan's map."""
 
@@ -128,7 +132,8 @@ class Found:
 
     def label(self, family: str, number: Column | None = None, at: int = 0) -> Column:
         """Entry ``at`` of a rule, by default of the first that matches; null if none does."""
-        values = F.array(*[F.lit(rule[at]) for rule in FAMILIES[family][1]])
+        # As text: one expression to hand over instead of one per rule.
+        values = F.expr("array(" + ", ".join(sql_literal(rule[at]) for rule in FAMILIES[family][1]) + ")")
         return F.get(values, (self.first(family) if number is None else number) - _FIRST[family])
 
     def texts(self, number: Column) -> Column:

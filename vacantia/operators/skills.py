@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import rule_tables as R
-from vacantia.functions.terms import Found, scan
+from vacantia.functions.terms import Found, scan, sql_literal
 from vacantia.functions.text import strip, unique_ci
 from vacantia.operators.classify import years_of_experience
 
@@ -23,8 +23,8 @@ def with_skills(df: DataFrame, title: str, description: str, name: str = "skills
 
 def dimensions(skill: Column, category: Column) -> tuple[Column, Column]:
     """(technology_category, capability): by technology where it has its own, else by category, else other."""
-    by_skill = F.create_map(*[F.lit(x) for k, (a, b) in R.SKILL_DIMENSIONS.items() for x in (k, f"{a}|{b}")])[skill]
-    by_category = F.create_map(*[F.lit(x) for k, (a, b) in R.CATEGORY_DIMENSIONS.items() for x in (k, f"{a}|{b}")])[category]
+    as_map = lambda entries: F.expr("map(" + ", ".join(f"{sql_literal(k)}, {sql_literal(f'{a}|{b}')}" for k, (a, b) in entries.items()) + ")")
+    by_skill, by_category = as_map(R.SKILL_DIMENSIONS)[skill], as_map(R.CATEGORY_DIMENSIONS)[category]
     both = F.coalesce(by_skill, by_category, F.lit("other|Other"))
     return F.substring_index(both, "|", 1), F.substring_index(both, "|", -1)
 
