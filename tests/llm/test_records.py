@@ -66,6 +66,16 @@ def test_near_duplicates_by_either_way(spark, monkeypatch):
     assert found[0] == found[1] == found[2] == brute(rows, 3, 3, 5)
 
 
+def test_near_duplicates_by_subsets_in_pieces(spark, monkeypatch):
+    """Hot subsets are cut into pieces like hot members: no pair is lost between them."""
+    rows = documents(11, 120, 15, 30, 4)
+    df = spark.createDataFrame(rows, "key string, text string")
+    monkeypatch.setattr(nearjoin, "_boundary", lambda *_: (1 << 30, 0))
+    monkeypatch.setattr(nearjoin, "PIECE", 6)
+    got = {tuple(r) for r in nearjoin.record_pairs(*nearjoin.near_duplicates(df, "key", ["text"], "text", 0, 3, 3, 5)).collect()}
+    assert got == brute(rows, 3, 3, 5)
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "key string, text string")
     members, links = nearjoin.near_duplicates(df, "key", ["text"], "text")
@@ -114,8 +124,10 @@ def test_near_duplicates_do_not_depend_on_the_number_of_sets(spark, monkeypatch,
     assert {(a, b) for a, b in got if b < 600} == {(2 * k, 2 * k + 1) for k in range(300)}
 
 
-def test_item_pairs_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("piece", [4096, 3])
+def test_item_pairs_equal_brute_force(spark, monkeypatch, piece):
     monkeypatch.setattr(pairs, "RUN", 50)
+    monkeypatch.setattr(pairs, "PIECE", piece)
     rng = random.Random(2)
     rows = [(f"b{rng.randint(0, 80) if rng.random() < 0.7 else 0}", rng.choice(["A", "a ", "B", "c", "d", "e", "F", "\tg", None, "", "  "])) for _ in range(900)] + [(None, "a"), ("solo", "zz")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "basket string, item string, n int").withColumnRenamed("basket", "key").withColumnRenamed("n", "basket")

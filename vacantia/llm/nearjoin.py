@@ -182,17 +182,17 @@ def _step(h: np.ndarray, member: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _signatures(p: Prefixes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row of the prefixes, hash) of all subsets of SUBSET."""
+def _signatures(p: Prefixes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of the prefixes, hash, count of its rarest member) of all subsets of SUBSET."""
     for n in np.unique(p.length):
         subsets = _subsets(int(n))
         all_rows = np.flatnonzero(p.length == n)
-        for rows in np.array_split(all_rows, max(1, len(all_rows) * len(subsets) // 2_000_000)):
-            m = p.members[p.start[rows, None] + np.arange(n)]
+        for rows in np.array_split(all_rows, max(1, len(all_rows) * len(subsets) // 200_000)):
+            at = p.start[rows, None] + np.arange(n)
             h = np.ones((len(rows), len(subsets)), dtype=np.uint64)
             for k in range(SUBSET):
-                h = _step(h, m[:, subsets[:, k]])
-            yield np.repeat(rows, len(subsets)), h.ravel()
+                h = _step(h, p.members[at][:, subsets[:, k]])
+            yield np.repeat(rows, len(subsets)), h.ravel(), p.counts[at][:, subsets[:, 0]].ravel()
 
 
 def _sets_of(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -248,34 +248,48 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> tuple[int, int]:
     return at, 16 * rows[0]["size"] if rows else 0
 
 
-#: Longs of parities in the lists, and in the last check before whole sets are compared.
-LIST_LONGS, SET_LONGS = 6, 8
-#: Columns of an inverted list: the list or pair of its pieces; the set's size, its members before this one and the piece (0: one
-#: only) in one number, which sorts by size; the set; parities of its members from here on.
+#: Longs of parities in the lists, and in the check of sets as a whole.
+LIST_LONGS = 6
+#: Columns of a list, of a member or of a subset: the list or pair of its pieces; the set's size, its members before this one and
+#: the piece (0: one only) in one number, which sorts by size; the set; parities of its members from here on.
 _LIST = {"key": "long", "place": "long", "c": "long", **{f"b{k}": "long" for k in range(LIST_LONGS)}}
 
 
-def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
-    """Each set in the lists of its prefix; in those cut into pieces, once for each pair of pieces that has its own."""
-    p = _prefixes(_ordered(sizes, flat, counters), ratio, 1)
-    row = np.repeat(np.arange(len(p.length)), p.length)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
-    at = p.start[row] + place
-    member, pieces = p.members[at], p.counts[at] // piece + 1
-    base = (np.cumsum(sizes) - sizes)[p.of]
-    before, bits = at - base[row], _suffix_parities(p.members, at, (base + sizes[p.of])[row], LIST_LONGS)
-    again = np.repeat(np.arange(len(row)), pieces)
+def _cells(key: np.ndarray, count: np.ndarray, ids: np.ndarray, sizes: np.ndarray, before: np.ndarray, bits: np.ndarray, piece: int) -> pa.RecordBatch:
+    """Rows of lists: one for each set and key; where ``count``, the most sets that can have the key, makes several pieces, one for each pair of pieces that has the set's own."""
+    pieces = count // piece + 1
+    again = np.repeat(np.arange(len(key)), pieces)
     other = np.arange(len(again)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    row, member, pieces, before, bits = row[again], member[again], pieces[again], before[again], bits[again]
+    key, pieces, ids, sizes, before, bits = key[again], pieces[again], ids[again], sizes[again], before[again], bits[again]
     # The hash of the set alone may follow the order in which rows are dealt to tasks; it is mixed once more.
-    own = (_step(np.full(len(row), 7, np.uint64), ids[p.of[row]]) % pieces.astype(np.uint64)).astype(np.int64)
+    own = (_step(np.full(len(key), 7, np.uint64), ids) % pieces.astype(np.uint64)).astype(np.int64)
     low, high = np.minimum(own, other), np.maximum(own, other)
-    cell = _step(_step(_step(np.ones(len(row), np.uint64), member), low), high).view(np.int64)
+    cell = _step(_step(_step(np.ones(len(key), np.uint64), key), low), high).view(np.int64)
     side = np.where(own == other, 0, np.where(own < other, 1, 2))
-    columns = [np.where(pieces > 1, cell, member), sizes[p.of[row]] << 33 | before << 2 | side, ids[p.of[row]], *(np.ascontiguousarray(bits[:, k]) for k in range(LIST_LONGS))]
+    columns = [np.where(pieces > 1, cell, key), sizes << 33 | before << 2 | side, ids, *(np.ascontiguousarray(bits[:, k]) for k in range(LIST_LONGS))]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_LIST))
 
 
+def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
+    """Each set in the lists of its prefix."""
+    p = _prefixes(_ordered(sizes, flat, counters), ratio, 1)
+    row = np.repeat(np.arange(len(p.length)), p.length)
+    at = p.start[row] + np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
+    base = (np.cumsum(sizes) - sizes)[p.of][row]
+    own = sizes[p.of[row]]
+    return _cells(p.members[at], p.counts[at], ids[p.of[row]], own, at - base, _suffix_parities(p.members, at, base + own, LIST_LONGS), piece)
+
+
+def _enumerated(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> Iterator[pa.RecordBatch]:
+    """Each set in the lists of all subsets of SUBSET of its prefix."""
+    p = _prefixes(_ordered(sizes, flat, counters), ratio, SUBSET)
+    end = np.cumsum(sizes)
+    bits = _suffix_parities(p.members, end - sizes, end, LIST_LONGS)
+    for rows, h, least in _signatures(p):
+        of = p.of[rows]
+        yield _cells(h.view(np.int64), least, ids[of], sizes[of], np.zeros(len(of), dtype=np.int64), bits[of], piece)
+
+
 def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray, longs: int) -> np.ndarray:
     """Some longs of bits for each run members[at:end]: each bit the parity of the members that fall on it."""
     bit = ((members >> 32) & 0xFFFFFF) % (64 * longs)
@@ -343,8 +357,8 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Ite
 def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
     """(a, b) with a < b: hashes of two sets that share SUBSET of their rarest members, or are both in an inverted list.
 
-    Joins are told to sort and merge: the planner's size estimates don't know how much a set is expanded, and by them
-    would broadcast a side that doesn't fit.
+    Sets that share a key stand together in one list; a list that can be long is cut into pieces, so neither a hot member
+    nor a hot subset is a task of its own.
     """
     counters = classes.sparkSession.sparkContext.broadcast(_frequencies(classes))
     (boundary, least), piece = _boundary(classes, counters, ratio), PIECE
@@ -353,9 +367,7 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for k in range(0, batch.num_rows, 512):
-                p = _prefixes(_ordered(*_sets_of(batch.slice(k, 512), 1), counters.value), ratio, SUBSET)
-                for rows, h in _signatures(p):
-                    yield pa.RecordBatch.from_pydict({"sig": h.view(np.int64), "c": ids[k + p.of[rows]]})
+                yield from _enumerated(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece)
 
     def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,46 +375,20 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
             for k in range(0, batch.num_rows, 512):
                 yield _listed(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece)
 
+    def scanned(which: str, make, from_size: int) -> DataFrame:
+        lists = classes.where(which).select("h1", "members").mapInArrow(make, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
+        return lists.repartition("key").sortWithinPartitions("key", "place").mapInArrow(lambda batches: _scan(batches, from_size, ratio), "a long, b long")
+
     # Inverted lists: a set at or above the boundary against all sets that can be its partner.
-    lists = classes.where(F.col("n") >= math.floor(boundary * ratio)).select("h1", "members").mapInArrow(list_members, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
-    out = lists.repartition("key").sortWithinPartitions("key", "place").mapInArrow(lambda batches: _scan(batches, boundary, ratio), "a long, b long")
-    loose = []
+    out = scanned(f"n >= {math.floor(boundary * ratio)}", list_members, boundary)
     if least < boundary:
-        small = classes.where(F.col("n") < boundary).select("h1", "members").mapInArrow(enumerate_subsets, "sig long, c long")
-        loose.append(small.alias("x").join(small.alias("y").hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c"))).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
-    if least * ratio <= SUBSET - 1:
-        # Sets so small that fewer than SUBSET common members are enough: any common member makes a candidate.
-        tiny = classes.where(F.col("n") * ratio <= SUBSET - 1).select("h1", F.explode("members").alias("m"))
-        loose.append(tiny.alias("x").join(tiny.alias("y").hint("merge"), (F.col("x.m") == F.col("y.m")) & (F.col("x.h1") < F.col("y.h1"))).select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b")))
-    for more in loose:
-        out = out.unionByName(_possible(more.distinct(), classes, ratio))
+        out = out.unionByName(scanned(f"n < {boundary}", enumerate_subsets, 0))
+        if least * ratio <= SUBSET - 1:
+            # Sets so small that fewer than SUBSET common members are enough meet in inverted lists as well.
+            out = out.unionByName(scanned(f"n <= {math.floor((SUBSET - 1) / ratio + 1e-9)}", list_members, 0))
     return out.distinct()
 
 
-def _possible(pairs: DataFrame, classes: DataFrame, ratio: float) -> DataFrame:
-    """Of pairs of sets those whose parities allow as much in common as must be."""
-    parity = _parity(classes)
-    left = parity.select(F.col("h1").alias("a"), F.col("n").alias("na"), *[F.col(f"b{k}").alias(f"l{k}") for k in range(SET_LONGS)])
-    right = parity.select(F.col("h1").alias("b"), F.col("n").alias("nb"), *[F.col(f"b{k}").alias(f"r{k}") for k in range(SET_LONGS)])
-    differ = sum((F.bit_count(F.col(f"l{k}").bitwiseXOR(F.col(f"r{k}"))) for k in range(SET_LONGS)), F.lit(0))
-    most_common = (F.col("na") + F.col("nb") - differ) / 2
-    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(most_common >= ratio * F.greatest("na", "nb") - 1e-9).select("a", "b")
-
-
-def _parity(classes: DataFrame) -> DataFrame:
-    """(h1, n, b0..b7): 512 bits, each the parity of the members that fall on it.
-
-    Two sets differ in at least as many members as their parities differ in bits: an upper bound of what they share.
-    """
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, flat = _sets_of(batch, 2)
-            longs = _suffix_parities(flat, np.cumsum(sizes) - sizes, np.cumsum(sizes), SET_LONGS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(longs[:, k])) for k in range(SET_LONGS))], names=["h1", "n", *(f"b{k}" for k in range(SET_LONGS))])
-
-    return classes.select("h1", "n", "members").mapInArrow(fold, "h1 long, n int, " + ", ".join(f"b{k} long" for k in range(SET_LONGS)))
-
-
 def class_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     """(a1, a2, b1, b2): hashes of each two different sets of which den * common >= num * size holds for both sizes."""
     kept = cut(_candidates(classes, num / den))
