@@ -84,8 +84,9 @@ def pieced(sets: DataFrame, sizes: DataFrame, piece: int) -> DataFrame:
     rows = sets.join(sizes, "basket").withColumn("_p", F.ceil(F.col("k") / piece).cast("long"))
     rows = rows.withColumn("_own", F.pmod(F.xxhash64("item_id"), "_p"))
     rows = rows.select("basket", "item_id", "_own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_p") - 1)).alias("_other"))
-    cells = rows.groupBy("basket", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))
-    lists = cells.agg(F.collect_list(F.when(F.col("_own") == F.col("_a"), F.col("item_id"))).alias("ids"), F.collect_list(F.when((F.col("_own") == F.col("_b")) & (F.col("_a") != F.col("_b")), F.col("item_id"))).alias("more"))
+    rows = rows.select("basket", "item_id", "_own", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))
+    mine = lambda side: F.collect_list(F.when(F.col("_own") == F.col(side), F.col("item_id")))
+    lists = rows.groupBy("basket", "_a", "_b").agg(mine("_a").alias("ids"), mine("_b").alias("more"))
     return lists.select("ids", F.when(F.col("_a") != F.col("_b"), F.col("more")).alias("others"), F.lit(1).cast("long").alias("w"))
 
 
