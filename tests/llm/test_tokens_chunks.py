@@ -66,7 +66,7 @@ def check(text, limit, overlap):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.sampled_from(["# H\n", "## S\n\n", "word ", "Long sentence here. ", "- item\n", "<p>para</p>\n", "<h2>t</h2>", "\n\n", "x" * 40, "漢字" * 9, "a, b; c "]), max_size=60), st.integers(16, 60))
+@given(st.lists(st.sampled_from(["# H\n", "## S\n\n", "word ", "Long sentence here. ", "- item\n", "  - sub\n", "<ul><li>b<ul><li>c</li>", "</ul>", "<div>", "</div>", "<p>para</p>\n", "<h2>t</h2>", "\n\n", "x" * 40, "漢字" * 9, "a, b; c "]), max_size=60), st.integers(16, 60))
 def test_split_round_trip(parts, limit):
     text = "".join(parts)
     pieces = check(text, limit, limit // 4) if text else chunks.split_text(ENC, text, limit, limit // 4)
@@ -93,3 +93,14 @@ def test_split_table(spark):
     assert "".join(r.piece[r.core_start - r.char_start :] for r in out if r.doc_id == 1) == "word " * 400
     assert {r.doc_id for r in chunks.split_table(df, "doc_id", "text", 64, 8, oversized_only=False).collect()} == {1, 2, 5}
     assert chunks.split_table(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_nested_markup_comes_apart_from_outside():
+    """Items of an outer list are kept whole with their inner lists; deep nesting has no end."""
+    inner = "<ul>" + "".join(f"<li>inner item {k} here</li>" for k in range(6)) + "</ul>"
+    text = "<ul>" + "".join(f"<li>outer item {k} {inner}</li>" for k in range(6)) + "</ul>"
+    pieces = check(text, 96, 8)
+    assert len(pieces) == 6 and all(f"outer item {k} <ul>" in text[c:e] and text[c:e].count("inner") == 6 for k, (_, c, e, _) in enumerate(pieces))
+    plain = "".join(f"- outer item {k} of the list\n" + "".join(f"    - inner item {i} of it\n" for i in range(6)) for k in range(6))
+    assert all("outer" in plain[c : c + 12] for _, c, _, _ in check(plain, 96, 8))
+    assert len(check("<div>" * 5000 + "x", 64, 8)) > 10

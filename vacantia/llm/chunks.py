@@ -1,7 +1,7 @@
 """Cutting oversized texts into pieces under a token limit, at natural boundaries, with overlap.
 
-A text is read as a tree: headings by rank, block markup and paragraphs, lines and list items, sentences, clauses,
-words. Packing goes down only into nodes above the limit and merges neighbouring packed parts on the way up.
+A text is read as a tree: headings by rank, elements of markup as they are nested, paragraphs, list items by their
+indent, lines, sentences, clauses, words. Packing goes down only into nodes above the limit and merges neighbouring packed parts on the way up.
 """
 
 from __future__ import annotations
@@ -20,14 +20,22 @@ from vacantia.session import spread
 
 #: A heading's rank, 1 to 6, is its level of the tree; its start is the boundary.
 _HEADING = regex.compile(r"(?m)^(#{1,6})\s|<h([1-6])[\s>]", regex.I)
+#: Markup that holds text or other markup, and blank lines; their level follows how deep they stand. Some tags may go unclosed.
+_ELEMENT = regex.compile(r"<(/?)(p|div|section|article|table|ul|ol|dl|li|dd|dt|tr|blockquote)\b[^<>]*>\s*|\n[^\S\n]*\n\s*", regex.I)
+#: Elements within more others than this are on one level.
+_DEEP = 60
+_UNCLOSED = {"p", "li", "dd", "dt", "tr"}
+#: Items of plain lists; their level follows their indent.
+_ITEM = regex.compile(r"(?m)^([ \t]*)(?:[-*+•]|\d{1,3}[.)])\s")
 #: Levels below with their patterns, whose ends are boundaries.
+_BLOCK, _LINE = 7, 9
 _BOUNDARIES = [
-    (7, regex.compile(r"\n[^\S\n]*\n\s*|</(?:p|div|section|table|ul|ol|h[1-6])>\s*", regex.I)),
-    (8, regex.compile(r"\n\s*|</(?:li|tr)>\s*|<br\s*/?>\s*", regex.I)),
-    (9, regex.compile(r"[.!?…。！？]+[\"'”’)\]]*(?=\s|<|$)|[。！？]+")),
-    (10, regex.compile(r"[;:,|、，；](?=\s)|[、，；]")),
+    ((_BLOCK, 0), regex.compile(r"</h[1-6]>\s*", regex.I)),
+    ((_LINE, 0), regex.compile(r"\n\s*|<br\s*/?>\s*", regex.I)),
+    ((10, 0), regex.compile(r"[.!?…。！？]+[\"'”’)\]]*(?=\s|<|$)|[。！？]+")),
+    ((11, 0), regex.compile(r"[;:,|、，；](?=\s)|[、，；]")),
 ]
-_WORD, _INSIDE = 11, 12
+_WORD, _INSIDE = (12, 0), (13, 0)
 #: A piece of more tokens, or of more than a part has room for, is taken apart.
 _LONG_PIECE = 16
 
@@ -64,6 +72,36 @@ def _atoms(enc: Encoder, text: str, longest: int) -> tuple[list[int], list[int],
     return starts, counts, inside
 
 
+def _edges(text: str) -> Iterator[tuple[tuple[int, int], int]]:
+    """(level, place) of the boundaries of the text's tree; a smaller level is higher up.
+
+    Elements lie between headings and lines: where one opens or ends, the level is the number of elements that stay open
+    around it, so an inner list comes apart only after the one that holds it. An item's level follows its indent.
+    """
+    for m in _HEADING.finditer(text):
+        yield (len(m[1]) if m[1] else int(m[2]), 0), m.start()
+    around: list[str] = []
+    for m in _ELEMENT.finditer(text):
+        tag = (m[2] or "").lower()
+        if not tag:
+            yield (_BLOCK, min(len(around), _DEEP)), m.end()
+        elif m[1]:
+            if tag in around:
+                while around.pop() != tag:
+                    pass
+            yield (_BLOCK, min(len(around), _DEEP)), m.end()
+        else:
+            if around and around[-1] == tag and tag in _UNCLOSED:
+                around.pop()
+            yield (_BLOCK, min(len(around), _DEEP)), m.start()
+            around.append(tag)
+    for m in _ITEM.finditer(text):
+        yield (_LINE - 1, len(m[1].expandtabs(4))), m.start()
+    for rank, pattern in _BOUNDARIES:
+        for m in pattern.finditer(text):
+            yield rank, m.end()
+
+
 def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list[tuple[int, int, int, int]]:
     """(start, core_start, end, n_tokens) of the pieces of a text, characters from 0; one piece if it fits, none if empty.
 
@@ -82,15 +120,14 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
     level = [_WORD] * n
     for k in inside:
         level[k] = _INSIDE
-    edges = [(len(m[1]) if m[1] else int(m[2]), m.start()) for m in _HEADING.finditer(text)]
-    edges += [(rank, m.end()) for rank, pattern in _BOUNDARIES for m in pattern.finditer(text)]
-    for rank, at in edges:
+    for rank, at in _edges(text):
         k = bisect.bisect_left(starts, at)
         if 0 < k < n and level[k] > rank:
             level[k] = rank
-    cuts = [[] for _ in range(_INSIDE + 1)]
+    ranks = {rank: i for i, rank in enumerate(sorted(set(level)))}
+    cuts: list[list[int]] = [[] for _ in ranks]
     for k in range(1, n):
-        cuts[level[k]].append(k)
+        cuts[ranks[level[k]]].append(k)
     room = limit - overlap
 
     def pack(i: int, j: int, depth: int) -> list[tuple[int, int]]:
@@ -98,7 +135,7 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
         if cum[j] - cum[i] <= room or j - i == 1:
             return [(i, j)]
         inner: list[int] = []
-        while depth <= _INSIDE:
+        while depth < len(cuts):
             own = cuts[depth]
             inner = own[bisect.bisect_right(own, i) : bisect.bisect_left(own, j)]
             depth += 1
@@ -114,7 +151,7 @@ def split_text(enc: Encoder, text: str | None, limit: int, overlap: int) -> list
         return parts
 
     out = []
-    for i, j in pack(0, n, 1):
+    for i, j in pack(0, n, 0):
         before = max(bisect.bisect_left(cum, cum[i] - overlap), 0) if i else 0
         end = starts[j] if j < n else len(text)
         size, k = cum[j] - cum[before], j
