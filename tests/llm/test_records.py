@@ -66,6 +66,15 @@ def test_near_duplicates_by_either_way(spark, monkeypatch):
     assert found[0] == found[1] == found[2] == brute(rows, 3, 3, 5)
 
 
+def test_words_are_counted_in_one_field_and_compared_in_others(spark):
+    rows = [("a", "x y z w", "one two three"), ("b", "X, y; z w!", "one two three four"), ("c", "x y z w", "one"), ("d", None, "one two three"), ("e", "line\nend x y z w", None)]
+    df = spark.createDataFrame(rows, "key string, t string, counted string")
+    pairs_of = lambda columns, n: sorted(tuple(r) for r in nearjoin.record_pairs(*nearjoin.near_duplicates(df, "key", columns, "counted", n, 3, 3, 5)).collect())
+    assert pairs_of(["t"], 3) == [("a", "b")] and pairs_of(["t"], 1) == [("a", "b"), ("a", "c"), ("b", "c")] and pairs_of(["t", "counted"], 3) == [("a", "b")]
+    text, word = nearjoin.word_hashes(["Ab c", "", "c\nab-Ω1", "ω1"])
+    assert text.tolist() == [0, 0, 2, 2, 2, 3] and word[0] == word[3] and word[1] == word[2] and word[4] == word[5] and len(set(word.tolist())) == 3
+
+
 def test_near_duplicates_by_subsets_in_pieces(spark, monkeypatch):
     """Hot subsets are cut into pieces like hot members: no pair is lost between them."""
     rows = documents(11, 120, 15, 30, 4)
