@@ -302,7 +302,7 @@ def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray, longs
 
 
 def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Iterator[pa.RecordBatch]:
-    """(a, b) with a < b from lists sorted by key and size: pairs with a set from ``boundary`` on that can have enough in common.
+    """(a, b) with a < b from lists sorted by key, here by size: pairs with a set from ``boundary`` on that can have enough in common.
 
     A pair is looked at as if this were its first common member; it is one of its lists, so no pair is lost. Then the
     smaller set's members from here on must be as many as must be common, which bounds the partner's size; and the
@@ -323,12 +323,12 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Ite
         rest = now.slice(whole)
         if not whole:
             continue
-        key = key[:whole]
-        place, c, *bits = (now.column(x).to_numpy()[:whole] for x in list(_LIST)[1:])
+        group = np.cumsum(np.diff(key[:whole], prepend=key[0]) != 0).astype(np.int64) << 32
+        order = np.lexsort((now.column("place").to_numpy()[:whole], group))
+        place, c, *bits = (now.column(x).to_numpy()[:whole][order] for x in list(_LIST)[1:])
         n, before, side = place >> 33, (place >> 2) & 0x7FFFFFFF, place & 3
         need = np.ceil(ratio * n - 1e-9).astype(np.int64)
         bits = [x.view(np.uint64) for x in bits]
-        group = np.cumsum(np.diff(key, prepend=key[0]) != 0).astype(np.int64) << 32
         end = np.searchsorted(group + n, group + np.floor((n - before) / ratio + 1e-9).astype(np.int64), side="right")
         partners = np.maximum(end - np.arange(whole) - 1, 0)
         total = np.concatenate([[0], np.cumsum(partners)])
@@ -377,7 +377,7 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
 
     def scanned(which: str, make, from_size: int) -> DataFrame:
         lists = classes.where(which).select("h1", "members").mapInArrow(make, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
-        return lists.repartition("key").sortWithinPartitions("key", "place").mapInArrow(lambda batches: _scan(batches, from_size, ratio), "a long, b long")
+        return lists.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _scan(batches, from_size, ratio), "a long, b long")
 
     # Inverted lists: a set at or above the boundary against all sets that can be its partner.
     out = scanned(f"n >= {math.floor(boundary * ratio)}", list_members, boundary)
