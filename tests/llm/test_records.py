@@ -133,6 +133,48 @@ def test_near_duplicates_do_not_depend_on_the_number_of_sets(spark, monkeypatch,
     assert {(a, b) for a, b in got if b < 600} == {(2 * k, 2 * k + 1) for k in range(300)}
 
 
+@pytest.mark.parametrize(("piece", "boundary", "large"), [(1 << 20, 0, 1 << 20), (40, 0, 1 << 20), (1 << 20, 105, 1 << 20), (1 << 20, 0, 50)])
+def test_long_lists_are_met_as_products(monkeypatch, piece, boundary, large):
+    """Lists of hundreds of sets give the pairs that looking at each pair gives, without doing so unless sets are too large."""
+    rng = np.random.default_rng(5)
+    often, sets = rng.integers(-(1 << 62), 1 << 62, 400), []
+    for _ in range(500):
+        size = int(rng.integers(90, 120))
+        sets.append(np.sort(np.concatenate([rng.choice(often, 80, False), rng.integers(-(1 << 62), 1 << 62, size - 80)])))
+        if rng.random() < 0.3:
+            sets.append(np.sort(np.concatenate([rng.choice(sets[-1], size - 25, False), rng.choice(often, 10, False)])))
+    sets = [np.unique(x) for x in sets]
+    sizes, flat, ids = np.array([len(x) for x in sets]), np.concatenate(sets), np.arange(len(sets)) * 7919
+    counters = np.bincount((flat >> 8) & (nearjoin.COUNTERS - 1), minlength=nearjoin.COUNTERS)
+    packed = nearjoin._listed(ids, sizes, flat, counters, 0.6, piece, 3)
+    monkeypatch.setattr(nearjoin, "LARGE", large)
+    looked, able = [], nearjoin.Lists.able
+    monkeypatch.setattr(nearjoin.Lists, "able", lambda self, x, y, b: looked.append(len(x)) or able(self, x, y, b))
+    out = []
+    for dense in (16, 1 << 30):
+        looked.clear()
+        monkeypatch.setattr(nearjoin, "DENSE", dense)
+        order = packed.sort_by("bucket")
+        out.append(({(a, b) for x in nearjoin._scan(iter([order]), boundary, 0.6) for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist())}, sum(looked)))
+    (found, few), (want, all_) = out
+    assert found == want and (few < all_ / 2 if large > 50 else few == all_)
+    held = {int(i): set(x.tolist()) for i, x in zip(ids, sets)}
+    true = {(a, b) for a, b in itertools.combinations(held, 2) if len(held[a] & held[b]) >= 0.6 * max(len(held[a]), len(held[b])) and max(len(held[a]), len(held[b])) >= boundary}
+    assert true and true <= found
+
+
+def test_pairs_of_records_are_told_apart_only_where_an_id_is_in_several_classes(spark):
+    """Pairs are not sorted out again unless they can come twice."""
+    rows = [("a", "x y z w " * 9), ("b", "x y z w " * 9), ("c", "x y z w " * 9 + "v"), ("b", "x y z w " * 9)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    once = nearjoin.record_pairs(*nearjoin.near_duplicates(df, "key", ["text"], "text", 0, 3, 3, 5))
+    more = nearjoin.record_pairs(*nearjoin.near_duplicates(df.unionByName(spark.createDataFrame([("a", rows[2][1])], df.schema)), "key", ["text"], "text", 0, 3, 3, 5))
+    for pairs, distinct in ((once, False), (more, True)):
+        assert sorted(tuple(r) for r in pairs.collect()) == [("a", "b"), ("a", "c"), ("b", "c")]
+        top = pairs._jdf.queryExecution().optimizedPlan().nodeName()
+        assert (top == "Aggregate") == distinct
+
+
 @pytest.mark.parametrize("piece", [4096, 3])
 def test_item_pairs_equal_brute_force(spark, monkeypatch, piece):
     monkeypatch.setattr(pairs, "RUN", 50)

@@ -28,15 +28,20 @@ from vacantia.session import cut, spread
 #: Members of an enumerated subset.
 SUBSET = 3
 #: Cost of an enumerated subset, which is shuffled and sorted, in pairs of an inverted list that are looked at.
-SUBSET_COST = 20
+SUBSET_COST = 200
 #: Counters of member frequency; their number is fixed, so that the table can go to every worker.
 COUNTERS = 1 << 20
 #: Sets of an inverted list in one piece, about; a longer list is cut and its pieces are paired, so that it is no task of its own.
-PIECE = 4096
+PIECE = 16384
 #: Candidates whose sets are told by a broadcast of their hashes (16 bytes a pair).
 FEW = 500_000
 #: Pairs that are looked at in one step.
-STEP = 1 << 20
+STEP = 1 << 17
+#: Sets from which a list's pairs are looked at as a product of matrices, rows and columns of a tile of it; beyond LARGE members a
+#: set's figures would not be exact there.
+DENSE, TILE, LARGE = 128, (256, 512), 1 << 20
+#: Pairs of buckets and partitions of the lists, which are packed: a bucket is held at once.
+BUCKETS, BUCKET_ROWS = 2, 1 << 20
 
 
 # Whether a character is a letter or digit, filled in as characters turn up; 2: not seen yet.
@@ -252,42 +257,51 @@ def _boundary(classes: DataFrame, counters, ratio: float) -> tuple[int, int]:
 LIST_LONGS = 6
 #: Columns of a list, of a member or of a subset: the list or pair of its pieces; the set's size, its members before this one and
 #: the piece (0: one only) in one number, which sorts by size; the set; parities of its members from here on.
-_LIST = {"key": "long", "place": "long", "c": "long", **{f"b{k}": "long" for k in range(LIST_LONGS)}}
+COLUMNS = 3 + LIST_LONGS
 
 
-def _cells(key: np.ndarray, count: np.ndarray, ids: np.ndarray, sizes: np.ndarray, before: np.ndarray, bits: np.ndarray, piece: int) -> pa.RecordBatch:
-    """Rows of lists: one for each set and key; where ``count``, the most sets that can have the key, makes several pieces, one for each pair of pieces that has the set's own."""
+def _cells(key: np.ndarray, count: np.ndarray, ids: np.ndarray, sizes: np.ndarray, before: np.ndarray, bits: np.ndarray, piece: int, buckets: int) -> pa.RecordBatch:
+    """Lists' rows: one for each set and key; where ``count``, the most sets that can have the key, makes several pieces, one for each pair of pieces that has the set's own.
+
+    Rows of one bucket are packed into one value, column by column: Spark moves few values, and the bucket's task sorts them.
+    """
     pieces = count // piece + 1
     again = np.repeat(np.arange(len(key)), pieces)
     other = np.arange(len(again)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    key, pieces, ids, sizes, before, bits = key[again], pieces[again], ids[again], sizes[again], before[again], bits[again]
+    key, pieces, ids, sizes, before = key[again], pieces[again], ids[again], sizes[again], before[again]
     # The hash of the set alone may follow the order in which rows are dealt to tasks; it is mixed once more.
     own = (_step(np.full(len(key), 7, np.uint64), ids) % pieces.astype(np.uint64)).astype(np.int64)
     low, high = np.minimum(own, other), np.maximum(own, other)
     cell = _step(_step(_step(np.ones(len(key), np.uint64), key), low), high).view(np.int64)
     side = np.where(own == other, 0, np.where(own < other, 1, 2))
-    columns = [np.where(pieces > 1, cell, key), sizes << 33 | before << 2 | side, ids, *(np.ascontiguousarray(bits[:, k]) for k in range(LIST_LONGS))]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_LIST))
+    key = np.where(pieces > 1, cell, key)
+    bucket = (_mixed(key.view(np.uint64), 3) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, again = bucket[order], again[order]
+    rows = np.concatenate([np.stack([key[order], (sizes << 33 | before << 2 | side)[order], ids[order]]), bits[again].T])
+    first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+    packed = [rows[:, i:k].tobytes() for i, k in zip(first, np.append(first[1:], len(bucket)))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(packed, pa.binary())], names=["bucket", "rows"])
 
 
-def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> pa.RecordBatch:
+def _listed(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int, buckets: int) -> pa.RecordBatch:
     """Each set in the lists of its prefix."""
     p = _prefixes(_ordered(sizes, flat, counters), ratio, 1)
     row = np.repeat(np.arange(len(p.length)), p.length)
     at = p.start[row] + np.arange(len(row)) - np.repeat(np.cumsum(p.length) - p.length, p.length)
     base = (np.cumsum(sizes) - sizes)[p.of][row]
     own = sizes[p.of[row]]
-    return _cells(p.members[at], p.counts[at], ids[p.of[row]], own, at - base, _suffix_parities(p.members, at, base + own, LIST_LONGS), piece)
+    return _cells(p.members[at], p.counts[at], ids[p.of[row]], own, at - base, _suffix_parities(p.members, at, base + own, LIST_LONGS), piece, buckets)
 
 
-def _enumerated(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int) -> Iterator[pa.RecordBatch]:
+def _enumerated(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counters: np.ndarray, ratio: float, piece: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Each set in the lists of all subsets of SUBSET of its prefix."""
     p = _prefixes(_ordered(sizes, flat, counters), ratio, SUBSET)
     end = np.cumsum(sizes)
     bits = _suffix_parities(p.members, end - sizes, end, LIST_LONGS)
     for rows, h, least in _signatures(p):
         of = p.of[rows]
-        yield _cells(h.view(np.int64), least, ids[of], sizes[of], np.zeros(len(of), dtype=np.int64), bits[of], piece)
+        yield _cells(h.view(np.int64), least, ids[of], sizes[of], np.zeros(len(of), dtype=np.int64), bits[of], piece, buckets)
 
 
 def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray, longs: int) -> np.ndarray:
@@ -301,57 +315,142 @@ def _suffix_parities(members: np.ndarray, at: np.ndarray, end: np.ndarray, longs
     return out.view(np.int64)
 
 
+@dataclass(frozen=True)
+class Lists:
+    """Lists one after the other, each by size: sizes, how many must be common, members before, piece, set, parities, and the row up to which a set's partners can stand."""
+
+    n: np.ndarray
+    need: np.ndarray
+    before: np.ndarray
+    side: np.ndarray
+    c: np.ndarray
+    bits: np.ndarray
+    end: np.ndarray
+
+    def able(self, x: np.ndarray, y: np.ndarray, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows x < y of one list those that can have enough in common, with a set from ``boundary`` on."""
+        # The greater set is y: how much more may differ.
+        room = self.n[x] + self.n[y] - 2 * self.need[y] - self.before[x] - self.before[y]
+        keep = np.flatnonzero((room >= 0) & (self.n[y] >= boundary))
+        for own in self.bits:
+            x, y, room = x[keep], y[keep], room[keep]
+            room -= np.bitwise_count(own[x] ^ own[y])
+            keep = np.flatnonzero(room >= 0)
+        x, y = x[keep], y[keep]
+        keep = (self.c[x] != self.c[y]) & ((self.side[x] ^ self.side[y] == 3) | (self.side[x] + self.side[y] == 0))
+        return x[keep], y[keep]
+
+
+def _few_longs(room: float, spread: float, differ: float) -> int:
+    """Longs of parities with which pairs are looked at for the least, if ``room``, give or take the root of ``spread``, may differ and ``differ`` members do.
+
+    Each long costs its share of the product; a pair that is left over costs about as much as 16 longs.
+    """
+    def cost(k: int) -> float:
+        left = 32 * k * (1 - math.exp(-differ / (32 * k))) - room
+        return k + 8 * math.erfc(left / math.sqrt(2 * (16 * k + spread)))
+
+    return min(range(1, LIST_LONGS + 1), key=cost)
+
+
+def _dense(lists: Lists, xs: np.ndarray, ys: np.ndarray, boundary: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a row of ``xs`` and a later one of ``ys``, rows of one list, that can have enough in common.
+
+    What may differ and the number of parities that differ are a product of two vectors, one of either set: with parities
+    as +1 and -1, half of it counts those equal less those that differ. All numbers are halves below 2**23, so exact.
+    """
+    ys = ys[lists.n[ys] >= boundary]
+    if not len(xs) or not len(ys):
+        return
+    left, right = (lists.n - lists.before)[xs], (lists.n - 2 * lists.need - lists.before)[ys]
+    longs = _few_longs(left.mean() + right.mean(), left.var() + right.var(), 1.6 * left.mean())
+
+    def signs(rows: np.ndarray) -> np.ndarray:
+        bits = np.ascontiguousarray(lists.bits[:longs, rows].T).view(np.uint8)
+        return 1 - 2 * np.unpackbits(bits, axis=1).astype(np.float32)
+
+    a = np.column_stack([signs(xs) / 2, left.astype(np.float32), np.ones(len(xs), np.float32)])
+    b = np.ascontiguousarray(np.column_stack([signs(ys), np.ones(len(ys), np.float32), right.astype(np.float32) - 32 * longs]).T)
+    for i in range(0, len(xs), TILE[0]):
+        rows = xs[i : i + TILE[0]]
+        to = int(np.searchsorted(ys, lists.end[rows].max()))
+        for k in range(int(np.searchsorted(ys, rows[0], side="right")), to, TILE[1]):
+            width = min(TILE[1], to - k)
+            room = (a[i : i + TILE[0]] @ b[:, k : k + width]).ravel()
+            at = np.flatnonzero(room >= 0)
+            if not len(at):
+                continue
+            x, y = at // width, at % width + k
+            x, y, room = rows[x], ys[y], room[at]
+            keep = np.flatnonzero((y > x) & (y < lists.end[x]))
+            for own in lists.bits[longs:]:
+                x, y, room = x[keep], y[keep], room[keep]
+                room -= np.bitwise_count(own[x] ^ own[y])
+                keep = np.flatnonzero(room >= 0)
+            x, y = x[keep], y[keep]
+            keep = lists.c[x] != lists.c[y]
+            if keep.any():
+                yield x[keep], y[keep]
+
+
+def _met(rows: np.ndarray, boundary: int, ratio: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of one bucket's lists, as in _scan."""
+    rows = rows[:, np.lexsort((rows[1], rows[0]))]
+    key, place = rows[:2]
+    n, before = place >> 33, (place >> 2) & 0x7FFFFFFF
+    starts = np.diff(key, prepend=key[0]) != 0
+    starts[0] = True
+    group = np.cumsum(starts) << 32
+    end = np.searchsorted(group + n, group + np.floor((n - before) / ratio + 1e-9).astype(np.int64), side="right")
+    lists = Lists(n, np.ceil(ratio * n - 1e-9).astype(np.int64), before, place & 3, rows[2], rows[3:].view(np.uint64), end)
+    partners = np.maximum(end - np.arange(len(key)) - 1, 0)
+    first = np.flatnonzero(starts)
+    last = np.append(first[1:], len(key))
+    for i, k in zip(first[last - first >= DENSE], last[last - first >= DENSE]):
+        if n[k - 1] >= LARGE:
+            continue
+        partners[i:k] = 0
+        of = [i + np.flatnonzero(lists.side[i:k] == side) for side in range(3)]
+        for xs, ys in ((of[0], of[0]),) if len(of[0]) else ((of[1], of[2]), (of[2], of[1])):
+            for x, y in _dense(lists, xs, ys, boundary):
+                yield lists.c[x], lists.c[y]
+    # The others pair by pair, those without a partner left out.
+    some = np.flatnonzero(partners)
+    total = np.concatenate([[0], np.cumsum(partners[some])])
+    k = 0
+    while k < len(some):
+        to = max(k + 1, int(np.searchsorted(total, total[k] + STEP, side="right")) - 1)
+        times = partners[some[k:to]]
+        x = np.repeat(some[k:to], times)
+        y = x + 1 + np.arange(len(x)) - np.repeat(total[k:to] - total[k], times)
+        k = to
+        x, y = lists.able(x, y, boundary)
+        if len(x):
+            yield lists.c[x], lists.c[y]
+
+
 def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Iterator[pa.RecordBatch]:
-    """(a, b) with a < b from lists sorted by key, here by size: pairs with a set from ``boundary`` on that can have enough in common.
+    """(a, b) with a < b from packed lists sorted by bucket: pairs with a set from ``boundary`` on that can have enough in common.
 
     A pair is looked at as if this were its first common member; it is one of its lists, so no pair is lost. Then the
     smaller set's members from here on must be as many as must be common, which bounds the partner's size; and the
     members before differ, as do at least those whose parities differ.
     """
-    rest: pa.Table | None = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None:
-            now = pa.Table.from_batches([batch])
-            now = now if rest is None else pa.concat_tables([rest, now])
-        elif rest is not None:
-            now = rest
-        else:
-            return
-        key = now.column("key").to_numpy()
-        # The last list may go on in the next batch.
-        whole = len(key) if batch is None or not len(key) else int(np.searchsorted(key, key[-1]))
-        rest = now.slice(whole)
-        if not whole:
-            continue
-        group = np.cumsum(np.diff(key[:whole], prepend=key[0]) != 0).astype(np.int64) << 32
-        order = np.lexsort((now.column("place").to_numpy()[:whole], group))
-        place, c, *bits = (now.column(x).to_numpy()[:whole][order] for x in list(_LIST)[1:])
-        n, before, side = place >> 33, (place >> 2) & 0x7FFFFFFF, place & 3
-        need = np.ceil(ratio * n - 1e-9).astype(np.int64)
-        bits = [x.view(np.uint64) for x in bits]
-        end = np.searchsorted(group + n, group + np.floor((n - before) / ratio + 1e-9).astype(np.int64), side="right")
-        partners = np.maximum(end - np.arange(whole) - 1, 0)
-        total = np.concatenate([[0], np.cumsum(partners)])
-        k = 0
-        while k < whole:
-            to = max(k + 1, int(np.searchsorted(total, total[k] + STEP, side="right")) - 1)
-            times = partners[k:to]
-            x = np.repeat(np.arange(k, to), times)
-            y = x + 1 + np.arange(len(x)) - np.repeat(total[k:to] - total[k], times)
-            k = to
-            # The greater set is y: how much more may differ.
-            room = n[x] + n[y] - 2 * need[y] - before[x] - before[y]
-            able = np.flatnonzero((room >= 0) & (n[y] >= boundary))
-            for own in bits:
-                x, y, room = x[able], y[able], room[able]
-                room -= np.bitwise_count(own[x] ^ own[y])
-                able = np.flatnonzero(room >= 0)
-            x, y = x[able], y[able]
-            able = (c[x] != c[y]) & ((side[x] ^ side[y] == 3) | (side[x] + side[y] == 0))
-            x, y = x[able], y[able]
-            if len(x):
-                pairs = np.unique(np.stack([np.minimum(c[x], c[y]), np.maximum(c[x], c[y])], axis=1), axis=0)
-                yield pa.RecordBatch.from_pydict({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
+    each = ((bucket, np.frombuffer(rows.as_buffer(), dtype=np.int64).reshape(COLUMNS, -1)) for batch in batches for bucket, rows in zip(batch.column(0).to_pylist(), batch.column(1)))
+    for _, packed in itertools.groupby(each, key=lambda x: x[0]):
+        found, n = [], 0
+        for pair in itertools.chain(_met(np.concatenate([rows for _, rows in packed], axis=1), boundary, ratio), [None]):
+            if pair is not None:
+                found.append(pair)
+                n += len(pair[0])
+            if found and (pair is None or n >= STEP):
+                a, b = (np.concatenate(x) for x in zip(*found))
+                a, b = np.minimum(a, b), np.maximum(a, b)
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                new = (np.diff(a, prepend=~a[0]) != 0) | (np.diff(b, prepend=b[0]) != 0)
+                yield pa.RecordBatch.from_pydict({"a": a[new], "b": b[new]})
+                found, n = [], 0
 
 
 def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
@@ -360,24 +459,29 @@ def _candidates(classes: DataFrame, ratio: float) -> DataFrame:
     Sets that share a key stand together in one list; a list that can be long is cut into pieces, so neither a hot member
     nor a hot subset is a task of its own.
     """
-    counters = classes.sparkSession.sparkContext.broadcast(_frequencies(classes))
+    spark = classes.sparkSession
+    total = _frequencies(classes)
+    counters = spark.sparkContext.broadcast(total)
     (boundary, least), piece = _boundary(classes, counters, ratio), PIECE
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many buckets that one has about BUCKET_ROWS rows, if each member were listed.
+    buckets = partitions * max(BUCKETS, math.ceil(float(np.dot(total, total // piece + 1)) / BUCKET_ROWS / partitions))
 
     def enumerate_subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for k in range(0, batch.num_rows, 512):
-                yield from _enumerated(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece)
+                yield from _enumerated(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece, buckets)
 
     def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for k in range(0, batch.num_rows, 512):
-                yield _listed(ids[k : k + 512], *_sets_of(batch.slice(k, 512), 1), counters.value, ratio, piece)
+            for k in range(0, batch.num_rows, 1024):
+                yield _listed(ids[k : k + 1024], *_sets_of(batch.slice(k, 1024), 1), counters.value, ratio, piece, buckets)
 
     def scanned(which: str, make, from_size: int) -> DataFrame:
-        lists = classes.where(which).select("h1", "members").mapInArrow(make, ", ".join(f"{k} {t}" for k, t in _LIST.items()))
-        return lists.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _scan(batches, from_size, ratio), "a long, b long")
+        lists = classes.where(which).select("h1", "members").mapInArrow(make, "bucket int, rows binary")
+        return lists.repartitionById(partitions, F.pmod("bucket", F.lit(partitions))).sortWithinPartitions("bucket").mapInArrow(lambda batches: _scan(batches, from_size, ratio), "a long, b long")
 
     # Inverted lists: a set at or above the boundary against all sets that can be its partner.
     out = scanned(f"n >= {math.floor(boundary * ratio)}", list_members, boundary)
@@ -425,7 +529,10 @@ def record_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     left, right = m.select(F.col("id").alias("ia"), F.col("h1").alias("a1"), F.col("h2").alias("a2")), m.select(F.col("id").alias("ib"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
     within = left.join(right, (F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2")) & (F.col("ia") < F.col("ib"))).select("ia", "ib")
     across = links.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).where("ia <> ib").select("ia", "ib")
-    return within.unionByName(across).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b")).distinct()
+    pairs = within.unionByName(across).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
+    # A pair can come twice only if one of its ids is in several classes.
+    several = members.groupBy("id").agg(*[f(h).alias(f"{f.__name__}_{h}") for f in (F.min, F.max) for h in ("h1", "h2")]).where("min_h1 <> max_h1 or min_h2 <> max_h2")
+    return pairs if several.isEmpty() else pairs.distinct()
 
 
 def record_links(members: DataFrame, links: DataFrame) -> DataFrame:
