@@ -40,8 +40,8 @@ STEP = 1 << 17
 #: Sets from which a list's pairs are looked at as a product of matrices, rows and columns of a tile of it; beyond LARGE members a
 #: set's figures would not be exact there.
 DENSE, TILE, LARGE = 128, (256, 512), 1 << 20
-#: Pairs of buckets and partitions of the lists, which are packed: a bucket is held at once.
-BUCKETS, BUCKET_ROWS = 2, 1 << 20
+#: Buckets of a partition of the lists, at least, and rows of one, about: a bucket is held at once.
+BUCKETS, BUCKET_ROWS = 1, 1 << 20
 
 
 # Whether a character is a letter or digit, filled in as characters turn up; 2: not seen yet.
@@ -263,7 +263,8 @@ COLUMNS = 3 + LIST_LONGS
 def _cells(key: np.ndarray, count: np.ndarray, ids: np.ndarray, sizes: np.ndarray, before: np.ndarray, bits: np.ndarray, piece: int, buckets: int) -> pa.RecordBatch:
     """Lists' rows: one for each set and key; where ``count``, the most sets that can have the key, makes several pieces, one for each pair of pieces that has the set's own.
 
-    Rows of one bucket are packed into one value, column by column: Spark moves few values, and the bucket's task sorts them.
+    Rows of one bucket are packed into one value: Spark moves few values, and the bucket's task sorts them. A set's rows stand
+    one after the other, most of their parities equal, which compresses.
     """
     pieces = count // piece + 1
     again = np.repeat(np.arange(len(key)), pieces)
@@ -278,9 +279,9 @@ def _cells(key: np.ndarray, count: np.ndarray, ids: np.ndarray, sizes: np.ndarra
     bucket = (_mixed(key.view(np.uint64), 3) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
     order = np.argsort(bucket, kind="stable")
     bucket, again = bucket[order], again[order]
-    rows = np.concatenate([np.stack([key[order], (sizes << 33 | before << 2 | side)[order], ids[order]]), bits[again].T])
+    rows = np.column_stack([key[order], (sizes << 33 | before << 2 | side)[order], ids[order], bits[again]])
     first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
-    packed = [rows[:, i:k].tobytes() for i, k in zip(first, np.append(first[1:], len(bucket)))]
+    packed = [rows[i:k].tobytes() for i, k in zip(first, np.append(first[1:], len(bucket)))]
     return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(packed, pa.binary())], names=["bucket", "rows"])
 
 
@@ -395,7 +396,7 @@ def _dense(lists: Lists, xs: np.ndarray, ys: np.ndarray, boundary: int) -> Itera
 
 def _met(rows: np.ndarray, boundary: int, ratio: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of sets of one bucket's lists, as in _scan."""
-    rows = rows[:, np.lexsort((rows[1], rows[0]))]
+    rows = np.ascontiguousarray(rows[np.lexsort((rows[:, 1], rows[:, 0]))].T)
     key, place = rows[:2]
     n, before = place >> 33, (place >> 2) & 0x7FFFFFFF
     starts = np.diff(key, prepend=key[0]) != 0
@@ -436,10 +437,10 @@ def _scan(batches: Iterator[pa.RecordBatch], boundary: int, ratio: float) -> Ite
     smaller set's members from here on must be as many as must be common, which bounds the partner's size; and the
     members before differ, as do at least those whose parities differ.
     """
-    each = ((bucket, np.frombuffer(rows.as_buffer(), dtype=np.int64).reshape(COLUMNS, -1)) for batch in batches for bucket, rows in zip(batch.column(0).to_pylist(), batch.column(1)))
+    each = ((bucket, np.frombuffer(rows.as_buffer(), dtype=np.int64).reshape(-1, COLUMNS)) for batch in batches for bucket, rows in zip(batch.column(0).to_pylist(), batch.column(1)))
     for _, packed in itertools.groupby(each, key=lambda x: x[0]):
         found, n = [], 0
-        for pair in itertools.chain(_met(np.concatenate([rows for _, rows in packed], axis=1), boundary, ratio), [None]):
+        for pair in itertools.chain(_met(np.concatenate([rows for _, rows in packed]), boundary, ratio), [None]):
             if pair is not None:
                 found.append(pair)
                 n += len(pair[0])
